@@ -1,4 +1,4 @@
-from tallyhouse.operators.dedup import one_row_per_key
+from tallyhouse.operators.dedup import one_row_per_key, variants
 from tallyhouse.operators.numbering import ROWS_PER_TASK, number_rows, rank_rows
 from tallyhouse.operators.scratch import scratch_folder, stage
 
@@ -9,4 +9,5 @@ __all__ = [
     "rank_rows",
     "scratch_folder",
     "stage",
+    "variants",
 ]

@@ -23,12 +23,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, cycle
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 500_000
 MAX_RANGES = 4096
 SAMPLES_PER_RANGE = 32
 
@@ -43,7 +43,7 @@ def number_rows(
         number = F.row_number().over(Window.orderBy(*order))
         return rows.withColumn(name, number.cast("bigint"))
     (ranges,) = _ranges(rows, [by], total, rows_per_task)
-    return rows.withColumn(name, ranges.number(F.row_number, order, descending=False))
+    return ranges.number(rows, name, F.row_number, order, rows_per_task)
 
 
 def rank_rows(
@@ -59,10 +59,11 @@ def rank_rows(
             for name, m in ranks.items()
         })
     found = _ranges(rows, [[m] for m in ranks.values()], total, rows_per_task)
-    return rows.withColumns({
-        name: ranges.number(F.rank, orders[m], descending=True)
-        for (name, m), ranges in zip(ranks.items(), found)
-    })
+    for (name, m), ranges in zip(ranks.items(), found):
+        rows = ranges.number(
+            rows, name, F.rank, orders[m], rows_per_task, descending=True, ties=True
+        )
+    return rows
 
 
 def _literal(values: list, array_of: str) -> Column:
@@ -72,29 +73,39 @@ def _literal(values: list, array_of: str) -> Column:
 
 @dataclass(frozen=True)
 class _Ranges:
-    """The value ranges of one sort order, with the row count of each."""
+    """The value ranges of one sort order: a row's range, and the rows in each."""
 
     range_of: Column
     counts: list[int]
-    row_id: tuple[str, ...]
-    rows_per_task: int
 
     def number(
-        self, function: Callable[[], Column], order: list[Column], descending: bool
-    ) -> Column:
-        counts = self.counts
-        before = list(accumulate(counts, initial=0))
+        self,
+        rows: DataFrame,
+        name: str,
+        function: Callable[[], Column],
+        order: list[Column],
+        rows_per_task: int,
+        descending: bool = False,
+        ties: bool = False,
+    ) -> DataFrame:
+        """Add ``function`` over ``order``, as if over the whole table."""
+        columns = rows.columns
+        before = list(accumulate(self.counts, initial=0))
         if descending:
             before = [before[-1] - upto for upto in before[1:]]
         parts = [
-            -(-count // self.rows_per_task) if i % 2 and count > self.rows_per_task else 1
-            for i, count in enumerate(counts)
+            -(-count // rows_per_task) if on_cut and ties else 1
+            for count, on_cut in zip(self.counts, cycle([False, True]))
         ]
-        if function is F.row_number:  # tied rows need different numbers
-            parts = [1] * len(parts)
-        part = F.pmod(F.xxhash64(*self.row_id), F.get(_literal(parts, "bigint"), self.range_of))
-        window = Window.partitionBy(self.range_of, part).orderBy(*order)
-        return F.get(_literal(before, "bigint"), self.range_of) + function().over(window)
+        rows = rows.withColumn("_range", self.range_of)
+        group = ["_range"]
+        if max(parts) > 1:
+            split = F.pmod(F.xxhash64(*columns), F.get(_literal(parts, "bigint"), "_range"))
+            rows = rows.withColumn("_part", split)
+            group.append("_part")
+        within = function().over(Window.partitionBy(*group).orderBy(*order))
+        total = F.get(_literal(before, "bigint"), "_range") + within
+        return rows.select(*columns, total.alias(name))
 
 
 def _ranges(
@@ -112,10 +123,7 @@ def _ranges(
     # At most orders * (2 * MAX_RANGES) groups, whatever the size of the table.
     for found in rows.select(which.alias("at")).groupBy("at.order_no", "at.range_no").count().collect():
         counts[found["order_no"]][found["range_no"]] = found["count"]
-    return [
-        _Ranges(number, count, tuple(rows.columns), rows_per_task)
-        for (number, _), count in zip(numbers, counts)
-    ]
+    return [_Ranges(number, count) for (number, _), count in zip(numbers, counts)]
 
 
 def _range_sample(rows: DataFrame, total: int, ranges: int) -> DataFrame:

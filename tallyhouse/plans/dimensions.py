@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions import convert, date_parts, parse_date
-from tallyhouse.operators import ROWS_PER_TASK, number_rows, one_row_per_key, stage
+from tallyhouse.operators import ROWS_PER_TASK, number_rows, one_row_per_key, stage, variants
 from tallyhouse.schema import STAR, shaped
 
 
@@ -108,11 +108,12 @@ DIMENSIONS = {d.table: d for d in (CUSTOMER, SELLER, PRODUCT, STORE, SUPPLIER)}
 def members(staging: DataFrame, dimension: Dimension) -> DataFrame:
     """The members of a dimension, one row per business key, not yet numbered."""
     types = {f.name: f.dataType for f in STAR[dimension.table]}
-    columns = [
-        convert(F.col(source), types[name]).alias(name)
-        for name, source in dimension.sources.items()
-    ]
-    return one_row_per_key(staging.select(*columns), dimension.keys)
+    columns = {
+        name: convert(F.col(source), types[name]) for name, source in dimension.sources.items()
+    }
+    return one_row_per_key(
+        staging.select(*dimension.staging_columns), dimension.keys, columns
+    )
 
 
 def build(
@@ -142,9 +143,14 @@ def build_all(
 
 
 def dim_date(staging: DataFrame) -> DataFrame:
-    """The dates that occur, with their calendar columns. Unreadable dates are left out."""
-    days = staging.select(parse_date("sale_date").alias("full_date"))
-    days = days.filter(F.col("full_date").isNotNull()).distinct()
+    """The dates that occur, with their calendar columns. Unreadable dates are left out.
+
+    Texts are collapsed first and parsed once each; the condition on ``copies`` keeps
+    the parsing from being pushed below that, to every row.
+    """
+    texts = variants(staging.select("sale_date"))
+    day = F.when(F.col("copies") > 0, parse_date("sale_date"))
+    days = texts.select(day.alias("full_date")).distinct().filter("full_date IS NOT NULL")
     return shaped(days.withColumns(date_parts(F.col("full_date"))), STAR["dim_date"])
 
 
