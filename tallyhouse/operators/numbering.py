@@ -21,7 +21,7 @@ Both functions read their input several times; hand them a written table.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import accumulate, cycle
 
@@ -42,116 +42,120 @@ def number_rows(
     if total <= rows_per_task:
         number = F.row_number().over(Window.orderBy(*order))
         return rows.withColumn(name, number.cast("bigint"))
-    (ranges,) = _ranges(rows, [by], total, rows_per_task)
-    return ranges.number(rows, name, F.row_number, order, rows_per_task)
+    ranges = _find_ranges(rows, by, by, total, rows_per_task)
+    before = list(accumulate(ranges.counts, initial=0))
+    placed = ranges.locate(rows)
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return placed.select(*rows.columns, (_pick(before, "_range") + within).alias(name))
 
 
 def rank_rows(
-    rows: DataFrame, ranks: Mapping[str, str], rows_per_task: int = ROWS_PER_TASK
+    rows: DataFrame,
+    ranks: Mapping[str, str],
+    row_id: Sequence[str],
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add one rank per entry ``{rank column: measure}``: largest first, nulls last,
-    ties share a rank and leave a gap after it."""
+    ties share a rank and leave a gap after it. ``row_id`` tells rows apart; it steers
+    the sample and the splitting of ties, not the result."""
     total = rows.count()
-    orders = {m: [F.col(m).desc_nulls_last()] for m in ranks.values()}
     if total <= rows_per_task:
         return rows.withColumns({
-            name: F.rank().over(Window.orderBy(*orders[m])).cast("bigint")
+            name: F.rank().over(Window.orderBy(F.col(m).desc_nulls_last())).cast("bigint")
             for name, m in ranks.items()
         })
-    found = _ranges(rows, [[m] for m in ranks.values()], total, rows_per_task)
-    for (name, m), ranges in zip(ranks.items(), found):
-        rows = ranges.number(
-            rows, name, F.rank, orders[m], rows_per_task, descending=True, ties=True
-        )
+    for name, measure in ranks.items():
+        ranges = _find_ranges(rows, [measure], row_id, total, rows_per_task)
+        rows = _ranked_in_ranges(rows, name, measure, ranges, row_id, rows_per_task)
     return rows
 
 
-def _literal(values: list, array_of: str) -> Column:
+def _ranked_in_ranges(
+    rows: DataFrame,
+    name: str,
+    measure: str,
+    ranges: _Ranges,
+    row_id: Sequence[str],
+    rows_per_task: int,
+) -> DataFrame:
+    upto = list(accumulate(ranges.counts))
+    above = [upto[-1] - count for count in upto]
+    parts = [
+        -(-count // rows_per_task) if all_tie else 1
+        for count, all_tie in zip(ranges.counts, cycle([False, True]))
+    ]
+    placed, group = ranges.locate(rows), ["_range"]
+    if max(parts) > 1:
+        split = F.pmod(F.xxhash64(*row_id), _pick([max(1, n) for n in parts], "_range"))
+        placed, group = placed.withColumn("_part", split), ["_range", "_part"]
+    within = F.rank().over(Window.partitionBy(*group).orderBy(F.col(measure).desc_nulls_last()))
+    return placed.select(*rows.columns, (_pick(above, "_range") + within).alias(name))
+
+
+def _constant(values: list, array_of: str) -> Column:
     """A constant array; folded once by the optimizer, however long."""
     return F.from_json(F.lit(json.dumps(values, default=str)), f"array<{array_of}>")
 
 
+def _pick(numbers: list[int], index: str) -> Column:
+    return F.get(_constant(numbers, "bigint"), index)
+
+
 @dataclass(frozen=True)
 class _Ranges:
-    """The value ranges of one sort order: a row's range, and the rows in each."""
+    """The cut points of one sort order and the number of rows per range."""
 
-    range_of: Column
+    order: tuple[str, ...]
+    cuts: list[tuple]
+    known: Column
     counts: list[int]
 
-    def number(
-        self,
-        rows: DataFrame,
-        name: str,
-        function: Callable[[], Column],
-        order: list[Column],
-        rows_per_task: int,
-        descending: bool = False,
-        ties: bool = False,
-    ) -> DataFrame:
-        """Add ``function`` over ``order``, as if over the whole table."""
+    def locate(self, rows: DataFrame) -> DataFrame:
+        """Add ``_range``, by binary search for the number of cuts below the value.
+
+        The search is unrolled into one projection per step, which compiles to plain
+        comparisons. A position past the end reads as null: nothing is below there.
+        Values are compared as structs, which order nulls first.
+        """
         columns = rows.columns
-        before = list(accumulate(self.counts, initial=0))
-        if descending:
-            before = [before[-1] - upto for upto in before[1:]]
-        parts = [
-            -(-count // rows_per_task) if on_cut and ties else 1
-            for count, on_cut in zip(self.counts, cycle([False, True]))
-        ]
-        rows = rows.withColumn("_range", self.range_of)
-        group = ["_range"]
-        if max(parts) > 1:
-            split = F.pmod(F.xxhash64(*columns), F.get(_literal(parts, "bigint"), "_range"))
-            rows = rows.withColumn("_part", split)
-            group.append("_part")
-        within = function().over(Window.partitionBy(*group).orderBy(*order))
-        total = F.get(_literal(before, "bigint"), "_range") + within
-        return rows.select(*columns, total.alias(name))
-
-
-def _ranges(
-    rows: DataFrame, orders: list[Sequence[str]], total: int, rows_per_task: int
-) -> list[_Ranges]:
+        rows = rows.select("*", F.struct(*self.order).alias("_value"), F.lit(0).alias("_below"))
+        for bit in reversed(range(len(self.cuts).bit_length())):
+            jump = 1 << bit
+            reached = F.get(self.known, F.col("_below") + (jump - 1)) < F.col("_value")
+            below = F.col("_below") + F.when(reached, jump).otherwise(0)
+            rows = rows.select(*columns, "_value", below.alias("_below"))
+        on_cut = F.when(F.get(self.known, F.col("_below")) == F.col("_value"), 1).otherwise(0)
+        return rows.select(*columns, (F.col("_below") * 2 + on_cut).alias("_range"))
+
+
+def _find_ranges(
+    rows: DataFrame,
+    order: Sequence[str],
+    row_id: Sequence[str],
+    total: int,
+    rows_per_task: int,
+) -> _Ranges:
+    """Cut points for ranges of about ``rows_per_task`` rows, and the rows in each."""
     wanted = min(MAX_RANGES, -(-total // rows_per_task))
-    sampled = _range_sample(rows, total, wanted)
-    numbers = [_range_number(sampled, order, wanted) for order in orders]
-
-    counts = [[0] * size for _, size in numbers]
-    which = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("order_no"), number.alias("range_no"))
-        for i, (number, _) in enumerate(numbers)
-    ]))
-    # At most orders * (2 * MAX_RANGES) groups, whatever the size of the table.
-    for found in rows.select(which.alias("at")).groupBy("at.order_no", "at.range_no").count().collect():
-        counts[found["order_no"]][found["range_no"]] = found["count"]
-    return [_Ranges(number, count) for (number, _), count in zip(numbers, counts)]
-
-
-def _range_sample(rows: DataFrame, total: int, ranges: int) -> DataFrame:
-    """About ``SAMPLES_PER_RANGE`` rows per range, chosen by hash of the row."""
-    every = max(1, total // (ranges * SAMPLES_PER_RANGE))
-    return rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(every)) == 0)
+    sample = _range_sample(rows, row_id, total, wanted).select(*order)
+    # About MAX_RANGES * SAMPLES_PER_RANGE rows at most, of the sort columns alone.
+    ordered = sample.orderBy(*[F.col(c).asc_nulls_first() for c in order]).collect()
+    step = max(1, len(ordered) // wanted)
+    cuts = list(dict.fromkeys(tuple(row) for row in ordered[step::step]))
+    kind = StructType([rows.schema[c] for c in order]).simpleString()
+    known = _constant([dict(zip(order, cut)) for cut in cuts], kind)
 
+    counts = [0] * (2 * len(cuts) + 1)
+    ranges = _Ranges(tuple(order), cuts, known, counts)
+    # One row per range, whatever the size of the table.
+    for found in ranges.locate(rows.select(*order)).groupBy("_range").count().collect():
+        counts[found["_range"]] = found["count"]
+    return ranges
 
-def _range_number(sample: DataFrame, order: Sequence[str], ranges: int) -> tuple[Column, int]:
-    """The range of a row as a column, and how many ranges there are."""
-    # Bounded by MAX_RANGES * SAMPLES_PER_RANGE rows of the sort columns alone.
-    ordered = sample.select(*order).orderBy(*[F.col(c).asc_nulls_first() for c in order]).collect()
-    step = max(1, len(ordered) // ranges)
-    cuts = list(dict.fromkeys(tuple(row) for row in ordered[step::step]))
 
-    layout = StructType([sample.schema[c] for c in order])
-    known = _literal([dict(zip(order, cut)) for cut in cuts], layout.simpleString())
-    value = F.struct(*order)
-
-    # Binary search for the number of cuts below the value. A position past the
-    # end reads as null, which counts as "not below".
-    steps = [1 << bit for bit in reversed(range(len(cuts).bit_length()))] or [1]
-    below = F.aggregate(
-        _literal(steps, "int"),
-        F.lit(0),
-        lambda at, jump: F.when(
-            F.coalesce(F.get(known, at + jump - 1) < value, F.lit(False)), at + jump
-        ).otherwise(at),
-    )
-    on_cut = F.coalesce(F.get(known, below) == value, F.lit(False)).cast("int")
-    return below * 2 + on_cut, 2 * len(cuts) + 1
+def _range_sample(
+    rows: DataFrame, row_id: Sequence[str], total: int, ranges: int
+) -> DataFrame:
+    """About ``SAMPLES_PER_RANGE`` rows per range, chosen by hash of the row's id."""
+    every = max(1, total // (ranges * SAMPLES_PER_RANGE))
+    return rows.filter(F.pmod(F.xxhash64(*row_id), F.lit(every)) == 0)

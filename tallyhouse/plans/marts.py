@@ -112,7 +112,8 @@ REVENUE_RANKS = {"revenue_rank": "total_revenue"}
 
 
 def _ranked(mart: str, totals: DataFrame, ranks: dict[str, str], rows_per_task: int) -> DataFrame:
-    return conform(rank_rows(totals, ranks, rows_per_task), MARTS[mart])
+    contract = MARTS[mart]
+    return conform(rank_rows(totals, ranks, contract.sort_by, rows_per_task), contract)
 
 
 def ranked_product_sales(totals: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

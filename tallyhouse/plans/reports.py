@@ -204,11 +204,16 @@ def supplier_countries(supplier_sales: DataFrame) -> DataFrame:
     )
 
 
+def _correlation(x: str, y: str) -> Column:
+    """Null where one side does not vary; the built-in fails there under ANSI mode."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def rating_sales_corr(quality_totals: DataFrame) -> DataFrame:
     """Correlation of rating with quantity and revenue, over rated products only.
     Takes the totals, where a missing rating is still null and not 0.0."""
     return quality_totals.filter(F.col("avg_rating").isNotNull()).agg(
         F.count(F.lit(1)).alias("rated_products"),
-        F.corr("avg_rating", "total_sales_quantity").alias("rating_quantity_corr"),
-        F.corr("avg_rating", "total_revenue").alias("rating_revenue_corr"),
+        _correlation("avg_rating", "total_sales_quantity").alias("rating_quantity_corr"),
+        _correlation("avg_rating", "total_revenue").alias("rating_revenue_corr"),
     )

@@ -7,6 +7,8 @@ cached, because Parquet reads just the columns a step needs.
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +17,22 @@ from tallyhouse.operators import ROWS_PER_TASK, stage
 from tallyhouse.plans import dimensions, marts
 from tallyhouse.plans.fact import fact_sales
 from tallyhouse.schema import MARTS, STAGING, STAR, shaped
-from tallyhouse.sinks import overwrite_parquet
+from tallyhouse.sinks import overwrite_jdbc, overwrite_parquet, reload_jdbc
 from tallyhouse.sources import read_table
 
+log = logging.getLogger(__name__)
 
-def _write_all(writers: dict) -> dict[str, int]:
+
+def _write_all(writers: Mapping[str, Callable[[], int]]) -> dict[str, int]:
     """Independent writes, submitted together."""
+
+    def write(name: str) -> int:
+        rows = writers[name]()
+        log.info("%s: %d rows written", name, rows)
+        return rows
+
     with ThreadPoolExecutor(len(writers)) as pool:
-        return dict(zip(writers, pool.map(lambda write: write(), writers.values())))
+        return dict(zip(writers, pool.map(write, writers)))
 
 
 def land_staging(staging: DataFrame, root: str) -> int:
@@ -51,9 +61,8 @@ def build_star(
         },
     })
     keys = {name: read_table(spark, root, name) for name in dimensions.DIMENSIONS}
-    counts["fact_sales"] = overwrite_parquet(
-        fact_sales(staging, keys, null_safe), f"{root}/fact_sales"
-    )
+    fact = fact_sales(staging, keys, null_safe)
+    counts |= _write_all({"fact_sales": lambda: overwrite_parquet(fact, f"{root}/fact_sales")})
     staged = staging.count()
     if counts["fact_sales"] != staged:
         raise RuntimeError(f"{staged} staging rows gave {counts['fact_sales']} sales")
@@ -99,3 +108,34 @@ def run(
     counts |= build_star(spark, root, null_safe, rows_per_task)
     counts |= build_marts(spark, root, rows_per_task)
     return counts
+
+
+def open_views(spark: SparkSession, root: str) -> None:
+    """Make the star and mart tables known to ``spark.sql`` under their names."""
+    for name in (*STAR, *MARTS):
+        read_table(spark, root, name).createOrReplaceTempView(name)
+
+
+def publish_star(
+    spark: SparkSession, root: str, url: str, properties: Mapping[str, str]
+) -> dict[str, int]:
+    """Copy the star tables into a database, replacing the tables there."""
+    return _write_all({
+        name: lambda name=name: overwrite_jdbc(
+            read_table(spark, root, name), url, name, properties
+        )
+        for name in STAR
+    })
+
+
+def publish_marts(
+    spark: SparkSession, root: str, url: str, properties: Mapping[str, str], connections: int = 8
+) -> dict[str, int]:
+    """Copy the marts into a database whose mart tables exist: their rows are replaced,
+    their definitions kept."""
+    return _write_all({
+        name: lambda name=name: reload_jdbc(
+            read_table(spark, root, name), url, name, properties, connections=connections
+        )
+        for name in MARTS
+    })

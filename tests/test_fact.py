@@ -71,8 +71,9 @@ def test_bad_date_has_no_date_key(sales):
     assert rows_of(fact, "date_key") == [(None,), (20210504,)]
 
 
-def test_a_hot_key_is_split_in_the_shuffle_join(spark, sales):
-    """A third of the sales share one customer: the join must not leave them to one task."""
+@pytest.fixture
+def no_broadcast(spark):
+    """Shuffle joins only, with sizes at which small test data counts as skewed."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -83,20 +84,49 @@ def test_a_hot_key_is_split_in_the_shuffle_join(spark, sales):
     before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        staging = spark.range(0, 60_000, 1, 8).selectExpr(
-            "CASE WHEN id % 3 = 0 THEN 17 ELSE id % 2000 END AS sale_customer_id",
-            "CAST(id % 5 AS INT) AS sale_quantity",
-            *[f"CAST(NULL AS STRING) AS {c}" for c in dims.CUSTOMER.staging_columns[1:]],
-        )
-        table = dims.dim_customer(staging)
-        fact = fact_sales(staging, {"dim_customer": table})
-        rows = fact.collect()
-        plan = fact._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in plan
-        hot = table.filter("customer_id = 17").first()["customer_key"]
-        assert len(rows) == 60_000
-        assert sum(r["customer_key"] == hot for r in rows) == 20_000 + 20
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("hot", ["17", "NULL"])
+def test_hot_keys_are_split_in_every_shuffle_join(spark, no_broadcast, hot):
+    """A third of the sales share one customer, one product and one store, or have
+    none: no join may leave them to one task."""
+    columns = {
+        "sale_customer_id": f"CASE WHEN id % 3 = 0 THEN {hot} ELSE id % 2000 END",
+        "sale_product_id": f"CASE WHEN id % 3 = 1 THEN {hot} ELSE id % 1999 END",
+        "store_name": f"CASE WHEN id % 3 = 2 THEN CAST({hot} AS STRING) ELSE concat('S', id % 1000) END",
+        "store_city": "'Rome'",
+        "store_country": "'IT'",
+        "sale_quantity": "CAST(id % 5 AS INT)",
+    }
+    chosen = [dims.CUSTOMER, dims.PRODUCT, dims.STORE]
+    for name in [c for d in chosen for c in d.staging_columns]:
+        columns.setdefault(name, "CAST(NULL AS STRING)")
+    staging = spark.range(0, 60_000, 1, 8).selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
+
+    tables = dims.build_all(staging, chosen)
+    fact = fact_sales(staging, tables)
+    rows = fact.collect()
+    plan = fact._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("SortMergeJoin(skew=true)") == 3
+
+    assert len(rows) == 60_000
+    if hot == "NULL":
+        for key in ("customer_key", "product_key", "store_key"):
+            assert sum(r[key] is None for r in rows) == 20_000
+        return
+    customer = tables["dim_customer"].filter("customer_id = 17").first()["customer_key"]
+    product = tables["dim_product"].filter("product_id = 17").first()["product_key"]
+    store = tables["dim_store"].filter("store_name = '17'").first()["store_id"]
+    ids = range(60_000)
+    assert [
+        sum(r["customer_key"] == customer for r in rows),
+        sum(r["product_key"] == product for r in rows),
+        sum(r["store_key"] == store for r in rows),
+    ] == [
+        sum(i % 3 == 0 or i % 2000 == 17 for i in ids),
+        sum(i % 3 == 1 or i % 1999 == 17 for i in ids),
+        20_000,
+    ]

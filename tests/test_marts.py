@@ -1,0 +1,187 @@
+import pytest
+
+from conftest import rows_of
+from tallyhouse.operators import stage
+from tallyhouse.plans import dimensions as dims, marts, reports
+from tallyhouse.plans.fact import fact_sales
+from tallyhouse.schema import MARTS, conform
+
+
+@pytest.fixture(scope="module")
+def star(sales):
+    def build(*rows):
+        staging = sales(*rows)
+        tables = dims.build_all(staging)
+        tables["dim_date"] = dims.dim_date(staging)
+        return fact_sales(staging, tables), tables
+
+    return build
+
+
+def product(number, **values):
+    return {"sale_product_id": number, "product_name": f"P{number}", "product_category": "Toy",
+            "sale_quantity": 1, "sale_total_price": 1, **values}
+
+
+@pytest.mark.parametrize("rows_per_task", [1000, 1])
+def test_missing_ratings_rank_last_and_show_as_zero(star, rows_per_task):
+    fact, tables = star(*[
+        product(i, product_rating=r, product_reviews=n)
+        for i, (r, n) in enumerate([(2.0, 5), (1.0, None), (None, 7), (None, 5)])
+    ])
+    mart = marts.mart_product_quality(fact, tables["dim_product"], rows_per_task)
+    assert rows_of(mart, "product_id", "avg_rating", "rating_rank", "total_reviews", "review_rank") == [
+        (0, 2.0, 1, 5, 2), (1, 1.0, 2, 0, 4), (2, 0.0, 3, 7, 1), (3, 0.0, 3, 5, 2),
+    ]
+
+
+@pytest.mark.parametrize("rows_per_task", [1000, 1])
+def test_ties_share_a_rank_and_leave_a_gap(star, rows_per_task):
+    fact, tables = star(*[product(i, sale_total_price=p, sale_quantity=q)
+                          for i, (p, q) in enumerate([(10, 1), (10, 3), (5, 2)])])
+    mart = marts.mart_product_sales(fact, tables["dim_product"], rows_per_task)
+    assert rows_of(mart, "product_id", "revenue_rank", "quantity_rank") == [
+        (0, 1, 3), (1, 1, 1), (2, 3, 2),
+    ]
+
+
+def test_both_names_missing_give_an_empty_name(star):
+    fact, tables = star(
+        {"sale_customer_id": 1, "sale_total_price": 1},
+        {"sale_customer_id": 2, "sale_total_price": 1, "customer_last_name": "Li"},
+        {"sale_customer_id": 3, "sale_total_price": 1, "customer_first_name": "Bo",
+         "customer_last_name": "Li", "customer_country": "PE"},
+    )
+    mart = marts.mart_customer_sales(fact, tables["dim_customer"])
+    assert rows_of(mart, "customer_id", "customer_name", "country") == [
+        (1, "", "Unknown"), (2, "Li", "Unknown"), (3, "Bo Li", "PE"),
+    ]
+
+
+def test_order_count_counts_sale_lines(star):
+    line = {"id": 1, "sale_customer_id": 1, "sale_total_price": 2.5}
+    fact, tables = star(line, {**line, "sale_total_price": 0.1}, {**line, "sale_total_price": None})
+    mart = marts.mart_customer_sales(fact, tables["dim_customer"])
+    assert rows_of(mart, "order_count", "total_purchases", "avg_check") == [(3, 2.6, 1.3)]
+
+
+def test_sales_without_a_member_are_left_out(star):
+    fact, tables = star(product(1), product(None))
+    mart = marts.mart_product_sales(fact, tables["dim_product"])
+    assert rows_of(mart, "product_id") == [(1,)]
+
+
+def test_a_store_without_prices_gets_zero(star):
+    store = {"store_name": "S", "store_city": "Rome", "store_country": "IT"}
+    fact, tables = star(store, store)
+    mart = marts.mart_store_sales(fact, tables["dim_store"])
+    assert rows_of(mart, "total_revenue", "avg_check", "order_count", "revenue_rank") == [
+        (0.0, 0.0, 2, 1)
+    ]
+    totals = marts.store_totals(fact, tables["dim_store"]).selectExpr("*", "1 AS revenue_rank")
+    with pytest.raises(Exception, match="mart_store_sales.total_revenue is null"):
+        conform(totals, MARTS["mart_store_sales"], nulls="reject").collect()
+
+
+def test_supplier_price_is_a_mean_over_lines(star):
+    base = {"supplier_name": "A", "supplier_city": "B", "supplier_country": "C", "sale_total_price": 1}
+    fact, tables = star({**base, "product_price": 1}, {**base, "product_price": 1},
+                        {**base, "product_price": 4}, {**base, "product_price": None})
+    mart = marts.mart_supplier_sales(fact, tables["dim_supplier"])
+    assert rows_of(mart, "avg_product_price", "order_count") == [(2.0, 4)]
+
+
+def test_months(star):
+    fact, tables = star(*[
+        {"sale_date": d, "sale_total_price": p}
+        for d, p in [("1/1/2020", 0.1), ("1/31/2020", 0.2), ("2/1/2020", None), ("1/1/2021", 5), ("x", 9)]
+    ])
+    mart = marts.mart_time_sales(fact, tables["dim_date"])
+    assert rows_of(mart) == [
+        (2020, 1, "January", 0.3, 2, 0.15), (2020, 2, "February", 0.0, 1, 0.0),
+        (2021, 1, "January", 5.0, 1, 5.0),
+    ]
+    assert rows_of(reports.yearly_trend(mart)) == [(2020, 0.3, 3, 0.3 / 3), (2021, 5.0, 1, 5.0)]
+
+
+def test_revenue_adds_up_exactly(spark):
+    """Ten thousand dimes are a thousand, in any order of addition."""
+    fact = spark.range(10_000).selectExpr(
+        "id % 2 AS product_key", "1 AS sale_quantity", "0.1D AS sale_total_price"
+    ).repartition(13)
+    dim = spark.range(2).selectExpr(
+        "id AS product_key", "id AS product_id", "'n' AS name", "'c' AS category",
+        "1.0D AS rating", "1 AS reviews",
+    )
+    assert rows_of(marts.product_totals(fact, dim), "total_revenue") == [(500.0,), (500.0,)]
+
+
+def test_sales_are_added_up_before_the_join(star):
+    fact, tables = star(product(1))
+    fact, dim = stage(fact), stage(tables["dim_product"])
+    plan = marts.product_totals(fact, dim)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Join") < plan.index("HashAggregate")
+    assert "ReadSchema: struct<product_key:bigint,sale_quantity:int,sale_total_price:double>" in plan
+
+
+def test_top_lists_cut_ties_by_id(star):
+    fact, tables = star(*[product(i, sale_quantity=q) for i, q in enumerate([5, 7, 5, 5, 1])])
+    totals = marts.product_totals(fact, tables["dim_product"])
+    mart = marts.mart_product_sales(fact, tables["dim_product"])
+    expected = [(1, 1), (0, 2), (2, 2)]
+    for rows in (totals, mart):
+        top = reports.top_products(rows, 3)
+        assert [(r["product_id"], r["quantity_rank"]) for r in top.collect()] == expected
+
+
+def test_lowest_ratings_do_not_begin_with_missing_ones(star):
+    fact, tables = star(*[product(i, product_rating=r) for i, r in enumerate([None, 3.0, 2.0])])
+    quality = marts.quality_totals(marts.product_totals(fact, tables["dim_product"]))
+    assert [r["product_id"] for r in reports.worst_rated(quality).collect()] == [2, 1, 0]
+
+
+def test_correlation_ignores_missing_ratings(star):
+    fact, tables = star(*[
+        product(i, product_rating=r, sale_quantity=q)
+        for i, (r, q) in enumerate([(1.0, 10), (2.0, 20), (3.0, 30), (None, 1000)])
+    ])
+    quality = marts.quality_totals(marts.product_totals(fact, tables["dim_product"]))
+    found = reports.rating_sales_corr(quality).first()
+    assert found["rated_products"] == 3
+    assert found["rating_quantity_corr"] == pytest.approx(1.0)
+    assert found["rating_revenue_corr"] is None  # all revenues are equal
+
+
+def test_periods_with_gaps(spark):
+    mart = spark.createDataFrame(
+        [(2019, 12, 10.0), (2020, 1, 20.0), (2020, 12, 15.0), (2022, 12, 30.0)],
+        "year int, month int, total_revenue double",
+    )
+    found = [tuple(r)[2:] for r in reports.period_comparison(mart).collect()]
+    assert found == [
+        (10.0, None, None, None, None, None, None),
+        (20.0, 10.0, None, 10.0, 100.0, None, None),
+        (15.0, 20.0, 10.0, -5.0, -25.0, 5.0, 50.0),
+        (30.0, 15.0, None, 15.0, 100.0, None, None),
+    ]
+
+
+def test_store_distribution_levels(spark):
+    mart = spark.createDataFrame(
+        [("US", "Rome", 1, 1.5), ("IT", "Rome", 2, 2.0), ("IT", "Bari", 3, 4.0)],
+        "country string, city string, order_count long, total_revenue double",
+    )
+    assert rows_of(reports.store_distribution(mart)) == [
+        (None, None, 3, 3, 6, 7.5), ("IT", None, 1, 2, 5, 6.0), ("IT", "Bari", 0, 1, 3, 4.0),
+        ("IT", "Rome", 0, 1, 2, 2.0), ("US", None, 1, 1, 1, 1.5), ("US", "Rome", 0, 1, 1, 1.5),
+    ]
+
+
+def test_country_shares_add_up(spark):
+    mart = spark.createDataFrame(
+        [("IT", 1, 1.0), ("IT", 1, 2.0), ("PE", 1, 1.0), ("Unknown", 2, 4.0)],
+        "country string, order_count long, total_purchases double",
+    )
+    assert rows_of(reports.country_customers(mart)) == [
+        ("IT", 2, 2, 3.0, 0.5), ("PE", 1, 1, 1.0, 0.25), ("Unknown", 1, 2, 4.0, 0.25),
+    ]

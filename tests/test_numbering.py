@@ -27,7 +27,8 @@ def test_ranks_match_brute_force(spark, rows_per_task):
     ]
     table = stage(spark.createDataFrame(rows, "id int, rating double, n int, money double"))
     ranked = rank_rows(
-        table, {"rating_rank": "rating", "n_rank": "n", "money_rank": "money"}, rows_per_task
+        table, {"rating_rank": "rating", "n_rank": "n", "money_rank": "money"}, ["id"],
+        rows_per_task,
     )
     found = {r["id"]: (r["rating_rank"], r["n_rank"], r["money_rank"]) for r in ranked.collect()}
     expected = zip(*[brute_ranks([r[i] for r in rows]) for i in (1, 2, 3)])
@@ -62,13 +63,13 @@ def test_a_shared_value_is_split_over_tasks(spark):
             "id", F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id") * 1.0).alias("v")
         )
     )
-    (ranges,) = numbering._ranges(table, [["v"]], 30_000, 1000)
+    ranges = numbering._find_ranges(table, ["v"], ["id"], 30_000, 1000)
     hot = max(range(len(ranges.counts)), key=lambda i: ranges.counts[i])
     assert hot % 2 == 1 and ranges.counts[hot] >= 10_000
     others = [n for i, n in enumerate(ranges.counts) if i != hot]
     assert max(others) < 3000
 
-    ranked = rank_rows(table, {"r": "v"}, rows_per_task=1000)
+    ranked = rank_rows(table, {"r": "v"}, ["id"], rows_per_task=1000)
     plain = table.withColumn("r", F.rank().over(Window.orderBy(F.desc("v"))).cast("bigint"))
     assert ranked.exceptAll(plain).isEmpty() and plain.exceptAll(ranked).isEmpty()
     assert "_part" in ranked._jdf.queryExecution().optimizedPlan().toString()
@@ -76,23 +77,23 @@ def test_a_shared_value_is_split_over_tasks(spark):
 
 def test_all_rows_equal(spark):
     table = stage(spark.range(1000).select("id", F.lit(None).cast("double").alias("v")))
-    ranks = rank_rows(table, {"r": "v"}, rows_per_task=50).select("r").distinct().collect()
+    ranks = rank_rows(table, {"r": "v"}, ["id"], rows_per_task=50).select("r").distinct().collect()
     assert [r["r"] for r in ranks] == [1]
 
 
 def test_empty_table(spark):
     table = stage(spark.range(0).withColumn("v", F.col("id") * 1.0))
     assert number_rows(table, ["id"], "key").isEmpty()
-    assert rank_rows(table, {"r": "v"}).isEmpty()
+    assert rank_rows(table, {"r": "v"}, ["id"]).isEmpty()
 
 
 def test_cut_points_stay_bounded(spark, monkeypatch):
     """However large the table, the ranges and the sample behind them are limited."""
     monkeypatch.setattr(numbering, "MAX_RANGES", 8)
     table = stage(spark.range(20_000).withColumn("v", F.xxhash64("id")))
-    (ranges,) = numbering._ranges(table, [["v"]], 20_000, 10)
+    ranges = numbering._find_ranges(table, ["v"], ["id"], 20_000, 10)
     assert len(ranges.counts) <= 2 * 9 + 1
     assert sum(ranges.counts) == 20_000
-    assert numbering._range_sample(table, 20_000, 8).count() < 2 * 8 * numbering.SAMPLES_PER_RANGE
-    ranked = rank_rows(table, {"r": "v"}, rows_per_task=10)
+    assert numbering._range_sample(table, ["id"], 20_000, 8).count() < 2 * 8 * numbering.SAMPLES_PER_RANGE
+    ranked = rank_rows(table, {"r": "v"}, ["id"], rows_per_task=10)
     assert ranked.agg(F.countDistinct("r"), F.max("r")).first()[:] == (20_000, 20_000)

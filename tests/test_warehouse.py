@@ -1,0 +1,133 @@
+import pytest
+
+from conftest import rows_of
+from tallyhouse import warehouse
+from tallyhouse.plans import audit, dimensions as dims
+from tallyhouse.schema import MARTS, STAR
+from tallyhouse.sources import read_table
+from tallyhouse.sources.order_tables import staging_from_orders
+
+TABLES = ("staging", *STAR, *MARTS)
+
+
+def contents(spark, root):
+    return {name: rows_of(read_table(spark, root, name)) for name in TABLES}
+
+
+@pytest.fixture(scope="module")
+def built(spark, sf_folder, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("warehouse"))
+    staging = staging_from_orders(spark, sf_folder)
+    return root, staging, warehouse.run(staging, root)
+
+
+def test_counts_are_those_of_the_tables(spark, built):
+    root, staging, counts = built
+    assert list(counts) and set(counts) == set(TABLES)
+    assert counts["fact_sales"] == counts["staging"] == staging.count()
+    stored = audit.table_counts({n: read_table(spark, root, n) for n in TABLES})
+    assert dict(rows_of(stored)) == counts
+
+
+def test_rerun_and_small_tasks_give_the_same_tables(spark, built):
+    root, staging, counts = built
+    before = contents(spark, root)
+    assert warehouse.run(staging.repartition(5), root, rows_per_task=40) == counts
+    assert contents(spark, root) == before
+
+
+def test_keys_are_dense_and_found(spark, built):
+    root, _, counts = built
+    fact = read_table(spark, root, "fact_sales")
+    for dimension in dims.DIMENSIONS.values():
+        table = read_table(spark, root, dimension.table)
+        keys = [k for (k,) in rows_of(table, dimension.surrogate)]
+        assert keys == list(range(1, counts[dimension.table] + 1))
+        assert audit.repeated_keys(table, dimension.keys).isEmpty()
+        assert audit.orphan_keys(fact, table, dimension.fact_key, dimension.surrogate).isEmpty()
+
+
+def test_mart_revenue_is_fact_revenue_less_lost_sales(spark, built):
+    root, _, _ = built
+    fact = read_table(spark, root, "fact_sales")
+    total = fact.selectExpr("CAST(sum(CAST(sale_total_price AS DECIMAL(12,2))) AS DOUBLE)").first()[0]
+    lost = dict(rows_of(audit.lost_sales(fact), "key_column", "lost_revenue"))
+    for mart, column, key in (
+        ("mart_product_sales", "total_revenue", "product_key"),
+        ("mart_product_quality", "total_revenue", "product_key"),
+        ("mart_customer_sales", "total_purchases", "customer_key"),
+        ("mart_time_sales", "total_revenue", "date_key"),
+        ("mart_store_sales", "total_revenue", "store_key"),
+        ("mart_supplier_sales", "total_revenue", "supplier_key"),
+    ):
+        revenue = sum(v for (v,) in rows_of(read_table(spark, root, mart), column))
+        assert revenue == pytest.approx(total - lost[key], abs=0.005), mart
+        if "rank" in "".join(MARTS[mart].columns.names):
+            rank = [c for c in MARTS[mart].columns.names if c.endswith("_rank")][0]
+            assert rows_of(read_table(spark, root, mart), rank)[0] == (1,)
+
+
+def test_publishing_copies_every_table(spark, built):
+    """The tables and counts handed to the writer; no database is started for it."""
+    from unittest import mock
+
+    from pyspark.sql import DataFrameWriter
+
+    root, _, counts = built
+    written = []
+
+    def record(writer, url, table, mode=None, properties=None):
+        written.append(table)
+        writer._df.write.format("noop").mode("overwrite").save()
+
+    with mock.patch.object(DataFrameWriter, "jdbc", record):
+        published = warehouse.publish_star(spark, root, "jdbc:x", {})
+        published |= warehouse.publish_marts(spark, root, "jdbc:x", {})
+    assert sorted(written) == sorted([*STAR, *MARTS])
+    assert published == {n: counts[n] for n in [*STAR, *MARTS]}
+
+
+def test_jobs_from_csv_files(spark, sf_folder, tmp_path):
+    """The three jobs as a user starts them, from CSV files to marts."""
+    import sys
+    from unittest import mock
+
+    import jobs
+
+    folder, root = str(tmp_path / "csv"), str(tmp_path / "warehouse")
+    orders = staging_from_orders(spark, sf_folder).repartition(10)
+    orders.write.csv(folder, header=True, escape='"', emptyValue='""')
+    with mock.patch.object(type(spark), "stop"):
+        for arguments in (["land", "--csv", folder], ["star"], ["marts"]):
+            with mock.patch.object(sys, "argv", ["jobs.py", *arguments, "--root", root]):
+                jobs.main()
+    assert read_table(spark, root, "fact_sales").count() == orders.count()
+    assert not read_table(spark, root, "mart_time_sales").isEmpty()
+
+
+@pytest.mark.parametrize(
+    "query, rows",
+    [
+        ("SELECT product_name, total_quantity, quantity_rank FROM mart_product_sales "
+         "ORDER BY quantity_rank LIMIT 10", 10),
+        ("SELECT customer_name, country, total_purchases, purchase_rank "
+         "FROM mart_customer_sales ORDER BY purchase_rank LIMIT 10", 10),
+        ("SELECT year, month, month_name, total_revenue, order_count FROM mart_time_sales "
+         "ORDER BY year, month", None),
+        ("SELECT store_name, city, country, total_revenue, revenue_rank FROM mart_store_sales "
+         "ORDER BY revenue_rank LIMIT 5", 5),
+        ("SELECT supplier_name, country, total_revenue, revenue_rank FROM mart_supplier_sales "
+         "ORDER BY revenue_rank LIMIT 5", 5),
+        ("SELECT product_name, avg_rating, total_reviews, total_sales_quantity, rating_rank "
+         "FROM mart_product_quality ORDER BY rating_rank LIMIT 10", 10),
+        ("SELECT 'dim_customer' t, COUNT(*) n FROM dim_customer UNION ALL "
+         "SELECT 'dim_date', COUNT(*) FROM dim_date", 2),
+    ],
+)
+def test_plain_sql_over_the_tables(spark, built, query, rows):
+    root, _, counts = built
+    warehouse.open_views(spark, root)
+    found = spark.sql(query).collect()
+    assert len(found) == (rows or counts["mart_time_sales"])
+    ranks = [r[-1] for r in found if isinstance(r[-1], int) and rows]
+    assert query.startswith("SELECT 'dim") or ranks == sorted(ranks)
