@@ -291,6 +291,7 @@ _REPORTS = {
         {_total('total_revenue')} AS total_revenue
       FROM mart_supplier_sales GROUP BY country""",
     "table_counts": _counts({name: name for name in (*_DIMS, "fact_sales")}),
+    "sorted_mart": "SELECT * FROM mart_time_sales",
     "lost_sales": _LOST,
     "warehouse_counts": _counts(
         {"staging": "raw", **{name: name for name in (*_DIMS, "fact_sales", *_MARTS)}}

@@ -11,19 +11,22 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OWN_FOLDER = "tallyhouse.scratch.dir"
+
 
 def scratch_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own, the same one
+    for the whole session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_FOLDER, None)
     if folder:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="tallyhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(_OWN_FOLDER, folder)
     return folder
 
 

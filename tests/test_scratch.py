@@ -1,0 +1,41 @@
+import pytest
+
+from tallyhouse.operators.scratch import scratch_folder, scratch_path
+
+
+class Session:
+    """The settings of a session, which need no cluster to be read."""
+
+    def __init__(self, **settings):
+        self.settings = settings
+        self.conf = self
+
+    def get(self, name, default=None):
+        return self.settings.get(name, default)
+
+    def set(self, name, value):
+        self.settings[name] = value
+
+
+def test_the_folder_of_the_session_is_used():
+    spark = Session(**{"spark.checkpoint.dir": "hdfs:///ck/", "spark.master": "yarn"})
+    assert scratch_folder(spark) == "hdfs:///ck"
+    assert scratch_path(spark, "a").startswith("hdfs:///ck/a-")
+    assert scratch_path(spark) != scratch_path(spark)
+
+
+def test_a_local_session_gets_one_folder():
+    spark = Session(**{"spark.master": "local[2]"})
+    assert scratch_folder(spark) == scratch_folder(spark)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(Session(**{"spark.master": "spark://host:7077"}))
+
+
+def test_real_sessions_take_the_setting(spark):
+    name = "tallyhouse.scratch.dir"
+    spark.conf.set(name, "/tmp/x")
+    spark.conf.unset(name)
+    assert scratch_folder(spark)
