@@ -8,7 +8,7 @@ keys. A null key is a member too, though no sale joins to it by default.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -31,6 +31,10 @@ class Dimension:
     def staging_columns(self) -> list[str]:
         return list(self.sources.values())
 
+    @property
+    def staging_keys(self) -> list[str]:
+        return [self.sources[key] for key in self.keys]
+
 
 CUSTOMER = Dimension(
     "dim_customer", "customer_key", "customer_key", ("customer_id",),
@@ -130,15 +134,17 @@ def build(
 
 
 def build_all(
-    staging: DataFrame,
+    staging: DataFrame | Callable[[Dimension], DataFrame],
     dimensions: Iterable[Dimension] = tuple(DIMENSIONS.values()),
     rows_per_task: int = ROWS_PER_TASK,
 ) -> dict[str, DataFrame]:
-    """Several numbered dimensions. They do not depend on each other, so their jobs
-    are submitted together and one fills the cluster while another tails off."""
+    """Several numbered dimensions, from one staging table or from what ``staging``
+    gives for each. They do not depend on each other, so their jobs are submitted
+    together and one fills the cluster while another tails off."""
     dimensions = list(dimensions)
+    rows_for = staging if callable(staging) else lambda _: staging
     with ThreadPoolExecutor(max(1, len(dimensions))) as pool:
-        built = pool.map(lambda d: build(staging, d, rows_per_task), dimensions)
+        built = pool.map(lambda d: build(rows_for(d), d, rows_per_task), dimensions)
         return {d.table: rows for d, rows in zip(dimensions, built)}
 
 
