@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyhouse.schema import TEXT_LIMITS
 from tallyhouse.sources.order_tables import COLUMNS
 
 _RAW = "SELECT {columns} FROM {tables}".format(
@@ -291,6 +292,12 @@ _REPORTS = {
         {_total('total_revenue')} AS total_revenue
       FROM mart_supplier_sales GROUP BY country""",
     "table_counts": _counts({name: name for name in (*_DIMS, "fact_sales")}),
+    "text_lengths": " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, {limit} AS allowed, "
+        f"CAST(max(length({name})) AS INTEGER) AS longest, "
+        f"count(*) FILTER (length({name}) > {limit}) AS too_long FROM raw"
+        for name, limit in TEXT_LIMITS.items()
+    ),
     "sorted_mart": "SELECT * FROM mart_time_sales",
     "lost_sales": _LOST,
     "warehouse_counts": _counts(

@@ -64,10 +64,11 @@ def rank_rows(
             name: F.rank().over(Window.orderBy(F.col(m).desc_nulls_last())).cast("bigint")
             for name, m in ranks.items()
         })
+    ranked = rows
     for name, measure in ranks.items():
         ranges = _find_ranges(rows, [measure], row_id, total, rows_per_task)
-        rows = _ranked_in_ranges(rows, name, measure, ranges, row_id, rows_per_task)
-    return rows
+        ranked = _ranked_in_ranges(ranked, name, measure, ranges, row_id, rows_per_task)
+    return ranked
 
 
 def _ranked_in_ranges(

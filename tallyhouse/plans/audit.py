@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions import exact_sum
+from tallyhouse.schema import TEXT_LIMITS
 
 KEYS = ("customer_key", "seller_key", "product_key", "store_key", "supplier_key", "date_key")
 
@@ -47,3 +48,19 @@ def orphan_keys(fact: DataFrame, dimension: DataFrame, fact_key: str, surrogate:
 def repeated_keys(dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Business keys held by several rows; joining on them would multiply sales."""
     return dimension.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+
+
+def text_lengths(staging: DataFrame) -> DataFrame:
+    """Per text column with a limit: the longest value, and how many pass the limit.
+    Spark's strings have no length, so a database's limits are checked here. One pass."""
+    per_column = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(limit).alias("allowed"),
+            F.max(F.length(name)).alias("longest"),
+            F.count_if(F.length(name) > limit).alias("too_long"),
+        )
+        for name, limit in TEXT_LIMITS.items()
+        if name in staging.columns
+    ]
+    return staging.agg(F.array(*per_column).alias("per_column")).select(F.inline("per_column"))

@@ -62,6 +62,24 @@ STAGING = _layout("""
     supplier_country string
 """)
 
+# Longest allowed text per staging column (product_description has none).
+TEXT_LIMITS = {
+    name: limit
+    for limit, names in {
+        20: "customer_postal_code seller_postal_code sale_date product_release_date "
+            "product_expiry_date",
+        50: "customer_pet_type store_phone pet_category product_color product_size "
+            "supplier_phone",
+        100: "customer_first_name customer_last_name customer_country customer_pet_name "
+             "customer_pet_breed seller_first_name seller_last_name seller_country "
+             "product_category store_city store_state store_country product_brand "
+             "product_material supplier_city supplier_country",
+        200: "customer_email seller_email product_name store_name store_location store_email "
+             "supplier_name supplier_contact supplier_email supplier_address",
+    }.items()
+    for name in names.split()
+}
+
 # The star tables.
 STAR = {
     "dim_date": _layout("""

@@ -38,9 +38,10 @@ def test_csv_quoting_and_empty_fields(spark, tmp_path):
 
 def test_several_csv_files_are_one_table(spark, tmp_path):
     paths = [csv_file(tmp_path, csv_line(id=str(i)), name=f"f {i}.csv") for i in range(10)]
-    staging = read_csv_staging(spark, paths)
-    assert staging.schema == STAGING
-    assert rows_of(staging, "id") == [(i,) for i in range(10)]
+    for multi_line in (True, False):
+        staging = read_csv_staging(spark, paths, multi_line)
+        assert staging.schema == STAGING
+        assert rows_of(staging, "id") == [(i,) for i in range(10)]
 
 
 @pytest.mark.parametrize("line", [csv_line(id="x"), csv_line(sale_quantity="1.5"), "1,2,3"])

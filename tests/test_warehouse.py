@@ -131,3 +131,8 @@ def test_plain_sql_over_the_tables(spark, built, query, rows):
     assert len(found) == (rows or counts["mart_time_sales"])
     ranks = [r[-1] for r in found if isinstance(r[-1], int) and rows]
     assert query.startswith("SELECT 'dim") or ranks == sorted(ranks)
+
+
+def test_no_sales_at_all(sales, tmp_path):
+    counts = warehouse.run(sales(), str(tmp_path))
+    assert set(counts) == set(TABLES) and not any(counts.values())
