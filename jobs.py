@@ -3,11 +3,11 @@
     spark-submit jobs.py land  --root R --csv FILE [FILE ...]
     spark-submit jobs.py land  --root R --jdbc URL --table T --properties FILE
                                [--split-column id --parts 64]
-    spark-submit jobs.py star  --root R [--jdbc URL --properties FILE]
+    spark-submit jobs.py star  --root R [--staging PATH] [--jdbc URL --properties FILE]
     spark-submit jobs.py marts --root R [--jdbc URL --properties FILE]
 
 ``land`` stores the staging rows, ``star`` builds dimensions and fact, ``marts`` the
-report marts. With ``--jdbc`` the last two also copy their tables into that database.
+report marts. ``--staging`` names a Parquet table to use as it is, without landing. With ``--jdbc`` the last two also copy their tables into that database.
 The properties file is JSON: driver, user, password, timeouts.
 """
 
@@ -21,6 +21,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from tallyhouse import warehouse
+from tallyhouse.schema import STAGING
 from tallyhouse.sources import key_split, read_csv_staging, read_jdbc
 
 
@@ -31,6 +32,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--csv", nargs="+", help="staging files with a header line")
     parser.add_argument("--single-line", action="store_true",
                         help="no quoted line breaks: large files can be split")
+    parser.add_argument("--staging", help="Parquet table with the staging columns")
     parser.add_argument("--jdbc", help="database URL")
     parser.add_argument("--table", help="staging table in the database")
     parser.add_argument("--properties", type=Path, help="JSON file of connection properties")
@@ -58,7 +60,8 @@ def main() -> None:
         rows = warehouse.land_staging(staging(spark, args, properties), args.root)
         logging.info("staging: %d rows written", rows)
     elif args.job == "star":
-        warehouse.build_star(spark, args.root, args.null_safe)
+        stored = spark.read.schema(STAGING).parquet(args.staging) if args.staging else None
+        warehouse.build_star(spark, args.root, args.null_safe, staging=stored)
         if args.jdbc:
             warehouse.publish_star(spark, args.root, args.jdbc, properties)
     else:

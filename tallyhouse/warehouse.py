@@ -42,10 +42,20 @@ def land_staging(staging: DataFrame, root: str) -> int:
 
 
 def build_star(
-    spark: SparkSession, root: str, null_safe: bool = False, rows_per_task: int = ROWS_PER_TASK
+    spark: SparkSession,
+    root: str,
+    null_safe: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
+    staging: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Job 1: the staging table under ``root`` to six dimensions and the fact."""
-    staging = read_table(spark, root, "staging")
+    """Job 1: staging rows to six dimensions and the fact, written under ``root``.
+
+    Reads the staging table under ``root``, or ``staging``: a stored table with the
+    staging columns that need not be copied first. It is scanned once per dimension,
+    each time for that dimension's columns only, and once for the fact.
+    """
+    if staging is None:
+        staging = read_table(spark, root, "staging")
 
     def write_dimension(dimension):
         rows = dimensions.build(staging, dimension, rows_per_task)

@@ -97,12 +97,20 @@ def test_jobs_from_csv_files(spark, sf_folder, tmp_path):
     folder, root = str(tmp_path / "csv"), str(tmp_path / "warehouse")
     orders = staging_from_orders(spark, sf_folder).repartition(10)
     orders.write.csv(folder, header=True, escape='"', emptyValue='""')
+    other = str(tmp_path / "other")
     with mock.patch.object(type(spark), "stop"):
-        for arguments in (["land", "--csv", folder], ["star"], ["marts"]):
-            with mock.patch.object(sys, "argv", ["jobs.py", *arguments, "--root", root]):
+        for arguments in (
+            ["land", "--csv", folder, "--root", root],
+            ["star", "--root", root],
+            ["marts", "--root", root],
+            ["star", "--staging", f"{root}/staging", "--root", other],
+        ):
+            with mock.patch.object(sys, "argv", ["jobs.py", *arguments]):
                 jobs.main()
     assert read_table(spark, root, "fact_sales").count() == orders.count()
     assert not read_table(spark, root, "mart_time_sales").isEmpty()
+    for name in STAR:
+        assert rows_of(read_table(spark, other, name)) == rows_of(read_table(spark, root, name))
 
 
 @pytest.mark.parametrize(
