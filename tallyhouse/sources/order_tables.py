@@ -12,17 +12,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.schema import STAGING
 
-# alias -> (table, alias it hangs on, join condition). Each child row has exactly one
-# parent row, so a parent whose columns nobody reads can be left out.
+# alias -> (table, alias it hangs on, join condition), in join order. Each child row has
+# exactly one parent row, so a parent whose columns nobody reads can be left out.
+# Part comes last: its columns, the widest, are computed per part and pass no other join.
 PARENTS = {
     "o": ("orders", "l", "l_orderkey = o_orderkey"),
     "c": ("customer", "o", "o_custkey = c_custkey"),
     "cn": ("nation", "c", "c_nationkey = cn.n_nationkey"),
     "cr": ("region", "cn", "cn.n_regionkey = cr.r_regionkey"),
-    "p": ("part", "l", "l_partkey = p_partkey"),
     "s": ("supplier", "l", "l_suppkey = s_suppkey"),
     "sn": ("nation", "s", "s_nationkey = sn.n_nationkey"),
     "sr": ("region", "sn", "sn.n_regionkey = sr.r_regionkey"),
+    "p": ("part", "l", "l_partkey = p_partkey"),
 }
 
 
@@ -126,11 +127,15 @@ def staging_from_orders(
         for alias in COLUMNS[name][0].split():
             need(alias)
 
+    computed = {
+        name: F.expr(COLUMNS[name][1]).cast(STAGING[name].dataType).alias(name) for name in wanted
+    }
+    of_part = [name for name in wanted if COLUMNS[name][0] == "p"]
     rows = spark.read.parquet(f"{folder}/lineitem.parquet").alias("l")
     for alias, (table, _, condition) in PARENTS.items():
         if alias in joined:
             parent = spark.read.parquet(f"{folder}/{table}.parquet").alias(alias)
+            if alias == "p":
+                parent = parent.select("p_partkey", *[computed[name] for name in of_part])
             rows = rows.join(parent, F.expr(condition))
-    return rows.select(*[
-        F.expr(COLUMNS[name][1]).cast(STAGING[name].dataType).alias(name) for name in wanted
-    ])
+    return rows.select(*[name if name in of_part else computed[name] for name in wanted])
