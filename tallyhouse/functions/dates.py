@@ -14,8 +14,9 @@ def parse_date(text: Column | str) -> Column:
 
 
 def date_key(day: Column) -> Column:
-    """A date as the integer yyyymmdd."""
-    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    """A date as the integer yyyymmdd. It names ``day`` once: where the optimizer copies
+    the expression into a filter, a parsed text is parsed once there, not per part."""
+    return F.date_format(day, "yyyyMMdd").cast("int")
 
 
 def date_parts(day: Column) -> dict[str, Column]:
