@@ -7,8 +7,9 @@
     spark-submit jobs.py marts --root R [--jdbc URL --properties FILE]
 
 ``land`` stores the staging rows, ``star`` builds dimensions and fact, ``marts`` the
-report marts. ``--staging`` names a Parquet table to use as it is, without landing. With ``--jdbc`` the last two also copy their tables into that database.
-The properties file is JSON: driver, user, password, timeouts.
+report marts. ``--staging`` names a Parquet table to use as it is, without landing. With
+``--jdbc``, ``star`` and ``marts`` also copy their tables into that database. The
+properties file is JSON: driver, user, password, timeouts.
 """
 
 from __future__ import annotations

@@ -51,6 +51,10 @@ def compare(spark, con, name, folder) -> str | None:
     import __spark_entry__ as entry
 
     rows = entry.queries()[name](spark, folder)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    for join in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        if join in plan:
+            return f"the plan has a {join}"
     found = con.execute(entry.oracle_sql()[name])
     columns = [c[0] for c in found.description]
     ours = [tuple(row) for row in rows.collect()]
