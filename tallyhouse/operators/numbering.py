@@ -4,8 +4,8 @@ A window without ``partitionBy`` sorts every row in a single task. That is the
 right plan while the rows fit one task; ``rows_per_task`` is that limit. Beyond it
 the table is cut into value ranges:
 
-1. A hash sample of the rows, of a size set by the number of ranges, gives cut
-   points. They decide how even the ranges are, never what the result is.
+1. A random sample, of a size set by the number of ranges, gives cut points. They
+   decide how even the ranges are, never what the result is.
 2. Each cut point is a range of its own (odd number), and so is each gap between
    two of them (even number). Rows are counted per range.
 3. A row's number is the number of rows in the ranges before its own plus its
@@ -42,7 +42,7 @@ def number_rows(
     if total <= rows_per_task:
         number = F.row_number().over(Window.orderBy(*order))
         return rows.withColumn(name, number.cast("bigint"))
-    ranges = _find_ranges(rows, by, by, total, rows_per_task)
+    ranges = _find_ranges(rows, by, total, rows_per_task)
     before = list(accumulate(ranges.counts, initial=0))
     placed = ranges.locate(rows)
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
@@ -56,8 +56,8 @@ def rank_rows(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add one rank per entry ``{rank column: measure}``: largest first, nulls last,
-    ties share a rank and leave a gap after it. ``row_id`` tells rows apart; it steers
-    the sample and the splitting of ties, not the result."""
+    ties share a rank and leave a gap after it. ``row_id`` tells rows apart; by it ties are
+    split over tasks."""
     total = rows.count()
     if total <= rows_per_task:
         return rows.withColumns({
@@ -66,7 +66,7 @@ def rank_rows(
         })
     ranked = rows
     for name, measure in ranks.items():
-        ranges = _find_ranges(rows, [measure], row_id, total, rows_per_task)
+        ranges = _find_ranges(rows, [measure], total, rows_per_task)
         ranked = _ranked_in_ranges(ranked, name, measure, ranges, row_id, rows_per_task)
     return ranked
 
@@ -130,15 +130,12 @@ class _Ranges:
 
 
 def _find_ranges(
-    rows: DataFrame,
-    order: Sequence[str],
-    row_id: Sequence[str],
-    total: int,
-    rows_per_task: int,
+    rows: DataFrame, order: Sequence[str], total: int, rows_per_task: int
 ) -> _Ranges:
-    """Cut points for ranges of about ``rows_per_task`` rows, and the rows in each."""
-    wanted = min(MAX_RANGES, -(-total // rows_per_task))
-    sample = _range_sample(rows, row_id, total, wanted).select(*order)
+    """Cut points for even ranges, and the rows in each. A range is a quarter of a task:
+    the shuffle deals ranges out by hash, and several may fall to one task."""
+    wanted = min(MAX_RANGES, -(-4 * total // rows_per_task))
+    sample = _range_sample(rows, total, wanted).select(*order)
     # About MAX_RANGES * SAMPLES_PER_RANGE rows at most, of the sort columns alone.
     ordered = sample.orderBy(*[F.col(c).asc_nulls_first() for c in order]).collect()
     step = max(1, len(ordered) // wanted)
@@ -154,9 +151,6 @@ def _find_ranges(
     return ranges
 
 
-def _range_sample(
-    rows: DataFrame, row_id: Sequence[str], total: int, ranges: int
-) -> DataFrame:
-    """About ``SAMPLES_PER_RANGE`` rows per range, chosen by hash of the row's id."""
-    every = max(1, total // (ranges * SAMPLES_PER_RANGE))
-    return rows.filter(F.pmod(F.xxhash64(*row_id), F.lit(every)) == 0)
+def _range_sample(rows: DataFrame, total: int, ranges: int) -> DataFrame:
+    """About ``SAMPLES_PER_RANGE`` rows per range; only cut points come from it."""
+    return rows.sample(min(1.0, ranges * SAMPLES_PER_RANGE / total), seed=1)

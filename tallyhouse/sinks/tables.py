@@ -70,12 +70,25 @@ def reload_jdbc(
     batch_size: int = 5000,
     connections: int = 8,
 ) -> int:
-    """Truncate a database table and fill it over at most ``connections`` connections."""
+    """Truncate a database table and fill it over at most ``connections`` connections.
+
+    The writer's own ``truncate`` option drops and recreates the table of any database
+    whose dialect Spark does not know, losing its definition; so the rows are appended
+    after a statement of our own.
+    """
+    _execute_jdbc(rows.sparkSession, url, f"TRUNCATE TABLE {table}", properties)
     return _write_counted(
         rows,
-        lambda r: r.write.mode("overwrite")
-        .option("truncate", True)
+        lambda r: r.write.mode("append")
         .option("batchsize", batch_size)
         .option("numPartitions", connections)
         .jdbc(url, table, properties=dict(properties)),
     )
+
+
+def _execute_jdbc(
+    spark: SparkSession, url: str, statement: str, properties: Mapping[str, str]
+) -> None:
+    """Run a statement when the session of a one-row read is opened."""
+    opened = {**properties, "sessionInitStatement": statement}
+    spark.read.jdbc(url, "(SELECT 1 AS done) opened", properties=opened).collect()

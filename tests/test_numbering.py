@@ -63,7 +63,7 @@ def test_a_shared_value_is_split_over_tasks(spark):
             "id", F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id") * 1.0).alias("v")
         )
     )
-    ranges = numbering._find_ranges(table, ["v"], ["id"], 30_000, 1000)
+    ranges = numbering._find_ranges(table, ["v"], 30_000, 1000)
     hot = max(range(len(ranges.counts)), key=lambda i: ranges.counts[i])
     assert hot % 2 == 1 and ranges.counts[hot] >= 10_000
     others = [n for i, n in enumerate(ranges.counts) if i != hot]
@@ -91,9 +91,9 @@ def test_cut_points_stay_bounded(spark, monkeypatch):
     """However large the table, the ranges and the sample behind them are limited."""
     monkeypatch.setattr(numbering, "MAX_RANGES", 8)
     table = stage(spark.range(20_000).withColumn("v", F.xxhash64("id")))
-    ranges = numbering._find_ranges(table, ["v"], ["id"], 20_000, 10)
+    ranges = numbering._find_ranges(table, ["v"], 20_000, 10)
     assert len(ranges.counts) <= 2 * 9 + 1
     assert sum(ranges.counts) == 20_000
-    assert numbering._range_sample(table, ["id"], 20_000, 8).count() < 2 * 8 * numbering.SAMPLES_PER_RANGE
+    assert numbering._range_sample(table, 20_000, 8).count() < 2 * 8 * numbering.SAMPLES_PER_RANGE
     ranked = rank_rows(table, {"r": "v"}, ["id"], rows_per_task=10)
     assert ranked.agg(F.countDistinct("r"), F.max("r")).first()[:] == (20_000, 20_000)

@@ -77,20 +77,34 @@ def test_jdbc_read_options(spark):
 
 
 def test_jdbc_write_options(spark):
+    """What is handed to Spark's reader and writer; no database is started for it."""
     calls = []
 
-    def record(writer, url, table, mode=None, properties=None):
+    def read(reader, url, table, properties=None):
+        calls.append((url, properties["sessionInitStatement"], properties["driver"]))
+        return spark.range(1)
+
+    def write(writer, url, table, mode=None, properties=None):
         calls.append((url, table, properties))
         writer.format("noop").mode("overwrite").save()
 
-    with mock.patch.object(DataFrameWriter, "jdbc", record), mock.patch.object(
+    with mock.patch.object(DataFrameReader, "jdbc", read), mock.patch.object(
+        DataFrameWriter, "jdbc", write
+    ), mock.patch.object(
         DataFrameWriter, "option", autospec=True, side_effect=lambda w, k, v: w
-    ) as option:
-        assert sinks.reload_jdbc(spark.range(7), "jdbc:x", "m", {"driver": "d"}) == 7
+    ) as option, mock.patch.object(
+        DataFrameWriter, "mode", autospec=True, side_effect=DataFrameWriter.mode
+    ) as mode:
+        assert sinks.reload_jdbc(spark.range(7), "jdbc:x", "db.m", {"driver": "d"}) == 7
         assert sinks.overwrite_jdbc(spark.range(3), "jdbc:x", "d", {"driver": "d"}) == 3
-    assert calls == [("jdbc:x", "m", {"driver": "d"}), ("jdbc:x", "d", {"driver": "d"})]
+    assert calls == [
+        ("jdbc:x", "TRUNCATE TABLE db.m", "d"),
+        ("jdbc:x", "db.m", {"driver": "d"}),
+        ("jdbc:x", "d", {"driver": "d"}),
+    ]
     options = {c.args[1]: c.args[2] for c in option.call_args_list}
-    assert (options["truncate"], options["batchsize"], options["numPartitions"]) == (True, 5000, 8)
+    assert (options["batchsize"], options["numPartitions"]) == (5000, 8)
+    assert [c.args[1] for c in mode.call_args_list].count("append") == 1
 
 
 def test_overwrite_counts_and_replaces(spark, tmp_path):

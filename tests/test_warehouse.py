@@ -71,7 +71,7 @@ def test_publishing_copies_every_table(spark, built):
     """The tables and counts handed to the writer; no database is started for it."""
     from unittest import mock
 
-    from pyspark.sql import DataFrameWriter
+    from pyspark.sql import DataFrameReader, DataFrameWriter
 
     root, _, counts = built
     written = []
@@ -80,7 +80,9 @@ def test_publishing_copies_every_table(spark, built):
         written.append(table)
         writer._df.write.format("noop").mode("overwrite").save()
 
-    with mock.patch.object(DataFrameWriter, "jdbc", record):
+    with mock.patch.object(DataFrameWriter, "jdbc", record), mock.patch.object(
+        DataFrameReader, "jdbc", lambda *_, **__: spark.range(1)
+    ):
         published = warehouse.publish_star(spark, root, "jdbc:x", {})
         published |= warehouse.publish_marts(spark, root, "jdbc:x", {})
     assert sorted(written) == sorted([*STAR, *MARTS])
