@@ -4,10 +4,11 @@
     spark-submit jobs.py land  --root R --jdbc URL --table T --properties FILE
                                [--split-column id --parts 64]
     spark-submit jobs.py star  --root R [--staging PATH] [--jdbc URL --properties FILE]
-    spark-submit jobs.py marts --root R [--jdbc URL --properties FILE]
+    spark-submit jobs.py marts --root R [--star-jdbc URL --star-properties FILE]
+                               [--jdbc URL --properties FILE]
 
 ``land`` stores the staging rows, ``star`` builds dimensions and fact, ``marts`` the
-report marts. ``--staging`` names a Parquet table to use as it is, without landing. With
+report marts. ``--staging`` names a Parquet table to use as it is, without landing, ``--star-jdbc`` a database that holds the star tables. With
 ``--jdbc``, ``star`` and ``marts`` also copy their tables into that database. The
 properties file is JSON: driver, user, password, timeouts.
 """
@@ -37,12 +38,18 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--jdbc", help="database URL")
     parser.add_argument("--table", help="staging table in the database")
     parser.add_argument("--properties", type=Path, help="JSON file of connection properties")
+    parser.add_argument("--star-jdbc", help="URL of a database to read the star tables from")
+    parser.add_argument("--star-properties", type=Path, help="JSON file for --star-jdbc")
     parser.add_argument("--split-column", help="integer column to read by in parts")
     parser.add_argument("--parts", type=int, default=16)
     parser.add_argument("--null-safe", action="store_true", help="let null business keys match")
     return parser.parse_args()
 
 
+def connection(path: Path | None) -> dict:
+    return json.loads(path.read_text()) if path else {}
+
+
 def staging(spark: SparkSession, args: argparse.Namespace, properties: dict):
     if args.csv:
         return read_csv_staging(spark, args.csv, multi_line=not args.single_line)
@@ -55,7 +62,7 @@ def staging(spark: SparkSession, args: argparse.Namespace, properties: dict):
 def main() -> None:
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     args = arguments()
-    properties = json.loads(args.properties.read_text()) if args.properties else {}
+    properties = connection(args.properties)
     spark = SparkSession.builder.appName(f"tallyhouse {args.job}").getOrCreate()
     if args.job == "land":
         rows = warehouse.land_staging(staging(spark, args, properties), args.root)
@@ -66,7 +73,10 @@ def main() -> None:
         if args.jdbc:
             warehouse.publish_star(spark, args.root, args.jdbc, properties)
     else:
-        warehouse.build_marts(spark, args.root)
+        star = args.star_jdbc and warehouse.star_from_jdbc(
+            spark, args.star_jdbc, connection(args.star_properties), args.parts
+        )
+        warehouse.build_marts(spark, args.root, star=star or None)
         if args.jdbc:
             warehouse.publish_marts(spark, args.root, args.jdbc, properties)
     spark.stop()

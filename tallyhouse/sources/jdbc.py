@@ -33,8 +33,8 @@ def key_split(
 def hash_predicates(column: str, parts: int) -> list[str]:
     """Conditions that deal rows out by remainder: even also where values lie unevenly.
     Every row meets exactly one of them."""
-    remainders = [f"ABS(MOD({column}, {parts})) = {i}" for i in range(parts)]
-    return [f"({remainders[0]} OR {column} IS NULL)", *remainders[1:]]
+    remainders = [f"ABS(MOD(({column}), {parts})) = {i}" for i in range(parts)]
+    return [f"({remainders[0]} OR ({column}) IS NULL)", *remainders[1:]]
 
 
 def read_jdbc(

@@ -146,3 +146,28 @@ def test_plain_sql_over_the_tables(spark, built, query, rows):
 def test_no_sales_at_all(sales, tmp_path):
     counts = warehouse.run(sales(), str(tmp_path))
     assert set(counts) == set(TABLES) and not any(counts.values())
+
+
+def test_marts_from_a_star_in_a_database(spark, built, tmp_path):
+    """The tables a database would give, one per name; no database is started for it."""
+    from unittest import mock
+
+    from pyspark.sql import DataFrameReader, functions as F
+
+    root, _, counts = built
+
+    def read(reader, url, table, predicates=None, properties=None):
+        rows = read_table(spark, root, table)
+        if predicates:
+            parts = [rows.filter(F.expr(p)).count() for p in predicates]
+            assert sum(parts) == rows.count() and max(parts) < 2 * rows.count() / len(parts)
+        return rows
+
+    with mock.patch.object(DataFrameReader, "jdbc", read):
+        star = warehouse.star_from_jdbc(spark, "jdbc:x", {}, parts=4)
+    found = warehouse.build_marts(spark, str(tmp_path), star=star)
+    assert found == {name: counts[name] for name in MARTS}
+    for name in MARTS:
+        assert rows_of(read_table(spark, str(tmp_path), name)) == rows_of(
+            read_table(spark, root, name)
+        )
