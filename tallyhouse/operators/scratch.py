@@ -1,32 +1,29 @@
 """Intermediate tables, written once and read as often as needed.
 
 A written table cuts the lineage, survives the loss of executors, and has a size
-the planner can read when it chooses between a broadcast and a shuffle join.
+the planner can read when it chooses between a broadcast and a shuffle join. All of
+a session's intermediate tables lie in one run folder, which ``release`` removes.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_OWN_FOLDER = "tallyhouse.scratch.dir"
+_released_at_exit: set[str] = set()
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own, the same one
-    for the whole session.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_FOLDER, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tallyhouse-")
-    spark.conf.set(_OWN_FOLDER, folder)
+    """The run folder of the session: in the folder ``spark.checkpoint.dir`` names, which
+    all executors share, else in the warehouse folder. It is removed at the latest when
+    the driver exits."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/tallyhouse-{spark.sparkContext.applicationId}"
+    if folder not in _released_at_exit:
+        _released_at_exit.add(folder)
+        atexit.register(_release_at_exit, spark, folder)
     return folder
 
 
@@ -35,8 +32,19 @@ def scratch_path(spark: SparkSession, label: str = "stage") -> str:
 
 
 def stage(rows: DataFrame) -> DataFrame:
-    """``rows`` written to the scratch folder and read back."""
+    """``rows`` written to the run folder and read back."""
     spark = rows.sparkSession
     path = scratch_path(spark)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str | None = None) -> None:
+    """Remove one intermediate table, or the whole run folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path or scratch_folder(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _release_at_exit(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        release(spark, folder)

@@ -1,6 +1,7 @@
-import pytest
+from pathlib import Path
+from urllib.parse import urlparse
 
-from tallyhouse.operators.scratch import scratch_folder, scratch_path
+from tallyhouse.operators.scratch import release, scratch_folder, scratch_path, stage
 
 
 class Session:
@@ -9,33 +10,30 @@ class Session:
     def __init__(self, **settings):
         self.settings = settings
         self.conf = self
+        self.sparkContext = self
+        self.applicationId = "app-1"
+        self._jsc = None
 
     def get(self, name, default=None):
         return self.settings.get(name, default)
 
-    def set(self, name, value):
-        self.settings[name] = value
-
 
 def test_the_folder_of_the_session_is_used():
-    spark = Session(**{"spark.checkpoint.dir": "hdfs:///ck/", "spark.master": "yarn"})
-    assert scratch_folder(spark) == "hdfs:///ck"
-    assert scratch_path(spark, "a").startswith("hdfs:///ck/a-")
+    spark = Session(**{"spark.checkpoint.dir": "hdfs:///ck/", "spark.sql.warehouse.dir": "/w"})
+    assert scratch_folder(spark) == "hdfs:///ck/tallyhouse-app-1"
+    assert scratch_path(spark, "a").startswith("hdfs:///ck/tallyhouse-app-1/a-")
     assert scratch_path(spark) != scratch_path(spark)
 
 
-def test_a_local_session_gets_one_folder():
-    spark = Session(**{"spark.master": "local[2]"})
-    assert scratch_folder(spark) == scratch_folder(spark)
-
-
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_folder(Session(**{"spark.master": "spark://host:7077"}))
+def test_without_that_setting_the_warehouse_folder_is_used():
+    assert scratch_folder(Session(**{"spark.sql.warehouse.dir": "s3a://b/w"})) == (
+        "s3a://b/w/tallyhouse-app-1"
+    )
 
 
-def test_real_sessions_take_the_setting(spark):
-    name = "tallyhouse.scratch.dir"
-    spark.conf.set(name, "/tmp/x")
-    spark.conf.unset(name)
-    assert scratch_folder(spark)
+def test_released_tables_are_gone(spark):
+    staged = stage(spark.range(3))
+    folder = Path(urlparse(scratch_folder(spark)).path)
+    assert staged.count() == 3 and any(folder.iterdir())
+    release(spark)
+    assert not folder.exists()
