@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from tallyhouse.llm.arrow import map_batches
 from tallyhouse.llm.columns import column, fresh, id_and_text
 from tallyhouse.operators.scratch import stage
 
@@ -47,7 +48,7 @@ def with_digest(rows: DataFrame, text_column: str, name: str) -> DataFrame:
             yield batch.append_column(name, pa.array(found, pa.binary()))
 
     schema = T.StructType([*rows.schema, T.StructField(name, T.BinaryType())])
-    return rows.mapInArrow(hashed, schema)
+    return map_batches(rows, hashed, schema)
 
 
 def digests(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -79,8 +80,7 @@ def frequent_digests(rows: DataFrame, counters: int = COUNTERS) -> DataFrame:
         )
 
     summed = (
-        rows.select("digest")
-        .mapInArrow(summary, "digest binary, n bigint")
+        map_batches(rows.select("digest"), summary, "digest binary, n bigint")
         .groupBy("digest")
         .agg(F.sum("n").alias("n"))
     )

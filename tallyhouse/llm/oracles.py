@@ -5,7 +5,7 @@ WITH split AS (
     SELECT doc_id, coalesce(text, '') AS text,
            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
            list_filter(string_split(coalesce(text, ''), chr(10)),
-                       x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+                       lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
     FROM documents
 ), places AS (
     SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM split WHERE len(words) > 2

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import exact_dedup, oracles, quality_rules as rules
+from tallyhouse.llm import exact_dedup, oracles, quality_classifier, quality_rules as rules, toxicity
+from tallyhouse.llm.labels import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,20 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = toxicity.train(docs, labels(spark, folder), learn=~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "sentences",
+    )
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     base = ~rules.passes(rules.BASE)
@@ -25,12 +40,24 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = quality_classifier.train(docs, labels(spark, folder), learn=~held_out)
+    return quality_classifier.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, folder))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op5_quality_classifier": op5_quality_classifier,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
