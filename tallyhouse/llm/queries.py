@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import exact_dedup, oracles, quality_classifier, quality_rules as rules, toxicity
+from tallyhouse.llm import (
+    exact_dedup, license_scan, oracles, packing, quality_classifier, quality_rules as rules,
+    token_counts, toxicity,
+)
 from tallyhouse.llm.labels import remainder
+from tallyhouse.llm.license_texts import TEMPLATES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,15 +56,32 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+    return packing.pack(documents(spark, folder), tokenizer)
+
+
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(documents(spark, folder), TEMPLATES)
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, folder))
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = token_counts.Vocabulary.from_file(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(documents(spark, folder), pieces)
+
+
 QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_packing": op6_packing,
+    "op7_license_scan": op7_license_scan,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
