@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm import (
-    exact_dedup, license_scan, oracles, packing, quality_classifier, quality_rules as rules,
+    exact_dedup, license_scan, near_dedup, oracles, packing, quality_classifier, quality_rules as rules,
     token_counts, toxicity,
 )
 from tallyhouse.llm.labels import remainder
@@ -65,6 +65,10 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(documents(spark, folder), TEMPLATES)
 
 
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(documents(spark, folder), shingle_words=2, similarity=80)
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, folder))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_packing": op6_packing,
     "op7_license_scan": op7_license_scan,
+    "op8_near_dedup": op8_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
 }
