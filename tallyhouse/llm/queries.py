@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm import (
-    exact_dedup, license_scan, near_dedup, oracles, packing, quality_classifier, quality_rules as rules,
+    exact_dedup, language_model, license_scan, near_dedup, oracles, packing, quality_classifier, quality_rules as rules,
     token_counts, toxicity,
 )
 from tallyhouse.llm.labels import remainder
@@ -46,6 +46,13 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    model, counts = language_model.train(docs, learn=~held_out)
+    return language_model.score(docs, model, counts).withColumn("held_out", held_out)
+
+
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     held_out = remainder(F.col("doc_id"), 4) == 2
@@ -81,6 +88,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op4_language_model": op4_language_model,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_packing": op6_packing,
     "op7_license_scan": op7_license_scan,
