@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -39,38 +40,46 @@ PIECES = (
 K1, B = 1.2, 0.75
 #: Of so many best neighbours the first that fits whole is preferred to a cut.
 _LOOKED_AT = 8
-#: Words encoded once and remembered by a worker: at most so many, of so many characters.
-REMEMBERED, REMEMBERED_CHARS = 250_000, 40
+#: Words encoded once and remembered by a worker: at most twice as many, of so many bytes.
+REMEMBERED, REMEMBERED_BYTES = 500_000, 40
+_MARKS = b".,!?;:#$%&*|()"
+_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
 
 class Encoder(dict):
-    """Bytes of the little-endian 32-bit ids of a word between spaces. The tokenizer treats
-    such words apart; two generations of remembered words bound the memory."""
+    """Bytes of the little-endian 32-bit ids of words between ASCII white space, as bytes
+    with A-Z lower-cased. The tokenizer lower-cases, too, and treats such words apart, and
+    likewise marks that follow an ASCII letter at the end of a word. Two generations of
+    remembered words bound the memory."""
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.old: dict[str, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= REMEMBERED_CHARS:
+            stem = word.rstrip(_MARKS)
+            if stem and stem != word and stem[-1] in _LETTERS:
+                ids = self[stem] + self[word[len(stem) :]]
+            else:
+                found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+                ids = pack_ids(f"<{len(found)}I", *found)
+        if len(word) <= REMEMBERED_BYTES:
             if len(self) >= REMEMBERED:
                 self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
-    def ids(self, text: str | None) -> bytes:
-        words = (text or "").replace("\n", " ").split(" ")
-        return b"".join(map(self.__getitem__, words))
+    def ids(self, text: bytes) -> bytes:
+        return b"".join(map(self.__getitem__, text.lower().split()))
 
 
 @cache
@@ -220,7 +229,8 @@ def pack(
         shard, tokens = [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(encoder.ids(text.as_py()) + closing, "<u4")
+                data = text.as_buffer().to_pybytes() if text.is_valid else b""
+                ids = np.frombuffer(encoder.ids(data) + closing, "<u4")
                 shard.append((doc_id, ids))
                 tokens += len(ids)
                 if tokens >= shard_tokens:
