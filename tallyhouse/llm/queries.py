@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm import (
-    exact_dedup, language_model, license_scan, near_dedup, oracles, packing, quality_classifier, quality_rules as rules,
+    byte_bpe, exact_dedup, language_model, license_scan, near_dedup, oracles, packing, quality_classifier, quality_rules as rules,
     token_counts, toxicity,
 )
 from tallyhouse.llm.labels import remainder
@@ -26,6 +26,12 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    ids = byte_bpe.encode(documents(spark, folder), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digests(ids, ranks)
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     held_out = remainder(F.col("doc_id"), 3) == 1
@@ -86,6 +92,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op4_language_model": op4_language_model,
