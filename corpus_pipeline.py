@@ -2,35 +2,66 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
 Parquet and read again as the next stage's ``docs``. All but the last return the columns of
-``docs``. An empty table passes every stage as an empty table.
+``docs``; the last returns one row per piece of a document in a sequence. Rows with null
+or empty texts fail the rules. An empty table passes every stage as an empty table. The
+classifier learns from the labels of all documents, as few bad ones are left to learn
+from after the rules; without a label of each class it rejects nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pathlib import Path
 
-from tallyhouse.llm import exact_dedup, quality_rules
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tallyhouse.llm import exact_dedup, near_dedup, packing, quality_classifier, quality_rules
+from tallyhouse.llm.labels import remainder
 from tallyhouse.operators.scratch import stage
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def pass_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
 
+def pass_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    texts = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.train(texts, _table(spark, sf_dir, "labels"), learn=~held_out)
+    return quality_classifier.keep(docs, model)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.drop_near_copies(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tokenizer = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+    return packing.pack(docs, tokenizer)
+
+
 STAGES = [
     ("quality_rules", pass_rules),
+    ("quality_classifier", pass_classifier),
     ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("packing", pack_sequences),
 ]
 
+#: The classifier is trained and the near-duplicates are hashed: SQL cannot express them.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES[:-1]:
+    rows = _table(spark, sf_dir, "documents")
+    for _, step in STAGES[:-1]:
         rows = stage(step(spark, rows, sf_dir))
     return STAGES[-1][1](spark, rows, sf_dir)

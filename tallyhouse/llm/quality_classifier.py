@@ -52,6 +52,7 @@ class Model:
 
     weights: np.ndarray
     bias: float
+    fitted: bool = True
 
 
 def _features(texts: Texts) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -128,7 +129,7 @@ def fit(
     """Softmax over the mean vector, gradient steps on shuffled small batches."""
     table = _REPEAT + 1
     if len(set(y.tolist())) < 2:
-        return Model(np.zeros(table, np.float32), 0.0)
+        return Model(np.zeros(table, np.float32), 0.0, fitted=False)
     bounds = np.asarray(entries.offsets)
     bounds, first = bounds - bounds[0], bounds[0]
     flat = np.asarray(entries.values)[first:].astype(np.int64)
@@ -193,7 +194,10 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 
 
 def keep(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` scored ``threshold`` or more, with their columns."""
+    """The rows of ``docs`` scored ``threshold`` or more, with their columns; all rows if the
+    model had nothing to learn from."""
+    if not model.fitted:
+        return docs
     name = fresh(docs, "quality_score")
     rows = docs.withColumn(text_column, column(text_column).cast("string"))
     scored = annotate(rows, text_column, {name: "double"}, _scorer(model))

@@ -186,6 +186,9 @@ def ablation(rows: DataFrame, policies: Sequence[Policy], bits: str = "failed_ru
 def keep(docs: DataFrame, policy: Policy = STRICT, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass ``policy``, with their columns."""
     rows = ledger(docs, text_column)
-    return rows.filter(passes(policy, fresh(docs, "failed_rules"))).select(
-        *[column(c) for c in docs.columns]
-    )
+    # A row number is no deterministic column: the filter stays above the measures instead of
+    # being pushed below them with a copy of all their expressions.
+    number = fresh(rows, "row_number")
+    numbered = rows.withColumn(number, F.monotonically_increasing_id())
+    passed = passes(policy, fresh(docs, "failed_rules")) & (F.col(number) >= 0)
+    return numbered.filter(passed).select(*[column(c) for c in docs.columns])
