@@ -23,6 +23,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from tallyhouse import warehouse
+from tallyhouse.operators import released
 from tallyhouse.schema import STAGING
 from tallyhouse.sources import key_split, read_csv_staging, read_jdbc
 
@@ -32,8 +33,8 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("job", choices=["land", "star", "marts"])
     parser.add_argument("--root", required=True, help="folder of the warehouse tables")
     parser.add_argument("--csv", nargs="+", help="staging files with a header line")
-    parser.add_argument("--single-line", action="store_true",
-                        help="no quoted line breaks: large files can be split")
+    parser.add_argument("--multi-line", action="store_true",
+                        help="texts may hold quoted line breaks: files cannot be split")
     parser.add_argument("--staging", help="Parquet table with the staging columns")
     parser.add_argument("--jdbc", help="database URL")
     parser.add_argument("--table", help="staging table in the database")
@@ -42,8 +43,14 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--star-properties", type=Path, help="JSON file for --star-jdbc")
     parser.add_argument("--split-column", help="integer column to read by in parts")
     parser.add_argument("--parts", type=int, default=16)
+    parser.add_argument("--unsplit", action="store_true", help="read over one connection")
     parser.add_argument("--null-safe", action="store_true", help="let null business keys match")
-    return parser.parse_args()
+    args = parser.parse_args()
+    if args.job == "land" and not (args.csv or args.jdbc):
+        parser.error("land needs --csv or --jdbc")
+    if args.job == "land" and args.jdbc and not (args.split_column or args.unsplit):
+        parser.error("land --jdbc needs --split-column, or --unsplit for a small table")
+    return args
 
 
 def connection(path: Path | None) -> dict:
@@ -52,7 +59,7 @@ def connection(path: Path | None) -> dict:
 
 def staging(spark: SparkSession, args: argparse.Namespace, properties: dict):
     if args.csv:
-        return read_csv_staging(spark, args.csv, multi_line=not args.single_line)
+        return read_csv_staging(spark, args.csv, multi_line=args.multi_line)
     split = args.split_column and key_split(
         spark, args.jdbc, args.table, args.split_column, args.parts, properties
     )
@@ -64,6 +71,12 @@ def main() -> None:
     args = arguments()
     properties = connection(args.properties)
     spark = SparkSession.builder.appName(f"tallyhouse {args.job}").getOrCreate()
+    with released(spark):
+        run(spark, args, properties)
+    spark.stop()
+
+
+def run(spark: SparkSession, args: argparse.Namespace, properties: dict) -> None:
     if args.job == "land":
         rows = warehouse.land_staging(staging(spark, args, properties), args.root)
         logging.info("staging: %d rows written", rows)
@@ -79,7 +92,6 @@ def main() -> None:
         warehouse.build_marts(spark, args.root, star=star or None)
         if args.jdbc:
             warehouse.publish_marts(spark, args.root, args.jdbc, properties)
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -8,14 +8,14 @@ from tallyhouse.sources.order_tables import COLUMNS
 _RAW = "SELECT {columns} FROM {tables}".format(
     columns=",\n  ".join(f"{expression} AS {name}" for name, (_, expression) in COLUMNS.items()),
     tables="""lineitem
-  JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey
-  JOIN nation cn ON c_nationkey = cn.n_nationkey
-  JOIN region cr ON cn.n_regionkey = cr.r_regionkey
-  JOIN part ON l_partkey = p_partkey
-  JOIN supplier ON l_suppkey = s_suppkey
-  JOIN nation sn ON s_nationkey = sn.n_nationkey
-  JOIN region sr ON sn.n_regionkey = sr.r_regionkey""",
+  LEFT JOIN orders ON l_orderkey = o_orderkey
+  LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN nation cn ON c_nationkey = cn.n_nationkey
+  LEFT JOIN region cr ON cn.n_regionkey = cr.r_regionkey
+  LEFT JOIN part ON l_partkey = p_partkey
+  LEFT JOIN supplier ON l_suppkey = s_suppkey
+  LEFT JOIN nation sn ON s_nationkey = sn.n_nationkey
+  LEFT JOIN region sr ON sn.n_regionkey = sr.r_regionkey""",
 )
 
 _DIM_DATE = """
@@ -142,7 +142,7 @@ _TIME_SALES = f"""
 
 
 def _rank(measure: str) -> str:
-    return f"CAST(rank() OVER (ORDER BY {measure} DESC NULLS LAST) AS INTEGER)"
+    return f"CAST(rank() OVER (ORDER BY {measure} DESC NULLS LAST) AS BIGINT)"
 
 
 _PRODUCT_SALES = f"""
@@ -255,7 +255,7 @@ _REPORTS = {
       ORDER BY year, month""",
     "yearly_trend": f"""
       SELECT year, {_total('sale_total_price')} AS total_revenue, COUNT(*) AS order_count,
-        {_total('sale_total_price')} / COUNT(*) AS avg_order_size
+        {_mean('sale_total_price')} AS avg_order_size
       FROM fact_sales JOIN dim_date USING (date_key) GROUP BY year ORDER BY year""",
     "period_comparison": """
       SELECT year, month, total_revenue, previous_revenue, year_before_revenue,
@@ -269,9 +269,9 @@ _REPORTS = {
           CAST(now - year_before AS DOUBLE) AS year_change
         FROM (
           SELECT m.year, m.month, m.amount AS now,
-            lag(m.amount) OVER (ORDER BY m.year, m.month) AS before,
-            y.amount AS year_before
-          FROM months m LEFT JOIN months y ON y.year = m.year - 1 AND y.month = m.month))
+            b.amount AS before, y.amount AS year_before
+          FROM months m LEFT JOIN months y ON y.year = m.year - 1 AND y.month = m.month
+            LEFT JOIN months b ON b.year * 12 + b.month = m.year * 12 + m.month - 1))
       ORDER BY year, month""",
     "avg_order_size": """
       SELECT year, month, month_name, order_count, avg_order_size FROM mart_time_sales

@@ -1,13 +1,13 @@
 from tallyhouse.operators.dedup import one_row_per_key, variants
-from tallyhouse.operators.numbering import ROWS_PER_TASK, number_rows, rank_rows
-from tallyhouse.operators.scratch import release, scratch_folder, stage
+from tallyhouse.operators.numbering import number_rows, rank_rows
+from tallyhouse.operators.scratch import release, released, scratch_folder, stage
 
 __all__ = [
-    "ROWS_PER_TASK",
     "number_rows",
     "one_row_per_key",
     "rank_rows",
     "release",
+    "released",
     "scratch_folder",
     "stage",
     "variants",

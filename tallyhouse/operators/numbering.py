@@ -1,156 +1,61 @@
 """Row numbers and ranks over a whole table, without one task that holds it.
 
-A window without ``partitionBy`` sorts every row in a single task. That is the
-right plan while the rows fit one task; ``rows_per_task`` is that limit. Beyond it
-the table is cut into value ranges:
+The rows are dealt into ranges of the order, as many as the session's shuffles have
+partitions, and written with the number of their range. The ranges are counted; a row's
+number is the number of rows in the ranges before its own plus its number within the range.
 
-1. A random sample, of a size set by the number of ranges, gives cut points. They
-   decide how even the ranges are, never what the result is.
-2. Each cut point is a range of its own (odd number), and so is each gap between
-   two of them (even number). Rows are counted per range.
-3. A row's number is the number of rows in the ranges before its own plus its
-   number within the range, which is a window partitioned by range.
-
-A value shared by many rows is hit by several sample rows and thereby becomes a cut
-point. All rows of that range tie, so it can be split further at will: their rank is
-the same in every part.
+Ranks are found for the distinct values of a measure, each with the number of its rows, and
+joined back: rows that tie are one value there, however many they are.
 
 Both functions read their input several times; hand them a written table.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from itertools import accumulate, cycle
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StructType
 
-ROWS_PER_TASK = 500_000
-MAX_RANGES = 4096
-SAMPLES_PER_RANGE = 32
+from tallyhouse.operators.scratch import stage
 
 
-def number_rows(
-    rows: DataFrame, by: Sequence[str], name: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def number_rows(rows: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     """Add 1..n in ascending order of ``by``, nulls first. ``by`` must be unique."""
-    total = rows.count()
     order = [F.col(c).asc_nulls_first() for c in by]
-    if total <= rows_per_task:
-        number = F.row_number().over(Window.orderBy(*order))
-        return rows.withColumn(name, number.cast("bigint"))
-    ranges = _find_ranges(rows, by, total, rows_per_task)
-    before = list(accumulate(ranges.counts, initial=0))
-    placed = ranges.locate(rows)
+    placed = _in_ranges(rows, order, F.lit(1))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return placed.select(*rows.columns, (_pick(before, "_range") + within).alias(name))
+    return placed.select(*rows.columns, (F.col("_before") + within).alias(name))
 
 
-def rank_rows(
-    rows: DataFrame,
-    ranks: Mapping[str, str],
-    row_id: Sequence[str],
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Add one rank per entry ``{rank column: measure}``: largest first, nulls last,
-    ties share a rank and leave a gap after it. ``row_id`` tells rows apart; by it ties are
-    split over tasks."""
-    total = rows.count()
-    if total <= rows_per_task:
-        return rows.withColumns({
-            name: F.rank().over(Window.orderBy(F.col(m).desc_nulls_last())).cast("bigint")
-            for name, m in ranks.items()
-        })
+def rank_rows(rows: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
+    """Add one rank per entry ``{rank column: measure}``: largest first, nulls last, ties
+    share a rank and leave a gap after it."""
     ranked = rows
     for name, measure in ranks.items():
-        ranges = _find_ranges(rows, [measure], total, rows_per_task)
-        ranked = _ranked_in_ranges(ranked, name, measure, ranges, row_id, rows_per_task)
+        values = _ranked_values(rows, measure, name)
+        same = ranked[measure].eqNullSafe(values["_value"])
+        ranked = ranked.join(values, same, "left").drop("_value")
     return ranked
 
 
-def _ranked_in_ranges(
-    rows: DataFrame,
-    name: str,
-    measure: str,
-    ranges: _Ranges,
-    row_id: Sequence[str],
-    rows_per_task: int,
-) -> DataFrame:
-    upto = list(accumulate(ranges.counts))
-    above = [upto[-1] - count for count in upto]
-    parts = [
-        -(-count // rows_per_task) if all_tie else 1
-        for count, all_tie in zip(ranges.counts, cycle([False, True]))
-    ]
-    placed, group = ranges.locate(rows), ["_range"]
-    if max(parts) > 1:
-        split = F.pmod(F.xxhash64(*row_id), _pick([max(1, n) for n in parts], "_range"))
-        placed, group = placed.withColumn("_part", split), ["_range", "_part"]
-    within = F.rank().over(Window.partitionBy(*group).orderBy(F.col(measure).desc_nulls_last()))
-    return placed.select(*rows.columns, (_pick(above, "_range") + within).alias(name))
-
-
-def _constant(values: list, array_of: str) -> Column:
-    """A constant array; folded once by the optimizer, however long."""
-    return F.from_json(F.lit(json.dumps(values, default=str)), f"array<{array_of}>")
-
-
-def _pick(numbers: list[int], index: str) -> Column:
-    return F.get(_constant(numbers, "bigint"), index)
-
-
-@dataclass(frozen=True)
-class _Ranges:
-    """The cut points of one sort order and the number of rows per range."""
-
-    order: tuple[str, ...]
-    cuts: list[tuple]
-    known: Column
-    counts: list[int]
-
-    def locate(self, rows: DataFrame) -> DataFrame:
-        """Add ``_range``, by binary search for the number of cuts below the value.
-
-        The search is unrolled into one projection per step, which compiles to plain
-        comparisons. A position past the end reads as null: nothing is below there.
-        Values are compared as structs, which order nulls first.
-        """
-        columns = rows.columns
-        rows = rows.select("*", F.struct(*self.order).alias("_value"), F.lit(0).alias("_below"))
-        for bit in reversed(range(len(self.cuts).bit_length())):
-            jump = 1 << bit
-            reached = F.get(self.known, F.col("_below") + (jump - 1)) < F.col("_value")
-            below = F.col("_below") + F.when(reached, jump).otherwise(0)
-            rows = rows.select(*columns, "_value", below.alias("_below"))
-        on_cut = F.when(F.get(self.known, F.col("_below")) == F.col("_value"), 1).otherwise(0)
-        return rows.select(*columns, (F.col("_below") * 2 + on_cut).alias("_range"))
-
-
-def _find_ranges(
-    rows: DataFrame, order: Sequence[str], total: int, rows_per_task: int
-) -> _Ranges:
-    """Cut points for even ranges, and the rows in each. A range is a quarter of a task:
-    the shuffle deals ranges out by hash, and several may fall to one task."""
-    wanted = min(MAX_RANGES, -(-4 * total // rows_per_task))
-    sample = _range_sample(rows, total, wanted).select(*order)
-    # About MAX_RANGES * SAMPLES_PER_RANGE rows at most, of the sort columns alone.
-    ordered = sample.orderBy(*[F.col(c).asc_nulls_first() for c in order]).collect()
-    step = max(1, len(ordered) // wanted)
-    cuts = list(dict.fromkeys(tuple(row) for row in ordered[step::step]))
-    kind = StructType([rows.schema[c] for c in order]).simpleString()
-    known = _constant([dict(zip(order, cut)) for cut in cuts], kind)
-
-    counts = [0] * (2 * len(cuts) + 1)
-    ranges = _Ranges(tuple(order), cuts, known, counts)
-    # One row per range, whatever the size of the table.
-    for found in ranges.locate(rows.select(*order)).groupBy("_range").count().collect():
-        counts[found["_range"]] = found["count"]
-    return ranges
-
-
-def _range_sample(rows: DataFrame, total: int, ranges: int) -> DataFrame:
-    """About ``SAMPLES_PER_RANGE`` rows per range; only cut points come from it."""
-    return rows.sample(min(1.0, ranges * SAMPLES_PER_RANGE / total), seed=1)
+def _ranked_values(rows: DataFrame, measure: str, name: str) -> DataFrame:
+    values = rows.groupBy(F.col(measure).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    order = F.col("_value").desc_nulls_last()
+    placed = _in_ranges(values, [order], F.col("_rows"))
+    above = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    larger = F.col("_before") + F.coalesce(F.sum("_rows").over(above), F.lit(0))
+    return placed.select("_value", (larger + 1).cast("bigint").alias(name))
+
+
+def _in_ranges(rows: DataFrame, order: Sequence[Column], weight: Column) -> DataFrame:
+    """``rows`` with ``_range``, in the order of the ranges, and ``_before``, the weight of all
+    ranges before. The driver gets one number per range."""
+    ranged = rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    placed = stage(ranged)
+    weights = placed.groupBy("_range").agg(F.sum(weight).alias("n")).orderBy("_range").collect()
+    before = accumulate((row["n"] for row in weights), initial=0)
+    offsets = rows.sparkSession.createDataFrame(
+        [(row["_range"], n) for row, n in zip(weights, before)], "_range int, _before bigint"
+    )
+    return placed.join(F.broadcast(offsets), "_range")

@@ -8,11 +8,14 @@ a session's intermediate tables lie in one run folder, which ``release`` removes
 from __future__ import annotations
 
 import atexit
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _released_at_exit: set[str] = set()
+_open_jobs: list[str] = []
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -24,7 +27,7 @@ def scratch_folder(spark: SparkSession) -> str:
     if folder not in _released_at_exit:
         _released_at_exit.add(folder)
         atexit.register(_release_at_exit, spark, folder)
-    return folder
+    return f"{folder}/{_open_jobs[-1]}" if _open_jobs else folder
 
 
 def scratch_path(spark: SparkSession, label: str = "stage") -> str:
@@ -39,6 +42,22 @@ def stage(rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside, by any thread, are removed at the end, also after
+    a failure. Of nested blocks the outermost counts."""
+    if _open_jobs:
+        yield
+        return
+    _open_jobs.append(f"job-{uuid4().hex}")
+    folder = scratch_folder(spark)
+    try:
+        yield
+    finally:
+        _open_jobs.clear()
+        release(spark, folder)
+
+
 def release(spark: SparkSession, path: str | None = None) -> None:
     """Remove one intermediate table, or the whole run folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path or scratch_folder(spark))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions import convert, date_parts, parse_date
-from tallyhouse.operators import ROWS_PER_TASK, number_rows, one_row_per_key, stage, variants
+from tallyhouse.operators import number_rows, one_row_per_key, stage, variants
 from tallyhouse.schema import STAR, shaped
 
 
@@ -120,23 +120,20 @@ def members(staging: DataFrame, dimension: Dimension) -> DataFrame:
     )
 
 
-def build(
-    staging: DataFrame, dimension: Dimension, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def build(staging: DataFrame, dimension: Dimension) -> DataFrame:
     """A dimension with its surrogate key.
 
-    The members are staged: counting, cutting into ranges and numbering then read
-    them, not the sales again.
+    The members are staged: dealing them into ranges then samples and reads them, not
+    the sales again.
     """
     rows = stage(members(staging, dimension))
-    numbered = number_rows(rows, dimension.keys, dimension.surrogate, rows_per_task)
+    numbered = number_rows(rows, dimension.keys, dimension.surrogate)
     return shaped(numbered, STAR[dimension.table])
 
 
 def build_all(
     staging: DataFrame | Callable[[Dimension], DataFrame],
     dimensions: Iterable[Dimension] = tuple(DIMENSIONS.values()),
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> dict[str, DataFrame]:
     """Several numbered dimensions, from one staging table or from what ``staging``
     gives for each. They do not depend on each other, so their jobs are submitted
@@ -144,7 +141,7 @@ def build_all(
     dimensions = list(dimensions)
     rows_for = staging if callable(staging) else lambda _: staging
     with ThreadPoolExecutor(max(1, len(dimensions))) as pool:
-        built = pool.map(lambda d: build(rows_for(d), d, rows_per_task), dimensions)
+        built = pool.map(lambda d: build(rows_for(d), d), dimensions)
         return {d.table: rows for d, rows in zip(dimensions, built)}
 
 
@@ -159,22 +156,3 @@ def dim_date(staging: DataFrame) -> DataFrame:
     days = texts.select(day.alias("full_date")).distinct().filter("full_date IS NOT NULL")
     return shaped(days.withColumns(date_parts(F.col("full_date"))), STAR["dim_date"])
 
-
-def dim_customer(staging: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return build(staging, CUSTOMER, rows_per_task)
-
-
-def dim_seller(staging: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return build(staging, SELLER, rows_per_task)
-
-
-def dim_product(staging: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return build(staging, PRODUCT, rows_per_task)
-
-
-def dim_store(staging: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return build(staging, STORE, rows_per_task)
-
-
-def dim_supplier(staging: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return build(staging, SUPPLIER, rows_per_task)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.functions import average, cents, from_cents, full_name
-from tallyhouse.operators import ROWS_PER_TASK, rank_rows, stage
+from tallyhouse.operators import rank_rows, stage
 from tallyhouse.schema import MARTS, conform
 
 
@@ -111,55 +111,55 @@ CUSTOMER_RANKS = {"purchase_rank": "total_purchases"}
 REVENUE_RANKS = {"revenue_rank": "total_revenue"}
 
 
-def _ranked(mart: str, totals: DataFrame, ranks: dict[str, str], rows_per_task: int) -> DataFrame:
+def _ranked(mart: str, totals: DataFrame, ranks: dict[str, str]) -> DataFrame:
     contract = MARTS[mart]
-    return conform(rank_rows(totals, ranks, contract.sort_by, rows_per_task), contract)
+    return conform(rank_rows(totals, ranks), contract)
 
 
-def ranked_product_sales(totals: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def ranked_product_sales(totals: DataFrame) -> DataFrame:
     """The product sales mart from staged product totals."""
-    return _ranked("mart_product_sales", totals, PRODUCT_RANKS, rows_per_task)
+    return _ranked("mart_product_sales", totals, PRODUCT_RANKS)
 
 
-def ranked_product_quality(totals: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def ranked_product_quality(totals: DataFrame) -> DataFrame:
     """The product quality mart from staged product totals."""
-    return _ranked("mart_product_quality", quality_totals(totals), QUALITY_RANKS, rows_per_task)
+    return _ranked("mart_product_quality", quality_totals(totals), QUALITY_RANKS)
 
 
 def mart_product_sales(
-    fact: DataFrame, dim_product: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    fact: DataFrame, dim_product: DataFrame
 ) -> DataFrame:
-    return ranked_product_sales(stage(product_totals(fact, dim_product)), rows_per_task)
+    return ranked_product_sales(stage(product_totals(fact, dim_product)))
 
 
 def mart_product_quality(
-    fact: DataFrame, dim_product: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    fact: DataFrame, dim_product: DataFrame
 ) -> DataFrame:
-    return ranked_product_quality(stage(product_totals(fact, dim_product)), rows_per_task)
+    return ranked_product_quality(stage(product_totals(fact, dim_product)))
 
 
 def mart_customer_sales(
-    fact: DataFrame, dim_customer: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    fact: DataFrame, dim_customer: DataFrame
 ) -> DataFrame:
     totals = stage(customer_totals(fact, dim_customer))
-    return _ranked("mart_customer_sales", totals, CUSTOMER_RANKS, rows_per_task)
+    return _ranked("mart_customer_sales", totals, CUSTOMER_RANKS)
 
 
 def mart_store_sales(
-    fact: DataFrame, dim_store: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    fact: DataFrame, dim_store: DataFrame
 ) -> DataFrame:
     totals = stage(store_totals(fact, dim_store))
-    return _ranked("mart_store_sales", totals, REVENUE_RANKS, rows_per_task)
+    return _ranked("mart_store_sales", totals, REVENUE_RANKS)
 
 
 def mart_supplier_sales(
-    fact: DataFrame, dim_supplier: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    fact: DataFrame, dim_supplier: DataFrame
 ) -> DataFrame:
     totals = stage(supplier_totals(fact, dim_supplier))
-    return _ranked("mart_supplier_sales", totals, REVENUE_RANKS, rows_per_task)
+    return _ranked("mart_supplier_sales", totals, REVENUE_RANKS)
 
 
-def mart_time_sales(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def time_totals(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Revenue per month. Sales are added per day first, so the join with the dates
     and the second aggregation see one row per day."""
     per_day = _sales_per(fact, "date_key").join(dim_date, "date_key")
@@ -168,14 +168,16 @@ def mart_time_sales(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         F.sum("priced_lines").alias("priced_lines"),
         F.sum("order_count").alias("order_count"),
     )
-    return conform(
-        per_month.select(
-            "year",
-            "month",
-            "month_name",
-            from_cents("revenue").alias("total_revenue"),
-            "order_count",
-            _mean_sale().alias("avg_order_size"),
-        ),
-        MARTS["mart_time_sales"],
+    return per_month.select(
+        "year",
+        "month",
+        "month_name",
+        from_cents("revenue").alias("total_revenue"),
+        "order_count",
+        "priced_lines",
+        _mean_sale().alias("avg_order_size"),
     )
+
+
+def mart_time_sales(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    return conform(time_totals(fact, dim_date).drop("priced_lines"), MARTS["mart_time_sales"])

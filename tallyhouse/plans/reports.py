@@ -22,7 +22,7 @@ def _top(rows: DataFrame, rank: str, measure: str, tie_break: str, n: int) -> Da
         return rows.orderBy(rank, tie_break).limit(n)
     order = F.col(measure).desc_nulls_last()
     first = rows.orderBy(order, tie_break).limit(n)
-    return first.withColumn(rank, F.rank().over(Window.orderBy(order)).cast("int"))
+    return first.withColumn(rank, F.rank().over(Window.orderBy(order)).cast("bigint"))
 
 
 def top_products(product_sales: DataFrame, n: int = 10) -> DataFrame:
@@ -129,20 +129,28 @@ def monthly_trend(time_sales: DataFrame) -> DataFrame:
     ).orderBy("year", "month")
 
 
-def yearly_trend(time_sales: DataFrame) -> DataFrame:
-    """Revenue year by year; the mean comes from sums and counts, not from means."""
-    per_year = time_sales.groupBy("year").agg(
+def yearly_trend(time_totals: DataFrame) -> DataFrame:
+    """Revenue year by year. The mean is over lines with a price, like that of a month;
+    it comes from the totals, which still have the number of those lines."""
+    per_year = time_totals.groupBy("year").agg(
         exact_sum("total_revenue").alias("total_revenue"),
         F.sum("order_count").alias("order_count"),
+        F.sum("priced_lines").alias("priced_lines"),
     )
-    mean = average(F.col("total_revenue"), F.col("order_count"))
-    return per_year.withColumn("avg_order_size", mean).orderBy("year")
+    mean = average(F.col("total_revenue"), F.col("priced_lines"))
+    return per_year.select(
+        "year", "total_revenue", "order_count", mean.alias("avg_order_size")
+    ).orderBy("year")
 
 
 def period_comparison(time_sales: DataFrame) -> DataFrame:
-    """Each month against the month before it in the table and against the same month
-    of the year before. The window holds one row per month."""
+    """Each month against the month before and against the same month of the year before,
+    where the table has them. The window holds one row per month."""
     in_time = Window.orderBy("year", "month")
+    months = F.col("year") * 12 + F.col("month")
+    month_before = F.when(
+        F.lag(months).over(in_time) == months - 1, F.lag("total_revenue").over(in_time)
+    )
     same_month = Window.partitionBy("month").orderBy("year")
     year_before = F.when(
         F.lag("year").over(same_month) == F.col("year") - 1,
@@ -153,7 +161,7 @@ def period_comparison(time_sales: DataFrame) -> DataFrame:
 
     return (
         time_sales.select("year", "month", "total_revenue")
-        .withColumn("previous_revenue", F.lag("total_revenue").over(in_time))
+        .withColumn("previous_revenue", month_before)
         .withColumn("year_before_revenue", year_before)
         .withColumn("change", since("previous_revenue"))
         .withColumn("change_pct", _percent("change", "previous_revenue"))

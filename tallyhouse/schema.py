@@ -137,12 +137,12 @@ MARTS = {
         _mart("mart_product_sales", """
             product_id bigint, product_name string, category string,
             total_quantity bigint, total_revenue double, avg_rating double,
-            review_count bigint, quantity_rank int, revenue_rank int
+            review_count bigint, quantity_rank bigint, revenue_rank bigint
         """, "product_id"),
         _mart("mart_customer_sales", """
             customer_id bigint, customer_name string, country string,
             total_purchases double, order_count bigint, avg_check double,
-            purchase_rank int
+            purchase_rank bigint
         """, "customer_id"),
         _mart("mart_time_sales", """
             year int, month int, month_name string, total_revenue double,
@@ -151,17 +151,17 @@ MARTS = {
         _mart("mart_store_sales", """
             store_id bigint, store_name string, city string, country string,
             total_revenue double, order_count bigint, avg_check double,
-            revenue_rank int
+            revenue_rank bigint
         """, "store_id"),
         _mart("mart_supplier_sales", """
             supplier_id bigint, supplier_name string, country string,
             total_revenue double, avg_product_price double, order_count bigint,
-            revenue_rank int
+            revenue_rank bigint
         """, "supplier_id"),
         _mart("mart_product_quality", """
             product_id bigint, product_name string, category string,
             avg_rating double, total_reviews bigint, total_sales_quantity bigint,
-            total_revenue double, rating_rank int, review_rank int, sales_rank int
+            total_revenue double, rating_rank bigint, review_rank bigint, sales_rank bigint
         """, "product_id"),
     )
 }

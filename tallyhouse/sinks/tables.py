@@ -43,8 +43,11 @@ def create_mart_tables(spark: SparkSession, database: str) -> None:
     """The six empty mart tables, where they do not exist yet."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for mart in MARTS.values():
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in mart.columns)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{mart.name} ({columns}) USING parquet")
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()} NOT NULL" for f in mart.columns)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {database}.{mart.name} ({columns}) USING parquet "
+            f"TBLPROPERTIES ('sort_key' = '{', '.join(mart.sort_by)}')"
+        )
 
 
 def reload_catalog_table(rows: DataFrame, table: str, sort_by: Sequence[str] = ()) -> int:
@@ -55,10 +58,21 @@ def reload_catalog_table(rows: DataFrame, table: str, sort_by: Sequence[str] = (
     )
 
 
-def overwrite_jdbc(rows: DataFrame, url: str, table: str, properties: Mapping[str, str]) -> int:
-    """Drop, create and fill a database table."""
+def overwrite_jdbc(
+    rows: DataFrame,
+    url: str,
+    table: str,
+    properties: Mapping[str, str],
+    batch_size: int = 5000,
+    connections: int = 8,
+) -> int:
+    """Drop, create and fill a database table over at most ``connections`` connections."""
     return _write_counted(
-        rows, lambda r: r.write.mode("overwrite").jdbc(url, table, properties=dict(properties))
+        rows,
+        lambda r: r.write.mode("overwrite")
+        .option("batchsize", batch_size)
+        .option("numPartitions", connections)
+        .jdbc(url, table, properties=dict(properties)),
     )
 
 

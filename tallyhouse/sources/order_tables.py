@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.schema import STAGING
 
-# alias -> (table, alias it hangs on, join condition), in join order. Each child row has
-# exactly one parent row, so a parent whose columns nobody reads can be left out.
+# alias -> (table, alias it hangs on, join condition), in join order. A child row has at most
+# one parent row and is kept without one, so a parent whose columns nobody reads can be left out.
 # Part comes last: its columns, the widest, are computed per part and pass no other join.
 PARENTS = {
     "o": ("orders", "l", "l_orderkey = o_orderkey"),
@@ -114,7 +114,8 @@ COLUMNS = {
 def staging_from_orders(
     spark: SparkSession, folder: str, columns: Iterable[str] | None = None
 ) -> DataFrame:
-    """All staging columns, or the given ones, with just the joins these need."""
+    """All staging columns, or the given ones, with just the joins these need. There is a row
+    for each order line; what comes from a missing parent is null."""
     wanted = [name for name in COLUMNS if columns is None or name in set(columns)]
     joined: set[str] = set()
 
@@ -137,5 +138,5 @@ def staging_from_orders(
             parent = spark.read.parquet(f"{folder}/{table}.parquet").alias(alias)
             if alias == "p":
                 parent = parent.select("p_partkey", *[computed[name] for name in of_part])
-            rows = rows.join(parent, F.expr(condition))
+            rows = rows.join(parent, F.expr(condition), "left")
     return rows.select(*[name if name in of_part else computed[name] for name in wanted])

@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.operators import ROWS_PER_TASK, stage
+from tallyhouse.operators import released, stage
 from tallyhouse.plans import dimensions, marts
 from tallyhouse.plans.fact import fact_sales
 from tallyhouse.schema import MARTS, STAGING, STAR, shaped
@@ -45,7 +45,6 @@ def build_star(
     spark: SparkSession,
     root: str,
     null_safe: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
     staging: DataFrame | None = None,
 ) -> dict[str, int]:
     """Job 1: staging rows to six dimensions and the fact, written under ``root``.
@@ -54,29 +53,30 @@ def build_star(
     staging columns that need not be copied first. It is scanned once per dimension,
     each time for that dimension's columns only, and once for the fact.
     """
-    if staging is None:
-        staging = read_table(spark, root, "staging")
-
-    def write_dimension(dimension):
-        rows = dimensions.build(staging, dimension, rows_per_task)
-        return overwrite_parquet(rows, f"{root}/{dimension.table}")
-
-    counts = _write_all({
-        "dim_date": lambda: overwrite_parquet(
-            dimensions.dim_date(staging), f"{root}/dim_date", ("full_date",)
-        ),
-        **{
-            name: lambda d=dimension: write_dimension(d)
-            for name, dimension in dimensions.DIMENSIONS.items()
-        },
-    })
-    keys = {name: read_table(spark, root, name) for name in dimensions.DIMENSIONS}
-    fact = fact_sales(staging, keys, null_safe)
-    counts |= _write_all({"fact_sales": lambda: overwrite_parquet(fact, f"{root}/fact_sales")})
-    staged = staging.count()
-    if counts["fact_sales"] != staged:
-        raise RuntimeError(f"{staged} staging rows gave {counts['fact_sales']} sales")
-    return counts
+    with released(spark):
+        if staging is None:
+            staging = read_table(spark, root, "staging")
+
+        def write_dimension(dimension):
+            rows = dimensions.build(staging, dimension)
+            return overwrite_parquet(rows, f"{root}/{dimension.table}")
+
+        counts = _write_all({
+            "dim_date": lambda: overwrite_parquet(
+                dimensions.dim_date(staging), f"{root}/dim_date", ("full_date",)
+            ),
+            **{
+                name: lambda d=dimension: write_dimension(d)
+                for name, dimension in dimensions.DIMENSIONS.items()
+            },
+        })
+        keys = {name: read_table(spark, root, name) for name in dimensions.DIMENSIONS}
+        fact = fact_sales(staging, keys, null_safe)
+        counts |= _write_all({"fact_sales": lambda: overwrite_parquet(fact, f"{root}/fact_sales")})
+        staged = staging.count()
+        if counts["fact_sales"] != staged:
+            raise RuntimeError(f"{staged} staging rows gave {counts['fact_sales']} sales")
+        return counts
 
 
 def star_from_jdbc(
@@ -101,7 +101,6 @@ def star_from_jdbc(
 def build_marts(
     spark: SparkSession,
     root: str,
-    rows_per_task: int = ROWS_PER_TASK,
     star: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, int]:
     """Job 2: star tables to the six marts, written under ``root``.
@@ -109,41 +108,42 @@ def build_marts(
     Reads the star under ``root``, or ``star``: the seven tables from elsewhere. The
     fact is scanned once per mart, for one key and its measures.
     """
-    if star is None:
-        star = {name: read_table(spark, root, name) for name in STAR}
-    fact = star["fact_sales"]
-    products = stage(marts.product_totals(fact, star["dim_product"]))
-    builders = {
-        "mart_product_sales": lambda: marts.ranked_product_sales(products, rows_per_task),
-        "mart_product_quality": lambda: marts.ranked_product_quality(products, rows_per_task),
-        "mart_customer_sales": lambda: marts.mart_customer_sales(
-            fact, star["dim_customer"], rows_per_task
-        ),
-        "mart_time_sales": lambda: marts.mart_time_sales(fact, star["dim_date"]),
-        "mart_store_sales": lambda: marts.mart_store_sales(
-            fact, star["dim_store"], rows_per_task
-        ),
-        "mart_supplier_sales": lambda: marts.mart_supplier_sales(
-            fact, star["dim_supplier"], rows_per_task
-        ),
-    }
-    return _write_all({
-        name: lambda name=name, build=build: overwrite_parquet(
-            build(), f"{root}/{name}", MARTS[name].sort_by
-        )
-        for name, build in builders.items()
-    })
+    with released(spark):
+        if star is None:
+            star = {name: read_table(spark, root, name) for name in STAR}
+        fact = star["fact_sales"]
+        products = stage(marts.product_totals(fact, star["dim_product"]))
+        builders = {
+            "mart_product_sales": lambda: marts.ranked_product_sales(products),
+            "mart_product_quality": lambda: marts.ranked_product_quality(products),
+            "mart_customer_sales": lambda: marts.mart_customer_sales(
+                fact, star["dim_customer"]
+            ),
+            "mart_time_sales": lambda: marts.mart_time_sales(fact, star["dim_date"]),
+            "mart_store_sales": lambda: marts.mart_store_sales(
+                fact, star["dim_store"]
+            ),
+            "mart_supplier_sales": lambda: marts.mart_supplier_sales(
+                fact, star["dim_supplier"]
+            ),
+        }
+        return _write_all({
+            name: lambda name=name, build=build: overwrite_parquet(
+                build(), f"{root}/{name}", MARTS[name].sort_by
+            )
+            for name, build in builders.items()
+        })
 
 
 def run(
-    staging: DataFrame, root: str, null_safe: bool = False, rows_per_task: int = ROWS_PER_TASK
+    staging: DataFrame, root: str, null_safe: bool = False
 ) -> dict[str, int]:
     """Land the staging rows, build the star, build the marts. Rerunning replaces all
     tables. Returns the rows written per table."""
     spark = staging.sparkSession
     counts = {"staging": land_staging(staging, root)}
-    counts |= build_star(spark, root, null_safe, rows_per_task)
-    counts |= build_marts(spark, root, rows_per_task)
+    counts |= build_star(spark, root, null_safe)
+    counts |= build_marts(spark, root)
     return counts
 
 

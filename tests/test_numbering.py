@@ -1,9 +1,9 @@
 import random
 
 import pytest
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
-from tallyhouse.operators import numbering, number_rows, rank_rows, stage
+from tallyhouse.operators import number_rows, rank_rows, stage
 
 
 def brute_ranks(values):
@@ -13,8 +13,17 @@ def brute_ranks(values):
     return [1 + sum(other > v for other in known) for v in known]
 
 
-@pytest.mark.parametrize("rows_per_task", [10_000, 100, 7])
-def test_ranks_match_brute_force(spark, rows_per_task):
+@pytest.fixture(params=["merged", "split"])
+def ranges(request, spark):
+    """Ranges as adaptive execution merges them, and as many as shuffles have partitions."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(request.param == "merged").lower())
+    yield request.param
+    spark.conf.set(name, before)
+
+
+def test_ranks_match_brute_force(spark, ranges):
     rnd = random.Random(3)
     rows = [
         (
@@ -26,25 +35,22 @@ def test_ranks_match_brute_force(spark, rows_per_task):
         for i in range(900)
     ]
     table = stage(spark.createDataFrame(rows, "id int, rating double, n int, money double"))
-    ranked = rank_rows(
-        table, {"rating_rank": "rating", "n_rank": "n", "money_rank": "money"}, ["id"],
-        rows_per_task,
-    )
+    ranked = rank_rows(table, {"rating_rank": "rating", "n_rank": "n", "money_rank": "money"})
     found = {r["id"]: (r["rating_rank"], r["n_rank"], r["money_rank"]) for r in ranked.collect()}
     expected = zip(*[brute_ranks([r[i] for r in rows]) for i in (1, 2, 3)])
     assert found == {row[0]: ranks for row, ranks in zip(rows, expected)}
 
 
-@pytest.mark.parametrize("rows_per_task", [10_000, 50])
 @pytest.mark.parametrize("by", [["id"], ["name", "city"], ["city", "name"]])
-def test_row_numbers_match_the_plain_order(spark, rows_per_task, by):
+def test_row_numbers_match_the_plain_order(spark, ranges, by):
     rnd = random.Random(5)
     pairs = {(rnd.choice(["é", "Z", "a", "", None]), rnd.choice([None, *map(str, range(200))]))
              for _ in range(3000)}
     rows = [(i, *pair) for i, pair in enumerate(sorted(pairs, key=str))]
     rows.append((None, "no id", "x"))
     table = stage(spark.createDataFrame(rows, "id int, name string, city string"))
-    found = number_rows(table, by, "key", rows_per_task).collect()
+    numbered = number_rows(table, by, "key")
+    found = numbered.collect()
 
     def place(row):
         # Null first, then the order of the text's bytes.
@@ -54,46 +60,33 @@ def test_row_numbers_match_the_plain_order(spark, rows_per_task, by):
     in_order = sorted(found, key=lambda r: r["key"])
     assert [r["key"] for r in in_order] == list(range(1, len(rows) + 1))
     assert [place(r) for r in in_order] == sorted(place(r) for r in in_order)
+    assert "SinglePartition" not in numbered._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_shared_value_is_split_over_tasks(spark):
-    """A third of the rows tie: no window group may hold them all."""
+def test_a_shared_value_is_one_value_of_the_order(spark, ranges):
+    """A third of the rows tie."""
     table = stage(
         spark.range(30_000).select(
             "id", F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id") * 1.0).alias("v")
         )
     )
-    ranges = numbering._find_ranges(table, ["v"], 30_000, 1000)
-    hot = max(range(len(ranges.counts)), key=lambda i: ranges.counts[i])
-    assert hot % 2 == 1 and ranges.counts[hot] >= 10_000
-    others = [n for i, n in enumerate(ranges.counts) if i != hot]
-    assert max(others) < 3000
-
-    ranked = rank_rows(table, {"r": "v"}, ["id"], rows_per_task=1000)
-    plain = table.withColumn("r", F.rank().over(Window.orderBy(F.desc("v"))).cast("bigint"))
-    assert ranked.exceptAll(plain).isEmpty() and plain.exceptAll(ranked).isEmpty()
-    assert "_part" in ranked._jdf.queryExecution().optimizedPlan().toString()
+    ranked = rank_rows(table, {"r": "v"})
+    assert "SinglePartition" not in ranked._jdf.queryExecution().executedPlan().toString()
+    found = ranked.groupBy("v").agg(F.min("r").alias("a"), F.max("r").alias("b"), F.count("*").alias("n"))
+    above = 0
+    for row in found.orderBy(F.desc("v")).collect():
+        assert row["a"] == row["b"] == above + 1
+        above += row["n"]
+    assert above == 30_000
 
 
 def test_all_rows_equal(spark):
     table = stage(spark.range(1000).select("id", F.lit(None).cast("double").alias("v")))
-    ranks = rank_rows(table, {"r": "v"}, ["id"], rows_per_task=50).select("r").distinct().collect()
+    ranks = rank_rows(table, {"r": "v"}).select("r").distinct().collect()
     assert [r["r"] for r in ranks] == [1]
 
 
 def test_empty_table(spark):
     table = stage(spark.range(0).withColumn("v", F.col("id") * 1.0))
     assert number_rows(table, ["id"], "key").isEmpty()
-    assert rank_rows(table, {"r": "v"}, ["id"]).isEmpty()
-
-
-def test_cut_points_stay_bounded(spark, monkeypatch):
-    """However large the table, the ranges and the sample behind them are limited."""
-    monkeypatch.setattr(numbering, "MAX_RANGES", 8)
-    table = stage(spark.range(20_000).withColumn("v", F.xxhash64("id")))
-    ranges = numbering._find_ranges(table, ["v"], 20_000, 10)
-    assert len(ranges.counts) <= 2 * 9 + 1
-    assert sum(ranges.counts) == 20_000
-    assert numbering._range_sample(table, 20_000, 8).count() < 2 * 8 * numbering.SAMPLES_PER_RANGE
-    ranked = rank_rows(table, {"r": "v"}, ["id"], rows_per_task=10)
-    assert ranked.agg(F.countDistinct("r"), F.max("r")).first()[:] == (20_000, 20_000)
+    assert rank_rows(table, {"r": "v"}).isEmpty()

@@ -1,0 +1,41 @@
+"""Order lines without an order, part or customer: every query sees the same lines."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from oracle_check import TABLES, compare, oracle
+
+
+@pytest.fixture(scope="module")
+def folder(spark, sf_folder, tmp_path_factory):
+    target = str(tmp_path_factory.mktemp("orphans"))
+    gone = {"orders": "o_orderkey % 10 = 3", "part": "p_partkey % 7 = 2", "customer": "c_custkey % 5 = 1"}
+    for table in TABLES:
+        rows = spark.read.parquet(f"{sf_folder}/{table}.parquet")
+        rows.filter(f"NOT ({gone.get(table, 'false')})").coalesce(1).write.parquet(f"{target}/{table}.parquet")
+    return target
+
+
+def test_lines_and_quantities_agree(spark, folder):
+    queries = entry.queries()
+    raw = queries["raw_sales"](spark, folder)
+    lines, quantity = raw.agg(F.count("*"), F.sum("sale_quantity")).first()
+    assert lines == spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    fact = queries["fact_sales"](spark, folder)
+    assert fact.agg(F.count("*"), F.sum("sale_quantity")).first()[:] == (lines, quantity)
+    supplied = queries["mart_supplier_sales"](spark, folder).agg(F.sum("order_count")).first()[0]
+    assert supplied == lines  # no supplier is missing
+    sold = queries["mart_product_sales"](spark, folder).agg(F.sum("total_quantity")).first()[0]
+    assert sold == quantity  # a product is known by its id, also without its part
+    without_order = raw.filter("sale_customer_id IS NULL").count()
+    bought = queries["mart_customer_sales"](spark, folder).agg(F.sum("order_count")).first()[0]
+    assert without_order > 0 and bought == lines - without_order
+
+
+@pytest.mark.parametrize("name", ["mart_customer_sales", "mart_store_sales", "table_counts"])
+def test_twins_agree(spark, folder, name):
+    con = oracle(f"{folder}")
+    for table in TABLES:
+        con.execute(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet/*.parquet')")
+    assert compare(spark, con, name, folder) is None

@@ -32,13 +32,12 @@ def test_a_dimension_reads_its_own_columns(stored, name):
 
 
 @pytest.mark.parametrize("name", dims.DIMENSIONS)
-def test_large_dimensions_are_numbered_in_ranges(stored, name):
+def test_dimensions_are_numbered_in_ranges(stored, name):
     spec = dims.DIMENSIONS[name]
-    assert "SinglePartition" in plan_of(dims.build(stored("staging"), spec))
-    assert "SinglePartition" not in plan_of(dims.build(stored("staging"), spec, rows_per_task=3))
+    assert "SinglePartition" not in plan_of(dims.build(stored("staging"), spec))
 
 
-def test_large_marts_are_ranked_in_ranges(stored):
+def test_marts_are_ranked_in_ranges(stored):
     fact = stored("fact_sales")
     for mart, dimension in (
         (marts.mart_product_sales, "dim_product"),
@@ -47,7 +46,7 @@ def test_large_marts_are_ranked_in_ranges(stored):
         (marts.mart_store_sales, "dim_store"),
         (marts.mart_supplier_sales, "dim_supplier"),
     ):
-        assert "SinglePartition" not in plan_of(mart(fact, stored(dimension), rows_per_task=5))
+        assert "SinglePartition" not in plan_of(mart(fact, stored(dimension)))
 
 
 def test_a_mart_reads_one_key_and_its_measures(stored):

@@ -1,7 +1,9 @@
 from pathlib import Path
 from urllib.parse import urlparse
 
-from tallyhouse.operators.scratch import release, scratch_folder, scratch_path, stage
+import pytest
+
+from tallyhouse.operators.scratch import release, released, scratch_folder, scratch_path, stage
 
 
 class Session:
@@ -37,3 +39,14 @@ def test_released_tables_are_gone(spark):
     assert staged.count() == 3 and any(folder.iterdir())
     release(spark)
     assert not folder.exists()
+
+
+def test_a_job_leaves_no_intermediate_tables(spark):
+    outside = scratch_folder(spark)
+    with pytest.raises(RuntimeError), released(spark):
+        inside = Path(urlparse(scratch_folder(spark)).path)
+        with released(spark):
+            stage(spark.range(3))
+        assert any(inside.iterdir())
+        raise RuntimeError
+    assert not inside.exists() and scratch_folder(spark) == outside

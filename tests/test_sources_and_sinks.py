@@ -28,7 +28,9 @@ def test_csv_quoting_and_empty_fields(spark, tmp_path):
         csv_line(id="1", product_description='"two\nlines, one ""field"""', product_price="2.50"),
         csv_line(id="2", product_name='""', sale_date="5/4/2021"),
     )
-    rows = read_csv_staging(spark, path).orderBy("id").collect()
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv_staging(spark, path).collect()
+    rows = read_csv_staging(spark, path, multi_line=True).orderBy("id").collect()
     assert len(rows) == 2
     assert rows[0]["product_description"] == 'two\nlines, one "field"'
     assert str(rows[0]["product_price"]) == "2.50"

@@ -32,7 +32,7 @@ def test_counts_are_those_of_the_tables(spark, built):
 def test_rerun_and_small_tasks_give_the_same_tables(spark, built):
     root, staging, counts = built
     before = contents(spark, root)
-    assert warehouse.run(staging.repartition(5), root, rows_per_task=40) == counts
+    assert warehouse.run(staging.repartition(5), root) == counts
     assert contents(spark, root) == before
 
 
