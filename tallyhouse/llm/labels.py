@@ -32,7 +32,7 @@ def sample(
     """
     agreed = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .filter(learn & F.col("label").isin(0, 1))
+        .filter(learn & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"), F.max("label").alias("most"))
         .filter("label = most")

@@ -7,7 +7,8 @@ to template and place, which is shipped to the tasks; a text is looked up at eve
 byte, so that any ``RUN + WINNOW - 1`` bytes shared with a template are found. Hits on nearby
 diagonals make a candidate region, whose words are aligned with the template's in a
 band around the diagonal (match 2, change or gap -1, best local score). A region
-is reported if the matched words are at least ``LEAST_COVERAGE`` of the template's.
+is reported if the matched words are at least ``LEAST_COVERAGE`` of the template's and no
+better match of the same template overlaps it.
 
 The index holds one entry per few template bytes. It is shipped in blocks of at
 most ``INDEX_ENTRIES``; a larger set of templates takes one pass over the texts per block.
@@ -19,9 +20,10 @@ gives one match per row of it. Other columns are not read. Empty tables give no
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache, reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -117,16 +119,18 @@ class Index:
         begin = at - self.place[entries]
         order = np.lexsort((begin, template, text))
         text, template, begin = text[order], template[order], begin[order]
+        # Places that differ by less than half a template are one place with gaps.
+        gap = np.minimum(GAP_BYTES, self.sizes[template] // 2)
         new = np.ones(len(order), bool)
         new[1:] = (
-            (text[1:] != text[:-1]) | (template[1:] != template[:-1]) | (np.diff(begin) > GAP_BYTES)
+            (text[1:] != text[:-1]) | (template[1:] != template[:-1]) | (np.diff(begin) > gap[1:])
         )
         bounds = np.append(np.flatnonzero(new), len(order))
         own = np.searchsorted(places, texts.offsets)  # where each text's compared bytes begin
         for a, b in zip(bounds[:-1], bounds[1:]):
             t, size = text[a], self.sizes[template[a]]
-            low = max(own[t], begin[a] - GAP_BYTES)
-            high = min(own[t + 1], begin[b - 1] + size + GAP_BYTES) - 1
+            low = max(own[t], begin[a] - gap[a])
+            high = min(own[t + 1], begin[b - 1] + size + gap[a]) - 1
             yield int(t), int(template[a]), int(places[low]), int(places[high]) + 1
 
 
@@ -166,6 +170,19 @@ def align(region: bytes, template: bytes) -> tuple[int, int, int, int]:
     return best[1], len(theirs), ours[best[2]][0], ours[best_end][1]
 
 
+def _aligned(data: np.ndarray, regions: Iterable[tuple], template: bytes) -> list[tuple]:
+    """Matched words, words, first and last byte of the best alignments that do not overlap."""
+    best: list[tuple] = []
+    found = []
+    for _, _, first, last in regions:
+        matched, words, a, b = align(data[first:last].tobytes(), template)
+        found.append((matched, words, first + a, first + b))
+    for match in sorted(found, key=lambda m: (-m[0], m[2])):
+        if all(match[3] <= other[2] or other[3] <= match[2] for other in best):
+            best.append(match)
+    return best
+
+
 def scan(
     docs: DataFrame,
     templates: Mapping[str, str],
@@ -198,15 +215,16 @@ def _scan(rows: DataFrame, templates: list[tuple[str, str]], least_coverage: flo
         for batch in batches:
             ids, found = batch.column(0), []
             for part in slices(batch.column(1)):
-                for text, template, first, last in index.regions(part, sieve):
-                    region = part.data[first:last].tobytes()
-                    matched, words, a, b = align(region, index.texts[template])
-                    if words and matched >= least_coverage * words:
-                        base = first - int(part.offsets[text])
-                        found.append((
-                            ids[part.first + text].as_py(), index.names[template], matched / words,
-                            matched, words, base + a, base + b, region[a:b].decode(),
-                        ))
+                pairs = groupby(index.regions(part, sieve), key=lambda region: region[:2])
+                for (text, template), regions in pairs:
+                    base = int(part.offsets[text])
+                    for matched, words, a, b in _aligned(part.data, regions, index.texts[template]):
+                        if words and matched >= least_coverage * words:
+                            found.append((
+                                ids[part.first + text].as_py(), index.names[template],
+                                matched / words, matched, words, a - base, b - base,
+                                part.data[a:b].tobytes().decode(),
+                            ))
             columns = list(zip(*found)) or [()] * len(names)
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
