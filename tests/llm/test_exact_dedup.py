@@ -1,0 +1,56 @@
+import hashlib
+from collections import defaultdict
+
+import pytest
+
+from tallyhouse.llm import exact_dedup
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[hashlib.sha256((t or "").encode().lower()).hexdigest()].append(i)
+    return groups
+
+
+ROWS = [
+    *[(i, "Hot TEXT") for i in range(60)], *[(100 + i, "hot text") for i in range(60)],
+    (200, "É"), (201, "é"), (202, None), (203, ""), (None, "x"), (300, "X"), (None, "alone"),
+    (400, "twice"), (400, "twice"), (401, "a" * 100_000), (402, "A" * 100_000),
+]
+
+
+@pytest.mark.parametrize("counters", [1, 4, 512])
+def test_groups_match_brute_force(documents, counters):
+    found = exact_dedup.exact_groups(documents(*ROWS), counters=counters).collect()
+    groups = brute(ROWS)
+    assert len(found) == len(ROWS)
+    for row in found:
+        ids = groups[row["text_sha256"]]
+        assert row["doc_id"] in ids and row["group_size"] == len(ids)
+        assert row["keep_id"] == max((i for i in ids if i is not None), default=None)
+        assert not row["kept"] or row["doc_id"] == row["keep_id"]
+    assert sum(row["kept"] for row in found) == len(groups)
+
+
+@pytest.mark.parametrize("counters", [1, 512])
+def test_copies_are_dropped_with_all_columns_kept(clashing, counters):
+    docs = clashing(*ROWS)
+    kept = exact_dedup.drop_copies(docs, counters=counters)
+    assert kept.schema == docs.schema
+    best = sorted(
+        (max((i for i in ids if i is not None), default=-1) for ids in brute(ROWS).values())
+    )
+    assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()) == best
+
+
+def test_frequent_digests_are_among_the_candidates(spark):
+    rows = [(b"hot",)] * 400 + [(b"warm",)] * 250 + [(str(i).encode(),) for i in range(600)]
+    table = spark.createDataFrame(rows, "digest binary").repartition(7)
+    found = {bytes(r[0]) for r in exact_dedup.frequent_digests(table, 5).collect()}
+    assert {b"hot", b"warm"} <= found and len(found) <= 5
+
+
+def test_empty(documents, spark):
+    docs = documents((1, "a")).limit(0)
+    assert exact_dedup.exact_groups(docs).isEmpty() and exact_dedup.drop_copies(docs).isEmpty()
