@@ -14,11 +14,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators import released, stage
-from tallyhouse.plans import dimensions, marts
+from tallyhouse.plans import audit, dimensions, marts
 from tallyhouse.plans.fact import fact_sales
 from tallyhouse.schema import MARTS, STAGING, STAR, shaped
 from tallyhouse.sinks import overwrite_jdbc, overwrite_parquet, reload_jdbc
-from tallyhouse.sources import hash_predicates, read_jdbc, read_table
+from tallyhouse.sources import hash_predicates, read_jdbc, read_layout, read_table
+from tallyhouse.versions import new_version
 
 log = logging.getLogger(__name__)
 
@@ -47,36 +48,45 @@ def build_star(
     null_safe: bool = False,
     staging: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Job 1: staging rows to six dimensions and the fact, written under ``root``.
+    """Job 1: staging rows to six dimensions and the fact, written under ``root``, where they
+    replace the star in use together, once all are written and checked.
 
     Reads the staging table under ``root``, or ``staging``: a stored table with the
     staging columns that need not be copied first. It is scanned once per dimension,
     each time for that dimension's columns only, and once for the fact.
     """
-    with released(spark):
-        if staging is None:
-            staging = read_table(spark, root, "staging")
+    if staging is None:
+        staging = read_table(spark, root, "staging")
+    with released(spark), new_version(spark, root, "star") as folder:
 
         def write_dimension(dimension):
             rows = dimensions.build(staging, dimension)
-            return overwrite_parquet(rows, f"{root}/{dimension.table}")
+            return overwrite_parquet(rows, f"{folder}/{dimension.table}")
 
         counts = _write_all({
             "dim_date": lambda: overwrite_parquet(
-                dimensions.dim_date(staging), f"{root}/dim_date", ("full_date",)
+                dimensions.dim_date(staging), f"{folder}/dim_date", ("full_date",)
             ),
             **{
                 name: lambda d=dimension: write_dimension(d)
                 for name, dimension in dimensions.DIMENSIONS.items()
             },
         })
-        keys = {name: read_table(spark, root, name) for name in dimensions.DIMENSIONS}
+        keys = {name: read_layout(spark, f"{folder}/{name}", name) for name in dimensions.DIMENSIONS}
         fact = fact_sales(staging, keys, null_safe)
-        counts |= _write_all({"fact_sales": lambda: overwrite_parquet(fact, f"{root}/fact_sales")})
-        staged = staging.count()
-        if counts["fact_sales"] != staged:
-            raise RuntimeError(f"{staged} staging rows gave {counts['fact_sales']} sales")
-        return counts
+        counts |= _write_all({"fact_sales": lambda: overwrite_parquet(fact, f"{folder}/fact_sales")})
+        _check_star(keys, counts, staging.count())
+    return counts
+
+
+def _check_star(keys: Mapping[str, DataFrame], counts: Mapping[str, int], staged: int) -> None:
+    """What must hold before a star is put to use. With unique keys in the dimensions and one
+    fact row per staging row, every key of the fact is one of its dimension's."""
+    if counts["fact_sales"] != staged:
+        raise RuntimeError(f"{staged} staging rows gave {counts['fact_sales']} sales")
+    for name, dimension in dimensions.DIMENSIONS.items():
+        if not audit.repeated_keys(keys[name], [dimension.surrogate]).isEmpty():
+            raise RuntimeError(f"{name} has a repeated {dimension.surrogate}")
 
 
 def star_from_jdbc(
@@ -103,14 +113,15 @@ def build_marts(
     root: str,
     star: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, int]:
-    """Job 2: star tables to the six marts, written under ``root``.
+    """Job 2: star tables to the six marts, written under ``root``, where they replace the
+    marts in use together.
 
     Reads the star under ``root``, or ``star``: the seven tables from elsewhere. The
     fact is scanned once per mart, for one key and its measures.
     """
-    with released(spark):
-        if star is None:
-            star = {name: read_table(spark, root, name) for name in STAR}
+    if star is None:
+        star = {name: read_table(spark, root, name) for name in STAR}
+    with released(spark), new_version(spark, root, "marts") as folder:
         fact = star["fact_sales"]
         products = stage(marts.product_totals(fact, star["dim_product"]))
         builders = {
@@ -129,7 +140,7 @@ def build_marts(
         }
         return _write_all({
             name: lambda name=name, build=build: overwrite_parquet(
-                build(), f"{root}/{name}", MARTS[name].sort_by
+                build(), f"{folder}/{name}", MARTS[name].sort_by
             )
             for name, build in builders.items()
         })

@@ -171,3 +171,39 @@ def test_marts_from_a_star_in_a_database(spark, built, tmp_path):
         assert rows_of(read_table(spark, str(tmp_path), name)) == rows_of(
             read_table(spark, root, name)
         )
+
+
+def test_a_failed_job_leaves_the_tables_in_use(spark, sf_folder, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    staging = staging_from_orders(spark, sf_folder)
+    warehouse.run(staging.filter("sale_customer_id BETWEEN 50 AND 149"), root)
+    before = {name: rows_of(read_table(spark, root, name)) for name in (*STAR, *MARTS)}
+    entries = sorted(p.name for p in tmp_path.iterdir())
+    warehouse.land_staging(staging, root)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("no fact today")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(warehouse, "fact_sales", broken)
+        with pytest.raises(RuntimeError, match="no fact"):
+            warehouse.build_star(spark, root)
+    with monkeypatch.context() as patched:
+        patched.setattr(warehouse.marts, "mart_time_sales", broken)
+        with pytest.raises(RuntimeError, match="no fact"):
+            warehouse.build_marts(spark, root)
+    assert {name: rows_of(read_table(spark, root, name)) for name in (*STAR, *MARTS)} == before
+    assert sorted(p.name for p in tmp_path.iterdir()) == entries
+
+
+def test_replaced_versions_are_kept_once(spark, sf_folder, tmp_path):
+    root = str(tmp_path)
+    staging = staging_from_orders(spark, sf_folder).limit(50)
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, root, "fact_sales")
+    warehouse.run(staging, root)
+    opened = read_table(spark, root, "fact_sales")
+    for _ in range(2):
+        assert opened.count() == 50
+        warehouse.build_star(spark, root)
+    assert len([p for p in tmp_path.iterdir() if p.is_dir() and p.name.startswith("star-")]) == 2
