@@ -18,7 +18,7 @@ from tallyhouse.plans import audit, dimensions, marts
 from tallyhouse.plans.fact import fact_sales
 from tallyhouse.schema import MARTS, STAGING, STAR, shaped
 from tallyhouse.sinks import overwrite_jdbc, overwrite_parquet, reload_jdbc
-from tallyhouse.sources import hash_predicates, read_jdbc, read_layout, read_table
+from tallyhouse.sources import key_split, read_jdbc, read_layout, read_table
 from tallyhouse.versions import new_version
 
 log = logging.getLogger(__name__)
@@ -94,15 +94,15 @@ def star_from_jdbc(
 ) -> dict[str, DataFrame]:
     """The star tables of a database, each read once and staged for the marts.
 
-    The fact is read in parts dealt out by the sum of several keys, so that one hot key
-    alone fills no part; the dimensions over one connection each.
+    Each table is read in ``parts`` ranges of a key an index can serve: the fact and the
+    dates by date, the other dimensions by their dense surrogate key.
     """
-    keys = " + ".join(f"COALESCE({key}, 0)" for key in ("customer_key", "product_key", "date_key"))
-    split = {"fact_sales": hash_predicates(keys, parts)}
+    keys = {name: d.surrogate for name, d in dimensions.DIMENSIONS.items()}
 
     def fetch(name: str) -> DataFrame:
-        rows = read_jdbc(spark, url, name, properties, predicates=split.get(name))
-        return stage(shaped(rows, STAR[name]))
+        key = keys.get(name, "date_key")
+        split = key_split(spark, url, name, key, parts, properties)
+        return stage(shaped(read_jdbc(spark, url, name, properties, split=split), STAR[name]))
 
     with ThreadPoolExecutor(len(STAR)) as pool:
         return dict(zip(STAR, pool.map(fetch, STAR)))

@@ -156,15 +156,19 @@ def test_marts_from_a_star_in_a_database(spark, built, tmp_path):
 
     root, _, counts = built
 
-    def read(reader, url, table, predicates=None, properties=None):
-        rows = read_table(spark, root, table)
-        if predicates:
-            parts = [rows.filter(F.expr(p)).count() for p in predicates]
-            assert sum(parts) == rows.count() and max(parts) < 2 * rows.count() / len(parts)
-        return rows
+    split = {}
+
+    def read(reader, url, table, column=None, lowerBound=None, upperBound=None, numPartitions=None, properties=None):
+        if table.endswith(" bounds"):
+            key, name = table.split("MIN(")[1].split(")")[0], table.split(" FROM ")[1].split(")")[0]
+            return read_table(spark, root, name).agg(F.min(key), F.max(key))
+        split[table] = (column, lowerBound, upperBound, numPartitions)
+        return read_table(spark, root, table)
 
     with mock.patch.object(DataFrameReader, "jdbc", read):
         star = warehouse.star_from_jdbc(spark, "jdbc:x", {}, parts=4)
+    assert split["dim_customer"] == ("customer_key", 1, counts["dim_customer"] + 1, 4)
+    assert set(split) == set(STAR) and split["fact_sales"][0] == split["dim_date"][0] == "date_key"
     found = warehouse.build_marts(spark, str(tmp_path), star=star)
     assert found == {name: counts[name] for name in MARTS}
     for name in MARTS:
