@@ -1,3 +1,7 @@
+import builtins
+import importlib
+import sys
+
 import public_tokenizers
 import pytest
 
@@ -79,3 +83,20 @@ def test_an_empty_table_passes_every_stage(spark, sf_folder):
     for _, function in corpus_pipeline.STAGES:
         rows = corpus_pipeline.stage(function(spark, rows, sf_folder))
         assert rows.isEmpty()
+
+
+def test_a_missing_module_of_another_kind_is_an_error(monkeypatch):
+    real = builtins.__import__
+
+    def without(name, *args, **kwargs):
+        if name == "numpy":
+            raise ModuleNotFoundError("No module named 'numpy'", name="numpy")
+        return real(name, *args, **kwargs)
+
+    for name in [n for n in sys.modules if n.startswith(("tallyhouse.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    with monkeypatch.context() as patched:
+        patched.setattr(builtins, "__import__", without)
+        with pytest.raises(ModuleNotFoundError, match="numpy"):
+            importlib.reload(entry)
+    importlib.reload(entry)
