@@ -3,16 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, StructField, StructType, _parse_datatype_string
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def set_batch_rows(spark: SparkSession, rows: int = 500) -> None:
+    """Hand at most ``rows`` rows at once to Python, as rows of whole texts or sets are wide.
+    A session's setting, for applications; operators leave it as it is."""
+    spark.conf.set(_BATCH_ROWS, rows)
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """The same for jobs that end inside; the session's setting is put back."""
+    before = spark.conf.get(_BATCH_ROWS)
+    set_batch_rows(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+
+
 def map_batches(rows: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
     """``rows.mapInArrow``. Python workers that share the driver's folders, as in a local
     session, find this package where the driver found it; to others it is shipped with

@@ -27,10 +27,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -38,12 +41,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyhouse.llm.arrow import map_batches
 from tallyhouse.llm.columns import id_and_text
 from tallyhouse.llm.frequent import most_frequent
+from tallyhouse.llm.words import slices
 from tallyhouse.operators.scratch import stage
 
 DICTIONARY_WORDS, DICTIONARY_BYTES = 800_000, 32
 LONG_BYTES = 64
 _TABLE = 1 << 15
-_HELD_WORDS = 300_000
+_HELD_WORDS = 200_000
 _ROWS_OUT = 500
 
 
@@ -152,69 +156,118 @@ def encode_word(table: RankTable, word: Column) -> Column:
     return table.bound(lambda rank: _encoded(rank, word))
 
 
+def _as_text(ids: Column) -> Column:
+    """Each id after a space."""
+    return F.concat(F.lit(" "), F.array_join(ids.cast("array<string>"), " "))
+
+
 def encode_words(table: RankTable, words: Column) -> Column:
     """Ids of each of an array of matches."""
     return table.bound(lambda rank: F.transform(words, lambda word: _encoded(rank, word)))
 
 
+_MAYBE_WHITE = np.zeros(256, bool)
+_MAYBE_WHITE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+#: Bytes that begin a white space character outside ASCII (and other characters).
+_MAYBE_WHITE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
 class Splitter:
-    """Matches of the pattern. White space apart, a text can be split before each space, as
-    the space begins a match; ``units`` does so where no other white space is next to one."""
+    """Matches of the pattern, as bytes. A text can be split before each space that no white
+    space is next to, as the space begins a match."""
 
     def __init__(self, pattern: str):
         import regex
 
-        self.matches = regex.compile(pattern).findall
-        self._irregular = regex.compile(r"\s\x20|\x20\s").search
+        self._find = regex.compile(pattern).findall
+
+    def matches(self, data: bytes) -> list[bytes]:
+        return [found.encode() for found in self._find(data.decode())]
 
-    def units(self, text: str) -> list[str] | None:
-        """What is between the spaces, or None if the text has to be matched whole."""
-        return None if self._irregular(text) else text.split(" ")
+    def texts(self, column: pa.Array) -> Iterator[tuple[bytes, list[bytes] | None]]:
+        """Each text and what is between its spaces, or None if it has to be matched whole."""
+        for part in slices(column):
+            data = np.append(part.data, np.zeros(4, np.uint8))
+            white, space = _MAYBE_WHITE[data], data == 0x20
+            beside = np.zeros(len(part.data) + 1, np.int64)
+            both = (space[:-1] & white[1:]) | (white[:-1] & space[1:])
+            # A character outside ASCII may be white up to its last byte, which is before a space.
+            both[:-1] |= white[:-2] & (data[:-2] >= 0x80) & space[2:]
+            both[:-2] |= white[:-3] & (data[:-3] >= 0x80) & space[3:]
+            np.cumsum(both[: len(part.data)], out=beside[1:])
+            irregular = np.diff(beside[part.offsets]) > 0
+            for i, whole in enumerate(irregular):
+                text = part.data[part.offsets[i] : part.offsets[i + 1]].tobytes()
+                yield text, None if whole else text.split(b" ")
 
 
 def count_words(docs: DataFrame, pattern: str) -> DataFrame:
-    """``word, n`` of all matches in ``docs`` short enough for the dictionary."""
+    """``word, n`` of all matches in ``docs`` short enough for the dictionary. What is between
+    spaces is counted first, so that the pattern runs once on each different unit."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, units, words = Splitter(pattern), Counter(), Counter()
-
-        def out() -> pa.RecordBatch:
-            for unit, n in units.items():
-                for word in splitter.matches(" " + unit):
-                    words[word] += n
-            few = {w: n for w, n in words.items() if len(w) <= DICTIONARY_BYTES}
-            columns = [pa.array(few.keys(), pa.string()), pa.array(few.values(), pa.int64())]
-            units.clear()
-            words.clear()
-            return pa.record_batch(columns, ["word", "n"])
+    def out(counts: Counter) -> pa.RecordBatch:
+        columns = [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
+        counts.clear()
+        return pa.record_batch(columns, ["word", "n"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter, units = Splitter(pattern), Counter()
         for batch in batches:
-            for text in batch.column(1):
-                parts = splitter.units(text.as_py() or "")
-                if parts is None:
-                    words.update(splitter.matches(text.as_py()))
-                else:
-                    words.update(splitter.matches(parts[0]))
-                    units.update(parts[1:])
-                if len(units) + len(words) > _HELD_WORDS:
-                    yield out()
-        yield out()
-
-    return map_batches(docs, count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-_dictionaries: dict[bytes, dict[str, bytes]] = {}
-
-
-def _dictionary(name: bytes, words: pa.Table) -> dict[str, bytes]:
-    """Words and their ids as text, each id after a space; a worker keeps one."""
-    if name not in _dictionaries:
-        _dictionaries.clear()
-        ids = words["ids"].to_pylist()
-        _dictionaries[name] = {
-            w: b"".join(b" %d" % i for i in found) for w, found in zip(words["word"].to_pylist(), ids)
-        }
-    return _dictionaries[name]
+            for text, parts in splitter.texts(batch.column(1)):
+                units.update(splitter.matches(text) if parts is None else parts[:1])
+                if parts is not None:
+                    units.update([b" " + p for p in parts[1:]])
+                if len(units) > _HELD_WORDS:
+                    yield out(units)
+        yield out(units)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter, words = Splitter(pattern), Counter()
+        for batch in batches:
+            for unit, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for word in splitter.matches(unit):
+                    if len(word) <= DICTIONARY_BYTES:
+                        words[word] += n
+            if len(words) > _HELD_WORDS:
+                yield out(words)
+        yield out(words)
+
+    schema, rows = "word binary, n bigint", docs
+    for step in (count, match):
+        rows = map_batches(rows, step, schema).groupBy("word").agg(F.sum("n").alias("n"))
+    return rows
+
+
+class Dictionary:
+    """Words and their ids as text, each id after a space, as a few flat buffers: a worker
+    holds some 30 bytes per word. Found by 64-bit hash and compared in full."""
+
+    def __init__(self, words: pa.Table):
+        hashes = np.array([xxhash.xxh64_intdigest(w.as_buffer()) for w in words["word"]], np.uint64)
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.words, self.word_ends = self._flat(words["word"], order)
+        self.ids, self.id_ends = self._flat(words["ids"], order)
+
+    @staticmethod
+    def _flat(column: pa.ChunkedArray, order: np.ndarray) -> tuple[bytes, np.ndarray]:
+        values = column.combine_chunks().to_pylist()
+        ends = np.cumsum([0, *(len(values[i]) for i in order)], dtype=np.uint64)
+        return b"".join([values[i] for i in order]), ends
+
+    def lookup(self) -> Callable[[bytes], bytes | None]:
+        hashes, words, ids = memoryview(self.hashes), self.words, self.ids
+        word_ends, id_ends = memoryview(self.word_ends), memoryview(self.id_ends)
+        n = len(hashes)
+
+        def get(word: bytes) -> bytes | None:
+            key = xxhash.xxh64_intdigest(word)
+            i = bisect_left(hashes, key)
+            if i < n and hashes[i] == key and words[word_ends[i] : word_ends[i + 1]] == word:
+                return ids[id_ends[i] : id_ends[i + 1]]
+            return None
+
+        return get
 
 
 _HOLE = b"\0"
@@ -223,31 +276,30 @@ _HOLE = b"\0"
 class _Coder:
     """Ids of the words in the dictionary, as text; a hole for each other word."""
 
-    def __init__(self, pattern: str, dictionary: dict[str, bytes]):
-        self.splitter, self.dictionary = Splitter(pattern), dictionary
-        self.known: dict[str, bytes] = {}  # units without a hole
-        self.rest: dict[str, int] = {}  # the other words of a text, and their uses in turn
+    def __init__(self, pattern: str, dictionary: Dictionary):
+        self.splitter, self.get = Splitter(pattern), dictionary.lookup()
+        self.known: dict[bytes, bytes] = {}  # units without a hole
+        self.rest: dict[bytes, int] = {}  # the other words of a text, and their uses in turn
         self.uses: list[int] = []
 
-    def _words(self, words: list[str]) -> bytes:
-        coded = [self.dictionary.get(w, _HOLE) for w in words]
+    def _words(self, words: list[bytes]) -> bytes:
+        coded = [self.get(w) or _HOLE for w in words]
         if _HOLE in coded:
             rest = self.rest
             self.uses += [rest.setdefault(w, len(rest)) for w, c in zip(words, coded) if c is _HOLE]
         return b"".join(coded)
 
-    def _unit(self, unit: str) -> bytes:
+    def _unit(self, unit: bytes) -> bytes:
         holes = len(self.uses)
-        coded = self._words(self.splitter.matches(" " + unit))
+        coded = self._words(self.splitter.matches(b" " + unit))
         if len(self.uses) == holes and len(unit) <= DICTIONARY_BYTES:
             if len(self.known) >= _HELD_WORDS:
                 self.known.clear()
             self.known[unit] = coded
         return coded
 
-    def code(self, text: str) -> tuple[bytes, list[str], list[int]]:
+    def code(self, text: bytes, parts: list[bytes] | None) -> tuple[bytes, list[bytes], list[int]]:
         self.rest, self.uses = {}, []
-        parts = self.splitter.units(text)
         if parts is None:
             coded = self._words(self.splitter.matches(text))
         else:
@@ -257,22 +309,32 @@ class _Coder:
 
 
 def encode(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    finish: Callable[[list[bytes]], list[pa.Array]] | None = None,
+    fields: str = "ids binary",
 ) -> DataFrame:
-    """``doc_id, ids`` per row of ``docs``; ``ids`` are decimal, joined by one space."""
+    """``doc_id, ids`` per row of ``docs``; ``ids`` are decimal, joined by one space. Or, in
+    place of the ids, ``fields`` that ``finish`` makes of a batch of them in the same step."""
     docs, table = id_and_text(docs, id_column, text_column), RankTable(ranks)
     counts = stage(count_words(docs, pattern))
     frequent = most_frequent(counts, DICTIONARY_WORDS).filter("n > 1").select("word")
-    words = frequent.select("word", encode_word(table, F.col("word")).alias("ids")).toArrow()
-    name = hashlib.sha256(repr((words.num_rows, words["word"].to_pylist()[:1000])).encode()).digest()
+    words = frequent.select(
+        "word", _as_text(encode_word(table, F.col("word"))).cast("binary").alias("ids")
+    ).toArrow()
+    dictionary = Dictionary(words)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _Coder(pattern, _dictionary(name, words))
-        kinds = [pa.int64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int32())]
+        coder = _Coder(pattern, dictionary)
+        kinds = [pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows.append((doc_id, *coder.code(text.as_py() or "")))
+            texts = coder.splitter.texts(batch.column(1))
+            for doc_id, (text, parts) in zip(batch.column(0).to_pylist(), texts):
+                rows.append((doc_id, *coder.code(text, parts)))
                 if len(rows) == _ROWS_OUT:
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
                     rows = []
@@ -280,11 +342,8 @@ def encode(
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     names = ["doc_id", "coded", "rest", "uses"]
-    schema = "doc_id bigint, coded binary, rest array<string>, uses array<int>"
-    rest = F.transform(
-        encode_words(table, F.col("rest")),
-        lambda ids: F.concat(F.lit(" "), F.array_join(ids.cast("array<string>"), " ")),
-    )
+    schema = "doc_id bigint, coded binary, rest array<binary>, uses array<int>"
+    rest = F.transform(encode_words(table, F.col("rest")), _as_text)
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,15 +355,18 @@ def encode(
                     between = [more[u] for u in uses.as_py()]
                     parts = [x for pair in zip(parts, [*between, b""]) for x in pair]
                 out.append(b"".join(parts)[1:])
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
+            columns = finish(out) if finish else [pa.array(out, pa.binary())]
+            yield pa.record_batch([batch.column(0), *columns], out_names)
 
+    out_names = ["doc_id", *(field.split()[0] for field in fields.split(", "))]
     coded = map_batches(docs, known, schema).select("doc_id", "coded", rest.alias("rest"), "uses")
-    return map_batches(coded, filled, "doc_id bigint, ids binary")
+    return map_batches(coded, filled, f"doc_id bigint, {fields}")
 
 
-def decoder(ranks: dict[bytes, int]):
+@cache
+def _decoder(ranks: tuple[tuple[bytes, int], ...]):
     """Bytes of decimal ids joined by one space."""
-    pieces = {b"%d" % rank: token for token, rank in ranks.items()}
+    pieces = {b"%d" % rank: token for token, rank in ranks}
 
     def decode(ids: bytes) -> bytes:
         return b"".join(map(pieces.__getitem__, ids.split(b" "))) if ids else b""
@@ -316,7 +378,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``doc_id, data`` of ``doc_id, ids``: the bytes that the ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = decoder(ranks)
+        bytes_of = _decoder(tuple(ranks.items()))
         for batch in batches:
             data = [bytes_of(ids.as_py()) for ids in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(data, pa.binary())], ["doc_id", "data"])
@@ -324,20 +386,17 @@ def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return map_batches(rows.select("doc_id", "ids"), run, "doc_id bigint, data binary")
 
 
-def digests(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of ``doc_id, ids``."""
+def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per row of ``docs``: the ids of its
+    text, and the bytes that they decode to."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = decoder(ranks)
-        for batch in batches:
-            ids = [i.as_py() for i in batch.column(1)]
-            columns = [
-                batch.column(0),
-                pa.array([i.count(b" ") + 1 if i else 0 for i in ids], pa.int64()),
-                pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-                pa.array([hashlib.sha256(bytes_of(i)).hexdigest() for i in ids], pa.string()),
-            ]
-            yield pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return map_batches(rows.select("doc_id", "ids"), run, schema)
+    def finish(ids: list[bytes]) -> list[pa.Array]:
+        bytes_of = _decoder(tuple(ranks.items()))
+        return [
+            pa.array([i.count(b" ") + 1 if i else 0 for i in ids], pa.int64()),
+            pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
+            pa.array([hashlib.sha256(bytes_of(i)).hexdigest() for i in ids], pa.string()),
+        ]
+
+    fields = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return encode(docs, ranks, pattern, finish=finish, fields=fields)

@@ -12,6 +12,7 @@ from tallyhouse.llm import (
     byte_bpe, exact_dedup, language_model, license_scan, near_dedup, oracles, packing, quality_classifier, quality_rules as rules,
     token_counts, toxicity,
 )
+from tallyhouse.llm.arrow import set_batch_rows
 from tallyhouse.llm.labels import remainder
 from tallyhouse.llm.license_texts import TEMPLATES
 
@@ -19,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    set_batch_rows(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
@@ -28,8 +30,7 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    ids = byte_bpe.encode(documents(spark, folder), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digests(ids, ranks)
+    return byte_bpe.digests(documents(spark, folder), ranks, public_tokenizers.PATTERN)
 
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
