@@ -11,14 +11,18 @@
    prefix, so the depth follows the density. Partitions hand on their ends, so that no
    neighbours are parted.
 3. A pair stays if the sizes of its sets allow the similarity, and its signatures do not
-   rule it out (five standard deviations and more below).
+   rule it out (more than five standard deviations below).
 4. Sets are compared in full: first each class with its most similar candidate either way;
    then the pairs that still lie in different components.
-5. Components of confirmed links, and for each its smallest id.
+5. Classes that had a neighbour are sorted once more, and each looks ``FAR_REACH`` places
+   either way for the ``FOREIGN`` nearest of other components: what a dense region's own
+   neighbours have hidden. Pairs that are new go through 3 and 4, too.
+6. Components of confirmed links, and for each its smallest id.
 
 Two texts at the least similarity share a prefix in a tree with probability
 ``0.8 ** 5 = 0.33``, in none of 32 trees with ``3e-6``. What can stay apart is a text that is
-similar to few members of a dense region and to none of its nearest there.
+similar to few members of a dense region and to none of its nearest there. The number of
+pairs is in proportion to the classes, whatever the size of a group.
 
 Defined results: a null or empty text has an empty set, is linked with nothing and
 stays. A text with fewer words than a shingle has its whole sequence as one shingle. Repeated
@@ -37,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.llm import sieve
-from tallyhouse.llm.arrow import annotate, map_batches
+from tallyhouse.llm.arrow import annotate, map_batches, small_batches
 from tallyhouse.llm.columns import column, id_and_text
 from tallyhouse.llm.components import components
 from tallyhouse.llm.shingles import common, shingle_sets, signatures
@@ -45,7 +49,9 @@ from tallyhouse.llm.words import slices
 from tallyhouse.operators.scratch import stage
 
 TREES, DEPTH = 32, 8
-LEAST_PREFIX, REACH = 5, 12
+LEAST_PREFIX = 5
+REACH = 3
+FAR_REACH, FOREIGN = 48, 2
 SHINGLE_WORDS, SIMILARITY = 5, 80
 _SIGNATURE = TREES * DEPTH
 
@@ -67,71 +73,74 @@ def _sketches(shingle_words: int):
     return compute
 
 
-def _pairs(tree: np.ndarray, labels: np.ndarray, keys: np.ndarray, new: int) -> tuple[np.ndarray, ...]:
-    """Neighbours with a long enough common prefix, the later one at ``new`` or after."""
-    smaller, larger, prefixes = [], [], []
-    for apart in range(1, min(REACH, len(keys) - 1) + 1):
-        alike = labels[apart:] == labels[:-apart]
-        prefix = np.cumprod(alike, 1).sum(1)
-        late = np.arange(apart, len(keys)) >= new
-        at = np.flatnonzero((prefix >= LEAST_PREFIX) & (tree[apart:] == tree[:-apart]) & late)
+_RUN = "a bigint, b bigint, tree int, label binary, part bigint"
+
+
+def _pairs(run: pa.Table, reach: int, nearest: int, new: int) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbours of different parts with a long enough common prefix, for each row the
+    ``nearest`` before and after; the later one of a pair at ``new`` or after."""
+    tree, keys, part = (run[c].to_numpy() for c in ("tree", "key", "part"))
+    labels = np.frombuffer(b"".join(run["label"].to_pylist()), np.uint16).reshape(-1, DEPTH)
+    labels = np.column_stack([tree, labels[:, :LEAST_PREFIX]])
+    met_after, met_before = np.zeros((2, len(keys)), np.int64)
+    smaller, larger = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for apart in range(1, min(reach, len(keys) - 1) + 1):
+        alike = (labels[apart:] == labels[:-apart]).all(1) & (part[apart:] != part[:-apart])
+        at = np.flatnonzero(alike & ((met_after[:-apart] < nearest) | (met_before[apart:] < nearest)))
+        met_after[at] += 1
+        met_before[at + apart] += 1
+        at = at[at + apart >= new]
         smaller.append(np.minimum(keys[at], keys[at + apart]))
         larger.append(np.maximum(keys[at], keys[at + apart]))
-        prefixes.append(prefix[at])
-    none = [np.empty(0, np.int64)]
-    return tuple(np.concatenate(x or none) for x in (smaller, larger, prefixes))
+    return np.concatenate(smaller), np.concatenate(larger)
+
+
+def _neighbours(reach: int, nearest: int):
+    """Pairs ``a < b`` of a sorted run of ``tree, label, key, part``, and its ends: rows with
+    all but ``b``."""
 
+    def ends(rows: pa.Table) -> pa.RecordBatch:
+        none = pa.nulls(rows.num_rows, pa.int64())
+        columns = [rows["key"], none, rows["tree"], rows["label"], rows["part"]]
+        return pa.table(columns, names).combine_chunks().to_batches()[0]
 
-_RUN = "a bigint, b bigint, prefix int, tree int, label binary"
+    def pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        none = [pa.nulls(len(a), kind) for kind in (pa.int32(), pa.binary(), pa.int64())]
+        return pa.record_batch([pa.array(a), pa.array(b), *none], names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail, seen = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if seen < reach:
+                yield ends(pa.Table.from_batches([batch.slice(0, reach - seen)]))
+            rows = pa.Table.from_batches([batch] if tail is None else [*tail.to_batches(), batch])
+            found = _pairs(rows, reach, nearest, rows.num_rows - batch.num_rows)
+            if len(found[0]):
+                yield pairs(*found)
+            seen += batch.num_rows
+            tail = rows.slice(max(0, rows.num_rows - reach))
+        if tail is not None and seen > reach:
+            yield ends(tail)
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs ``a < b`` of a sorted run of ``tree, label, key``, and its ends: rows with ``a``,
-    ``tree`` and ``label``."""
     names = [field.split()[0] for field in _RUN.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    return run
 
-    def out(*columns) -> pa.RecordBatch:
-        size = max(len(c) for c in columns)
-        full = [pa.nulls(size) if not len(c) else c for c in columns]
-        return pa.record_batch([pa.array(c, k) if isinstance(c, np.ndarray) else c.cast(k) for c, k in zip(full, kinds)], names)
 
-    def ends(rows: pa.Table) -> pa.RecordBatch:
-        whole = rows.combine_chunks().to_batches()
-        return out(whole[0]["key"], (), (), whole[0]["tree"], whole[0]["label"])
-
-    tail, seen = None, 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if seen < REACH:
-            yield ends(pa.Table.from_batches([batch.slice(0, REACH - seen)]))
-        run = pa.Table.from_batches([batch] if tail is None else [*tail.to_batches(), batch])
-        labels = np.frombuffer(b"".join(run["label"].to_pylist()), ">u2").reshape(-1, DEPTH)
-        carried = run.num_rows - batch.num_rows
-        pairs = _pairs(run["tree"].to_numpy(), labels, run["key"].to_numpy(), carried)
-        if len(pairs[0]):
-            yield out(*pairs, (), ())
-        seen += batch.num_rows
-        tail = run.slice(max(0, run.num_rows - REACH))
-    if tail is not None and seen > REACH:
-        yield ends(tail)
-
-
-def _candidates(classes: DataFrame) -> DataFrame:
-    """``a, b`` with the number of ``values`` in all prefixes they share."""
-    entries = classes.select(
-        "key",
-        F.posexplode(F.array(*[F.substring("signature", 1 + 2 * DEPTH * t, 2 * DEPTH) for t in range(TREES)])),
-    ).select(F.col("pos").alias("tree"), F.col("col").alias("label"), "key")
-    order = ["tree", "label", "key"]
+def _candidates(classes: DataFrame, reach: int, nearest: int) -> DataFrame:
+    """``a, b``: neighbours in some tree that are of different parts. ``classes`` has ``key``,
+    ``signature`` and ``part``."""
+    labels = [F.substring("signature", 1 + 2 * DEPTH * t, 2 * DEPTH) for t in range(TREES)]
+    entries = classes.select(F.posexplode(F.array(*labels)).alias("tree", "label"), "key", "part")
+    order, find = ["tree", "label", "key"], _neighbours(reach, nearest)
     ordered = entries.repartitionByRange(*order).sortWithinPartitions(*order)
-    runs = stage(map_batches(ordered, _neighbours, _RUN))
+    runs = stage(map_batches(ordered, find, _RUN))
     # The ends of all runs, a bounded number per partition, hold the neighbours across them.
-    met = runs.filter("b IS NULL").selectExpr("tree", "label", "a AS key").distinct()
-    across = map_batches(met.repartition("tree").sortWithinPartitions(*order), _neighbours, _RUN)
+    met = runs.filter("b IS NULL").selectExpr("tree", "label", "a AS key", "part").distinct()
+    across = map_batches(met.repartition("tree").sortWithinPartitions(*order), find, _RUN)
     pairs = runs.filter("b IS NOT NULL").unionByName(across.filter("b IS NOT NULL"))
-    return pairs.select("a", "b").distinct()
+    return stage(pairs.select("a", "b").distinct())
 
 
 def _alike(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
@@ -143,7 +152,7 @@ def _alike(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
     )
     fits = 100 * F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")
     share = similarity / 100
-    least = share - 5.5 * (share * (1 - share) / _SIGNATURE) ** 0.5
+    least = share - 5 * (share * (1 - share) / _SIGNATURE) ** 0.5
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,11 +169,10 @@ def _alike(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
     return map_batches(chosen, compare, "a bigint, b bigint, equal double")
 
 
-def _whole_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle_words: int) -> DataFrame:
-    """``key, hashes`` of the classes in ``pairs``. The texts are read again, and only those
-    whose id may be one of a class's sought member are made into sets."""
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sought = stage(classes.join(keys, "key", "left_semi").select("key", "digest", "doc_id"))
+def _whole_sets(docs: DataFrame, classes: DataFrame, shingle_words: int) -> DataFrame:
+    """``key, hashes`` of ``classes``. The texts are read again, and only those whose id may
+    be one of a class's sought member are made into sets."""
+    sought = stage(classes.select("key", "digest", "doc_id"))
     ids = sought.filter("doc_id IS NOT NULL").select("doc_id")
     maybe, others = sieve.split(docs, "doc_id", ids)
     texts = maybe.unionByName(others.filter("doc_id IS NULL"))
@@ -198,8 +206,10 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
             mask = pa.array(found, pa.bool_())
             yield pa.record_batch([batch["a"].filter(mask), batch["b"].filter(mask)], ["a", "b"])
 
-    joined = pairs.select("a", "b").join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    return map_batches(joined.select("a", "b", "set_a", "set_b"), compare, "a bigint, b bigint")
+    ends = pairs.select(F.col("a").alias("one"), F.col("b").alias("other"))
+    joined = ends.join(sets.toDF("one", "set_a"), "one").join(sets.toDF("other", "set_b"), "other")
+    both = joined.select(F.col("one").alias("a"), F.col("other").alias("b"), "set_a", "set_b")
+    return map_batches(both, compare, "a bigint, b bigint")
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -209,16 +219,14 @@ def _best(pairs: DataFrame) -> DataFrame:
     return tops[0].unionByName(tops[1]).distinct()
 
 
-def near_groups(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    shingle_words: int = SHINGLE_WORDS,
-    similarity: int = SIMILARITY,
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row of ``docs``, where texts with
-    ``100 * intersection >= similarity * union`` are linked."""
-    docs = id_and_text(docs, id_column, text_column)
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose classes are not equally labelled."""
+    ends = pairs.join(labels.toDF("a", "x"), "a", "left").join(labels.toDF("b", "y"), "b", "left")
+    return ends.filter("x IS NULL OR y IS NULL OR x <> y").select("a", "b")
+
+
+def _grouped(docs: DataFrame, shingle_words: int, similarity: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n_shingles, digest`` of each row, and ``digest, component_id`` of each class."""
     fields = {"n_shingles": "bigint", "digest": "binary", "signature": "binary"}
     rows = stage(annotate(docs, "text", fields, _sketches(shingle_words), ["doc_id"]))
     classes = stage(
@@ -231,23 +239,38 @@ def near_groups(
         )
         .withColumn("key", F.monotonically_increasing_id())
     )
-    pairs = stage(_alike(_candidates(classes), classes, similarity))
-    sets = stage(_whole_sets(docs, classes, pairs, shingle_words))
-    first = stage(_links(_best(pairs), sets, similarity))
-    labels = components(first)
-    apart = (
-        pairs.join(labels.toDF("a", "x"), "a", "left")
-        .join(labels.toDF("b", "y"), "b", "left")
-        .filter("x IS NULL OR y IS NULL OR x <> y")
-    )
-    labels = components(_links(apart, sets, similarity), labels)
+    met = _candidates(classes.withColumn("part", F.col("key")), REACH, REACH)
+    pairs = stage(_alike(met, classes, similarity))
+    keys = met.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    near = stage(classes.join(keys, "key", "left_semi"))
+    sets = stage(_whole_sets(docs, near, shingle_words))
+    labels = components(_links(_best(pairs), sets, similarity))
+    labels = components(_links(_apart(pairs, labels), sets, similarity), labels)
+    parts = near.join(labels.toDF("key", "part"), "key", "left").withColumn("part", F.coalesce("part", "key"))
+    new = _candidates(parts, FAR_REACH, FOREIGN).join(met, ["a", "b"], "left_anti")
+    foreign = _alike(new, classes, similarity)
+    labels = components(_links(foreign, sets, similarity), labels)
 
     member = classes.select("key", "digest", "doc_id").join(
         labels.withColumnRenamed("node", "key"), "key", "left"
     )
     member = member.withColumn("label", F.coalesce("label", "key"))
-    smallest = member.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = stage(member.join(smallest, "label").select("digest", "component_id"))
+    # Written, so that both sides of the join are shuffled for it and a hot label can be split.
+    smallest = stage(member.groupBy("label").agg(F.min("doc_id").alias("component_id")))
+    return rows, stage(member.join(smallest, "label").select("digest", "component_id"))
+
+
+def near_groups(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    similarity: int = SIMILARITY,
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row of ``docs``, where texts with
+    ``100 * intersection >= similarity * union`` are linked."""
+    with small_batches(docs.sparkSession):
+        rows, of_class = _grouped(id_and_text(docs, id_column, text_column), shingle_words, similarity)
     linked = rows.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return linked.select(
