@@ -24,37 +24,30 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyhouse.llm.arrow import map_batches
+from tallyhouse.llm.arrow import map_batches, small_batches
 from tallyhouse.llm.columns import column, fresh, id_and_text
 from tallyhouse.operators.scratch import stage
 
 COUNTERS = 512
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def digest(text: bytes) -> bytes:
     return hashlib.sha256(text.lower()).digest()  # bytes.lower() changes A-Z only
 
 
-def with_digest(rows: DataFrame, text_column: str, name: str) -> DataFrame:
-    """``rows`` with the digest of their text in one more column."""
-    place = rows.columns.index(text_column)
+def digests(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``doc_id, digest`` for every row."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(place)
+            texts = batch.column(1)
             found = (digest(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in texts)
-            yield batch.append_column(name, pa.array(found, pa.binary()))
-
-    schema = T.StructType([*rows.schema, T.StructField(name, T.BinaryType())])
-    return map_batches(rows, hashed, schema)
+            yield pa.record_batch([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "digest"])
 
-
-def digests(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``doc_id, digest`` for every row."""
-    hashed = with_digest(id_and_text(docs, id_column, text_column), "text", "digest")
-    return hashed.select("doc_id", "digest")
+    return map_batches(id_and_text(docs, id_column, text_column), hashed, "doc_id bigint, digest binary")
 
 
 def frequent_digests(rows: DataFrame, counters: int = COUNTERS) -> DataFrame:
@@ -112,7 +105,8 @@ def exact_groups(
     numbered = digests(docs, id_column, text_column).withColumn(
         "row", F.struct("doc_id", F.monotonically_increasing_id().alias("number"))
     )
-    rows = stage(numbered.select("digest", "row"))
+    with small_batches(docs.sparkSession):
+        rows = stage(numbered.select("digest", "row"))
     winners = F.broadcast(heavy_winners(rows, counters))
     heavy = rows.join(winners, "digest")
     group = Window.partitionBy("digest")
@@ -138,15 +132,17 @@ def drop_copies(
 
     Copies in heavy groups go before the shuffle; the other rows are shuffled once, whole.
     """
-    rows = stage(digests(docs, id_column, text_column).withColumnRenamed("doc_id", "row"))
+    with small_batches(docs.sparkSession):
+        rows = stage(digests(docs, id_column, text_column).withColumnRenamed("doc_id", "row"))
     digest_name, winner_name = fresh(docs, "text_digest"), fresh(docs, "winner_id")
     place, known = fresh(docs, "place"), fresh(docs, "known")
     winners = heavy_winners(rows, counters).select(
         F.col("digest").alias(digest_name), F.col("winner").alias(winner_name), F.lit(True).alias(known)
     )
     ids = column(id_column).cast("bigint")
-    text = docs.withColumn(text_column, column(text_column).cast("string"))
-    hashed = with_digest(text, text_column, digest_name)
+    # The same digests by built-in functions: the whole rows need not pass through Python.
+    text = F.coalesce(column(text_column).cast("string"), F.lit(""))
+    hashed = docs.withColumn(digest_name, F.unhex(F.sha2(F.translate(text, UPPER, UPPER.lower()), 256)))
     left = hashed.join(F.broadcast(winners), digest_name, "left").filter(
         F.col(known).isNull() | ids.eqNullSafe(F.col(winner_name))
     )
