@@ -10,12 +10,14 @@ from after the rules; without a label of each class it rejects nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm import exact_dedup, near_dedup, packing, quality_classifier, quality_rules
+from tallyhouse.llm.arrow import set_batch_rows
 from tallyhouse.llm.labels import remainder
 from tallyhouse.operators.scratch import stage
 
@@ -48,12 +50,25 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, tokenizer)
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _with_settings(step: Stage) -> Stage:
+    """The stages' rows are whole texts: few of them go to Python at once."""
+
+    def stage_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        set_batch_rows(spark)
+        return step(spark, docs, sf_dir)
+
+    return stage_
+
+
 STAGES = [
-    ("quality_rules", pass_rules),
-    ("quality_classifier", pass_classifier),
-    ("exact_dedup", drop_exact_copies),
-    ("near_dedup", drop_near_copies),
-    ("packing", pack_sequences),
+    ("quality_rules", _with_settings(pass_rules)),
+    ("quality_classifier", _with_settings(pass_classifier)),
+    ("exact_dedup", _with_settings(drop_exact_copies)),
+    ("near_dedup", _with_settings(drop_near_copies)),
+    ("packing", _with_settings(pack_sequences)),
 ]
 
 #: The classifier is trained and the near-duplicates are hashed: SQL cannot express them.

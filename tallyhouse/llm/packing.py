@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from struct import pack as pack_ids
+from threading import Timer
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,9 @@ K1, B = 1.2, 0.75
 #: Of so many best neighbours the first that fits whole is preferred to a cut.
 _LOOKED_AT = 8
 #: Words encoded once and remembered by a worker: at most twice as many, of so many bytes.
-REMEMBERED, REMEMBERED_BYTES = 500_000, 40
+REMEMBERED, REMEMBERED_BYTES = 300_000, 40
+#: A worker that is idle for so many seconds forgets them, as it may serve other stages next.
+IDLE_SECONDS = 2.0
 _MARKS = b".,!?;:#$%&*|()"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
@@ -57,6 +61,7 @@ class Encoder(dict):
 
         super().__init__()
         self.old: dict[bytes, bytes] = {}
+        self.timer: Timer | None = None
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.tokenizer.no_truncation()
@@ -81,6 +86,21 @@ class Encoder(dict):
     def ids(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.lower().split()))
 
+    @contextmanager
+    def in_use(self) -> Iterator[None]:
+        if self.timer:
+            self.timer.cancel()
+        try:
+            yield
+        finally:
+            self.timer = Timer(IDLE_SECONDS, self.forget)
+            self.timer.daemon = True
+            self.timer.start()
+
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
 
 @cache
 def _encoder(tokenizer: str) -> Encoder:
@@ -225,6 +245,10 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
+        with encoder.in_use():
+            yield from packed(batches, encoder)
+
+    def packed(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[pa.RecordBatch]:
         packer = Packer(window, TaskContext.get().partitionId())
         shard, tokens = [], 0
         for batch in batches:
