@@ -172,6 +172,9 @@ _MAYBE_WHITE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
 _MAYBE_WHITE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
+_MARKS = b".,!?;:#$%&*|"
+
+
 class Splitter:
     """Matches of the pattern, as bytes. A text can be split before each space that no white
     space is next to, as the space begins a match."""
@@ -180,10 +183,28 @@ class Splitter:
         import regex
 
         self._find = regex.compile(pattern).findall
+        # Whether the pattern treats letters and marks after a space as one match each.
+        self._plain = all(
+            self._find(f" {letter}s{marks}") == [f" {letter}s", marks]
+            for letter in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+            for marks in (*_MARKS.decode(), _MARKS.decode())
+        )
 
     def matches(self, data: bytes) -> list[bytes]:
         return [found.encode() for found in self._find(data.decode())]
 
+    def unit_matches(self, unit: bytes) -> list[bytes]:
+        """Of a unit and the space before it. Units that begin with another letter are one match,
+        if they have ASCII letters alone, and two with ASCII marks at the end; the pattern
+        need not run on them."""
+        if self._plain:
+            if unit.isalpha():
+                return [b" " + unit]
+            stem = unit.rstrip(_MARKS)
+            if stem.isalpha():
+                return [b" " + stem, unit[len(stem) :]]
+        return self.matches(b" " + unit)
+
     def texts(self, column: pa.Array) -> Iterator[tuple[bytes, list[bytes] | None]]:
         """Each text and what is between its spaces, or None if it has to be matched whole."""
         for part in slices(column):
@@ -246,6 +267,8 @@ class Dictionary:
         hashes = np.array([xxhash.xxh64_intdigest(w.as_buffer()) for w in words["word"]], np.uint64)
         order = np.argsort(hashes)
         self.hashes = hashes[order]
+        # Where the hashes of each leading 16 bits begin.
+        self.starts = np.searchsorted(self.hashes >> np.uint64(48), np.arange((1 << 16) + 1))
         self.words, self.word_ends = self._flat(words["word"], order)
         self.ids, self.id_ends = self._flat(words["ids"], order)
 
@@ -258,12 +281,13 @@ class Dictionary:
     def lookup(self) -> Callable[[bytes], bytes | None]:
         hashes, words, ids = memoryview(self.hashes), self.words, self.ids
         word_ends, id_ends = memoryview(self.word_ends), memoryview(self.id_ends)
-        n = len(hashes)
+        starts = memoryview(self.starts)
 
         def get(word: bytes) -> bytes | None:
             key = xxhash.xxh64_intdigest(word)
-            i = bisect_left(hashes, key)
-            if i < n and hashes[i] == key and words[word_ends[i] : word_ends[i + 1]] == word:
+            end = starts[(key >> 48) + 1]
+            i = bisect_left(hashes, key, starts[key >> 48], end)
+            if i < end and hashes[i] == key and words[word_ends[i] : word_ends[i + 1]] == word:
                 return ids[id_ends[i] : id_ends[i + 1]]
             return None
 
@@ -278,7 +302,8 @@ class _Coder:
 
     def __init__(self, pattern: str, dictionary: Dictionary):
         self.splitter, self.get = Splitter(pattern), dictionary.lookup()
-        self.known: dict[bytes, bytes] = {}  # units without a hole
+        self.known: dict[bytes, bytes] = {}  # units without a hole, in two generations
+        self.old: dict[bytes, bytes] = {}
         self.rest: dict[bytes, int] = {}  # the other words of a text, and their uses in turn
         self.uses: list[int] = []
 
@@ -290,12 +315,15 @@ class _Coder:
         return b"".join(coded)
 
     def _unit(self, unit: bytes) -> bytes:
-        holes = len(self.uses)
-        coded = self._words(self.splitter.matches(b" " + unit))
-        if len(self.uses) == holes and len(unit) <= DICTIONARY_BYTES:
-            if len(self.known) >= _HELD_WORDS:
-                self.known.clear()
-            self.known[unit] = coded
+        coded = self.old.get(unit)
+        if coded is None:
+            holes = len(self.uses)
+            coded = self._words(self.splitter.unit_matches(unit))
+            if len(self.uses) > holes or len(unit) > DICTIONARY_BYTES:
+                return coded
+        if len(self.known) >= _HELD_WORDS:
+            self.old, self.known = self.known, {}
+        self.known[unit] = coded
         return coded
 
     def code(self, text: bytes, parts: list[bytes] | None) -> tuple[bytes, list[bytes], list[int]]:

@@ -65,15 +65,17 @@ def test_both_folds(spark, ranks, library, monkeypatch):
 
 def test_splitting_before_spaces(library):
     splitter, rnd = byte_bpe.Splitter(P.PATTERN), random.Random(4)
-    some = [*"ab É日1²½ \n\t\r.,!'\x1c\x85\xa0　_‿²İ", "  ", "'s", " a"]
+    some = [*"ab É日|#s1²½ \n\t\r.,!'\x1c\x85\xa0　_‿²İ", "  ", "'s", " a"]
     rows = ["".join(rnd.choice(some) for _ in range(rnd.randint(0, 14))) for _ in range(5000)]
     whole = 0
     for text, (data, parts) in zip(rows, splitter.texts(pa.array(rows))):
         assert data.decode() == text
         whole += parts is None
         found = splitter.matches(data) if parts is None else [
-            *splitter.matches(parts[0]), *(w for p in parts[1:] for w in splitter.matches(b" " + p))
+            *splitter.matches(parts[0]), *(w for p in parts[1:] for w in splitter.unit_matches(p))
         ]
+        for unit in parts or ():
+            assert splitter.unit_matches(unit) == splitter.matches(b" " + unit)
         assert b"".join(found).decode() == text
         assert [i for w in found for i in library._core_bpe.encode_single_piece(w)] == library.encode_ordinary(text)
     assert 0 < whole < len(rows)
