@@ -125,36 +125,39 @@ def train(
     rows, share = labelled.sample(docs, labels, label, learn, texts_per_class)
     fields = {"hashes": "array<bigint>", "sentences": "array<int>"}
     bags = annotate(rows, "text", fields, _bags, ["doc_id", "label"]).orderBy("doc_id").toArrow()
-    hashes = bags["hashes"].combine_chunks()
-    lengths = np.diff(np.asarray(hashes.offsets))
-    return fit(
-        np.asarray(hashes.flatten()).view(np.uint64),
-        np.asarray(bags["sentences"].combine_chunks().flatten()),
-        np.repeat(np.arange(len(lengths)), lengths),
-        bags["label"].to_numpy(),
-        share,
-        training,
-    )
+    hashes, sentences = (bags[c].combine_chunks() for c in ("hashes", "sentences"))
+    bounds = np.asarray(hashes.offsets) - hashes.offsets[0].as_py()
+    y = bags["label"].to_numpy()
+    del bags
+    flat = np.asarray(hashes.flatten()).view(np.uint64)
+    return fit(flat, np.asarray(sentences.flatten()), bounds, y, share, training)
 
 
 def fit(
-    hashes: np.ndarray, sentence: np.ndarray, text: np.ndarray, y: np.ndarray, share_of_1: float, t: Training
+    hashes: np.ndarray, sentence: np.ndarray, bounds: np.ndarray, y: np.ndarray, share_of_1: float, t: Training
 ) -> Model:
-    """``hashes``, ``sentence`` (counted per text) and ``text`` have an entry per feature. The
-    classes weigh as much as they do among all labels."""
+    """``hashes`` and ``sentence`` (counted per text) have an entry per feature, ``bounds`` says
+    where those of each text begin. The classes weigh as much as they do among all labels."""
     if len(set(y.tolist())) < 2 or not len(hashes):
         return Model(np.zeros(1, np.uint64), np.zeros(1), None)
-    known, feature = np.unique(hashes, return_inverse=True)
-    per_text = np.unique(feature.astype(np.int64) * len(y) + text) // len(y)
-    common = np.bincount(per_text, minlength=len(known)) >= t.least_texts
-    new_place = np.cumsum(common) - 1
-    _, instance = np.unique(text.astype(np.int64) << 32 | sentence, return_inverse=True)
-    owner = np.zeros(instance.max() + 1, np.int64)
-    owner[instance] = text
-    used = common[feature]
-    known = known[common]
-    pairs = np.unique(instance[used] * max(1, len(known)) + new_place[feature[used]])
-    at, word = np.divmod(pairs, max(1, len(known)))
+    texts = list(zip(bounds[:-1], bounds[1:]))
+    found, times = np.unique(np.concatenate([np.unique(hashes[a:b]) for a, b in texts]), return_counts=True)
+    known = found[times >= t.least_texts]
+    last = max(1, len(known))
+    # One text at a time, so that only the features that are kept take memory.
+    pairs, owner = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    first = 0
+    for text, (a, b) in enumerate(texts):
+        if a == b:
+            continue
+        place = np.searchsorted(known, hashes[a:b])
+        same = np.flatnonzero(known[np.minimum(place, last - 1)] == hashes[a:b]) if len(known) else []
+        pairs.append(np.unique((sentence[a:b][same].astype(np.int64) + first) * last + place[same]))
+        sentences = int(sentence[a:b].max()) + 1
+        owner.append(np.full(sentences, text))
+        first += sentences
+    at, word = np.divmod(np.concatenate(pairs), last)
+    owner = np.concatenate(owner)
 
     weights, bias = np.zeros(len(known)), -4.0
     cost = np.array([1 - share_of_1, share_of_1])[y] / np.bincount(y)[y]
