@@ -17,12 +17,17 @@
 5. Classes that had a neighbour are sorted once more, and each looks ``FAR_REACH`` places
    either way for the ``FOREIGN`` nearest of other components: what a dense region's own
    neighbours have hidden. Pairs that are new go through 3 and 4, too.
-6. Components of confirmed links, and for each its smallest id.
+6. What is left is settled exactly. Where more classes share a prefix than are within reach,
+   and not all are of one component, a join by prefix filter finds every pair of different
+   components that can be similar enough: the shingles of each class are ranked, the rarest
+   first, and two similar sets share one among their first. All these pairs are compared in
+   full, without 3. Frequent shingles are salted.
+7. Components of confirmed links, and for each its smallest id.
 
 Two texts at the least similarity share a prefix in a tree with probability
-``0.8 ** 5 = 0.33``, in none of 32 trees with ``3e-6``. What can stay apart is a text that is
-similar to few members of a dense region and to none of its nearest there. The number of
-pairs is in proportion to the classes, whatever the size of a group.
+``0.8 ** 5 = 0.33``, in none of 32 trees with ``3e-6``; that and 3 are all that can part them.
+Before 6 the number of pairs is in proportion to the classes, whatever the size of a group;
+in 6 it is that of the pairs of unlinked classes with a common shingle among their rarest.
 
 Defined results: a null or empty text has an empty set, is linked with nothing and
 stays. A text with fewer words than a shingle has its whole sequence as one shingle. Repeated
@@ -52,6 +57,8 @@ TREES, DEPTH = 32, 8
 LEAST_PREFIX = 5
 REACH = 3
 FAR_REACH, FOREIGN = 48, 2
+#: Classes per salt of a shingle, and shingles that leave Python at once.
+_SALTED, _ROWS = 4096, 1 << 18
 SHINGLE_WORDS, SIMILARITY = 5, 80
 _SIGNATURE = TREES * DEPTH
 
@@ -225,6 +232,95 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return ends.filter("x IS NULL OR y IS NULL OR x <> y").select("a", "b")
 
 
+def _parts(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``classes`` with their component as ``part``, a class without links being its own."""
+    labelled = classes.join(labels.toDF("key", "part"), "key", "left")
+    return labelled.withColumn("part", F.coalesce("part", "key"))
+
+
+def _contested(parts: DataFrame) -> DataFrame:
+    """``key, part`` of the classes in a run of a common prefix, in some tree, that is longer
+    than the reach and has more than one component."""
+    prefixes = [
+        F.xxhash64(F.lit(t), F.substring("signature", 1 + 2 * DEPTH * t, 2 * LEAST_PREFIX))
+        for t in range(TREES)
+    ]
+    entries = parts.select(F.explode(F.array(*prefixes)).alias("run"), "key", "part")
+    runs = entries.groupBy("run").agg(
+        F.count("*").alias("n"), F.min("part").alias("least"), F.max("part").alias("most")
+    )
+    mixed = runs.filter((F.col("n") > REACH + 1) & (F.col("least") < F.col("most"))).select("run")
+    return stage(entries.join(mixed, "run", "left_semi").select("key", "part").distinct())
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``hash, key, part, size`` for each shingle of ``key, part, hashes``."""
+    names = ["hash", "key", "part", "size"]
+    for batch in batches:
+        sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch["hashes"]]
+        sizes = np.array([len(s) for s in sets], np.int64)
+        keys, parts = batch["key"].to_numpy(), batch["part"].to_numpy()
+        done = (np.cumsum(sizes) - sizes) // _ROWS
+        for rows in np.split(np.arange(len(sets)), np.flatnonzero(np.diff(done)) + 1):
+            some = sizes[rows]
+            columns = [np.concatenate([sets[i] for i in rows])] if len(rows) else [np.empty(0, np.int64)]
+            columns += [np.repeat(column_[rows], some) for column_ in (keys, parts, sizes)]
+            yield pa.record_batch([pa.array(c) for c in columns], names)
+
+
+def _prefix_pairs(contested: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """``a, b``: all pairs of different parts that can be similar enough.
+
+    Sets of sizes ``x <= y`` are so if at least ``s (x + y) / (100 + s)`` shingles are common.
+    Ranked alike, the first common one then has as many after it in both: in the smaller set
+    it is among the first ``x - 2 s x / (100 + s)``, in the larger among ``y - s y / 100``.
+    """
+    rows = map_batches(
+        sets.join(contested, "key").select("key", "part", "hashes"),
+        _shingle_rows,
+        "hash bigint, key bigint, part bigint, size bigint",
+    )
+    # Rare is what few of these classes have. A shingle of one class meets nothing but has a rank.
+    counts = (
+        rows.groupBy("hash", "part")
+        .agg(F.count("*").alias("n"))
+        .groupBy("hash")
+        .agg(F.sum("n").alias("n"), F.max(F.struct("n", "part"))["part"].alias("main"), F.count("*").alias("parts"))
+        .filter("n > 1")
+    )
+    ranked = (
+        rows.join(counts, "hash")
+        .groupBy("key", "part", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "hash", "main", "parts"))).alias("shingles"))
+    )
+    entry = F.posexplode("shingles").alias("place", "shingle")
+    entries = ranked.select("key", "part", "size", F.size("shingles").alias("shared"), entry)
+    entries = entries.selectExpr(
+        "shingle.hash", "key", "part", "size", "size - shared + place AS place",
+        "part <> shingle.main AS outside", "shingle.parts", "1 + shingle.n DIV {n} AS salts".format(n=_SALTED),
+    )
+    probes = entries.filter(f"parts > 1 AND 100 * (size - place) >= {similarity} * size").drop("parts")
+    probes = stage(probes)
+    # Pairs within the main part of a shingle are never made: one of the two is outside.
+    smaller = probes.filter(f"{100 + similarity} * (size - place) >= {2 * similarity} * size")
+    smaller = smaller.withColumn("salt", F.expr("pmod(xxhash64(key), salts)")).drop("salts")
+    larger = probes.withColumn("salt", F.explode(F.expr("sequence(0L, salts - 1)"))).drop("salts")
+    left = smaller.toDF("hash", "a", "part_a", "size_a", "place_a", "outside_a", "salt")
+    right = larger.toDF("hash", "b", "part_b", "size_b", "place_b", "outside_b", "salt")
+    least = f"{similarity} * (size_a + size_b)"
+    fits = (
+        "part_a <> part_b AND size_a <= size_b "
+        f"AND {100 + similarity} * (size_a - place_a) >= {least} "
+        f"AND {100 + similarity} * (size_b - place_b) >= {least}"
+    )
+    met = [
+        left.filter(one).join(right.filter(other), ["hash", "salt"]).filter(fits)
+        for one, other in (("outside_a", "true"), ("NOT outside_a", "outside_b"))
+    ]
+    pairs = met[0].unionByName(met[1])
+    return stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def _grouped(docs: DataFrame, shingle_words: int, similarity: int) -> tuple[DataFrame, DataFrame]:
     """``doc_id, n_shingles, digest`` of each row, and ``digest, component_id`` of each class."""
     fields = {"n_shingles": "bigint", "digest": "binary", "signature": "binary"}
@@ -246,10 +342,13 @@ def _grouped(docs: DataFrame, shingle_words: int, similarity: int) -> tuple[Data
     sets = stage(_whole_sets(docs, near, shingle_words))
     labels = components(_links(_best(pairs), sets, similarity))
     labels = components(_links(_apart(pairs, labels), sets, similarity), labels)
-    parts = near.join(labels.toDF("key", "part"), "key", "left").withColumn("part", F.coalesce("part", "key"))
-    new = _candidates(parts, FAR_REACH, FOREIGN).join(met, ["a", "b"], "left_anti")
+    new = _candidates(_parts(near, labels), FAR_REACH, FOREIGN).join(met, ["a", "b"], "left_anti")
     foreign = _alike(new, classes, similarity)
     labels = components(_links(foreign, sets, similarity), labels)
+    contested = _contested(_parts(near, labels))
+    if not contested.isEmpty():
+        missed = _prefix_pairs(contested, sets, similarity)
+        labels = components(_links(missed, sets, similarity), labels)
 
     member = classes.select("key", "digest", "doc_id").join(
         labels.withColumnRenamed("node", "key"), "key", "left"

@@ -79,6 +79,25 @@ def test_groups_match_brute_force(clashing, shingle_words):
         assert row["kept"] == (row["doc_id"] == row["component_id"])
 
 
+def test_dense_region_below_the_similarity_hides_no_link(documents):
+    """Many texts that share a passage, at 0.78 to each other, and pairs at 0.81 among them."""
+    rnd = random.Random(6)
+    passage, rows, partners = [f"p{i}" for i in range(193)], [], {}
+    own = lambda n: [f"o{rnd.getrandbits(40)}" for _ in range(n)]
+    for i in range(2000):
+        tail = own(27)
+        rows.append((i, " ".join(passage + tail)))
+        if i % 50 == 0:
+            partner = 10_000 + i
+            partners[partner] = i
+            rows.append((partner, " ".join(passage + tail[:4] + own(23))))
+    sets = [shingles(t, 5) for _, t in rows[:3]]  # 0, its partner, 1
+    alike = [len(x & y) / len(x | y) for x, y in (sets[:2], sets[::2])]
+    assert alike[0] >= 0.8 and 0.75 < alike[1] < 0.8
+    found = near_dedup.near_groups(documents(*rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: partners.get(i, i) for i, _ in rows}
+
+
 def test_dropping_keeps_one_of_each_group_and_all_columns(clashing):
     rows = [(i, t) for i, t in corpus(9) if i is not None][:-1]
     docs = clashing(*rows)
