@@ -8,7 +8,10 @@ byte, so that any ``RUN + WINNOW - 1`` bytes shared with a template are found. H
 diagonals make a candidate region, whose words are aligned with the template's in a
 band around the diagonal (match 2, change or gap -1, best local score). A region
 is reported if the matched words are at least ``LEAST_COVERAGE`` of the template's and no
-better match of the same template overlaps it.
+better match of the same template overlaps it. Between such matches, what is aligned less is
+chained: parts of one template in its order are added up, however far apart, as text may be
+inserted into a notice. A chain that reaches the coverage is one match, from its first matched
+word to its last.
 
 The index holds one entry per few template bytes. It is shipped in blocks of at
 most ``INDEX_ENTRIES``; a larger set of templates takes one pass over the texts per block.
@@ -20,6 +23,7 @@ gives one match per row of it. Other columns are not read. Empty tables give no
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache, reduce
@@ -135,51 +139,90 @@ class Index:
 
 
 @lru_cache(maxsize=4096)
-def align(region: bytes, template: bytes) -> tuple[int, int, int, int]:
-    """Matched words, words of the template, first and last byte of the match in the region:
-    the best local alignment of words whose shift stays within ``BAND_WORDS`` of the
+def align(region: bytes, template: bytes) -> tuple[int, list[tuple[int, int, int]]]:
+    """Words of the template, and per matched word its number there and its first and last
+    byte in the region: the best local alignment of words whose shift stays within ``BAND_WORDS`` of the
     longer side's surplus."""
     ours, theirs = _words(region), _words(template)
     surplus = abs(len(ours) - len(theirs))
     low, high = -BAND_WORDS, BAND_WORDS
     low, high = (low, high + surplus) if len(ours) > len(theirs) else (low - surplus, high)
-    # Per cell: score, matches, first matched word of ours. Rows are words of the template.
-    nothing = (0, 0, -1)
-    before: dict[int, tuple[int, int, int]] = {}
-    best, best_end = nothing, -1
+    # Per cell: score, matches, the matched pairs as a linked list. Rows are words of the template.
+    nothing = (0, 0, None)
+    before: dict[int, tuple] = {}
+    best = nothing
     for i, (_, _, word) in enumerate(theirs):
-        row: dict[int, tuple[int, int, int]] = {}
+        row: dict[int, tuple] = {}
         for j in range(max(0, i + low), min(len(ours), i + high + 1)):
-            score, matches, first = before.get(j - 1, nothing)
+            score, matches, pairs = before.get(j - 1, nothing)
             if ours[j][2] == word:
-                cell = (score + 2, matches + 1, j if first < 0 else first)
+                cell = (score + 2, matches + 1, (i, j, pairs))
             else:
                 options = (
-                    (score - 1, matches, first),
-                    *((s - 1, m, f) for s, m, f in (before.get(j, nothing), row.get(j - 1, nothing))),
+                    (score - 1, matches, pairs),
+                    *((s - 1, m, p) for s, m, p in (before.get(j, nothing), row.get(j - 1, nothing))),
                 )
                 cell = max(options, key=lambda c: (c[0], c[1]))
             if cell[0] <= 0:
                 cell = nothing
             row[j] = cell
             if cell[:2] > best[:2]:
-                best, best_end = cell, j
+                best = cell
         before = row
-    if best_end < 0:
-        return 0, len(theirs), 0, 0
-    return best[1], len(theirs), ours[best[2]][0], ours[best_end][1]
+    found, pairs = [], best[2]
+    while pairs:
+        i, j, pairs = pairs
+        found.append((i, ours[j][0], ours[j][1]))
+    return len(theirs), found[::-1]
 
 
-def _aligned(data: np.ndarray, regions: Iterable[tuple], template: bytes) -> list[tuple]:
-    """Matched words, words, first and last byte of the best alignments that do not overlap."""
-    best: list[tuple] = []
+def _chain(parts: list[list[tuple]]) -> list[tuple]:
+    """The most matched words that are in order in template and text, in the shortest span."""
+    chains: list[list[tuple]] = []
+    for part in sorted(parts, key=lambda pairs: pairs[-1][2]):
+        options = [part]
+        for chain in chains:
+            number, _, end = chain[-1]
+            tail = [pair for pair in part if pair[0] > number and pair[1] >= end]
+            if tail:
+                options.append(chain + tail)
+        chains.append(max(options, key=lambda chain: (len(chain), chain[0][1])))
+    return max(chains, key=lambda chain: (len(chain), chain[0][1] - chain[-1][2]))
+
+
+def _aligned(data: np.ndarray, regions: Iterable[tuple], template: bytes, least: float) -> list[tuple]:
+    """Matched words, words, first and last byte of the best alignments that do not overlap
+    and of the chains between them."""
     found = []
+    words = 0
     for _, _, first, last in regions:
-        matched, words, a, b = align(data[first:last].tobytes(), template)
-        found.append((matched, words, first + a, first + b))
-    for match in sorted(found, key=lambda m: (-m[0], m[2])):
-        if all(match[3] <= other[2] or other[3] <= match[2] for other in best):
-            best.append(match)
+        words, pairs = align(data[first:last].tobytes(), template)
+        if pairs:
+            found.append([(number, first + a, first + b) for number, a, b in pairs])
+    best: list[tuple] = []
+    parts = []
+    for pairs in sorted(found, key=lambda pairs: (-len(pairs), pairs[0][1])):
+        a, b = pairs[0][1], pairs[-1][2]
+        if len(pairs) < least * words:
+            parts.append(pairs)
+        elif all(b <= other[2] or other[3] <= a for other in best):
+            best.append((len(pairs), words, a, b))
+    edges = sorted((a, b) for _, _, a, b in best)
+    between: dict[int, list] = {}
+    for pairs in parts:
+        a, b = pairs[0][1], pairs[-1][2]
+        place = bisect(edges, (a, b))
+        if (not place or edges[place - 1][1] <= a) and (place == len(edges) or b <= edges[place][0]):
+            between.setdefault(place, []).append(pairs)
+    for left in between.values() if words else ():
+        # A word of the template counts once in a chain.
+        while len({pair[0] for pairs in left for pair in pairs}) >= least * words:
+            chain = _chain(left)
+            if len(chain) < least * words:
+                break
+            a, b = chain[0][1], chain[-1][2]
+            best.append((len(chain), words, a, b))
+            left = [pairs for pairs in left if pairs[-1][2] <= a or b <= pairs[0][1]]
     return best
 
 
@@ -218,13 +261,14 @@ def _scan(rows: DataFrame, templates: list[tuple[str, str]], least_coverage: flo
                 pairs = groupby(index.regions(part, sieve), key=lambda region: region[:2])
                 for (text, template), regions in pairs:
                     base = int(part.offsets[text])
-                    for matched, words, a, b in _aligned(part.data, regions, index.texts[template]):
-                        if words and matched >= least_coverage * words:
-                            found.append((
-                                ids[part.first + text].as_py(), index.names[template],
-                                matched / words, matched, words, a - base, b - base,
-                                part.data[a:b].tobytes().decode(),
-                            ))
+                    for matched, words, a, b in _aligned(
+                        part.data, regions, index.texts[template], least_coverage
+                    ):
+                        found.append((
+                            ids[part.first + text].as_py(), index.names[template],
+                            matched / words, matched, words, a - base, b - base,
+                            part.data[a:b].tobytes().decode(),
+                        ))
             columns = list(zip(*found)) or [()] * len(names)
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 

@@ -41,6 +41,20 @@ def test_changed_notices(documents):
     assert abs(rows[2]["matched_words"] - (n - len(range(5, len(words), 12)))) <= 2
 
 
+def test_notices_broken_by_inserted_text(documents):
+    """Parts in the template's order are one match; in another order, or too little, none."""
+    words = MIT.split()
+    first, second = " ".join(words[:40]), " ".join(words[40:])
+    other = " ".join(f"Holder{i} Zqx{i * 7}" for i in range(60))
+    texts = [f"{first} {other} {second}", f"{second} {other} {first}", f"{first} {other} {first}"]
+    texts += [f"{first} {other} {MIT} {other} {second}", f"{first} {other} {second} {other} {texts[0]}"]
+    hits = license_scan.scan(documents(*enumerate(texts)), {"mit": MIT}).collect()
+    assert sorted(r["doc_id"] for r in hits) == [0, 3, 4, 4]
+    for r in hits:
+        whole = MIT if r["doc_id"] == 3 else texts[0]
+        assert r["coverage"] == 1.0 and r["text"] == whole.rstrip(".")
+
+
 def test_index_blocks_give_the_same(documents):
     docs = documents(*enumerate([*TEMPLATES.values(), " ".join(TEMPLATES.values())]))
     assert found(docs) == found(docs, index_entries=100)
