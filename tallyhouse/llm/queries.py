@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm import (
-    byte_bpe, exact_dedup, language_model, license_scan, near_dedup, oracles, packing, quality_classifier, quality_rules as rules,
-    token_counts, toxicity,
+    byte_bpe, damage, exact_dedup, language_model, license_scan, near_dedup, oracles, packing, periodic_runs,
+    quality_classifier, quality_rules as rules, token_counts, toxicity,
 )
 from tallyhouse.llm.arrow import set_batch_rows
 from tallyhouse.llm.labels import remainder
@@ -92,6 +92,18 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, folder), pieces)
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.find_runs(damage.repeat_tails(documents(spark, folder)))
+    longest = F.expr("array_min(transform(runs, r -> struct(-r.length AS less, r.start, r.period)))")
+    listed = F.expr("array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')")
+    return found.withColumns({"longest": longest, "listed": listed}).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"),
+        "longest.start", (-F.col("longest.less")).alias("length"), "longest.period",
+        F.expr("-1000 * longest.less div longest.period").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -103,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,0 +1,119 @@
+import hashlib
+import random
+import zlib
+from array import array
+
+import pytest
+
+from tallyhouse.llm import damage, queries
+from tallyhouse.llm.periodic_runs import find_runs, numbered_words, runs_of
+
+
+def plain_runs(words, least_words=6, least_repeats=4):
+    """Every period and every stretch of it, from the definition."""
+    n, found = len(words), []
+    for q in range(1, n):
+        i = 0
+        while i + q < n:
+            end = i
+            while end + q < n and words[end] == words[end + q]:
+                end += 1
+            part = words[i : end + q]
+            if end > i and len(part) >= max(least_words, least_repeats * q):
+                if not any(part[p:] == part[:-p] for p in range(1, q)):
+                    found.append((i, len(part), q))
+            i = max(end, i + 1)
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def plain_collapsed(words, runs):
+    dropped = {k for start, length, q in runs for k in range(start + q, start + length)}
+    return " ".join(w for k, w in enumerate(words) if k not in dropped)
+
+
+def repeating(rnd, size, alphabet):
+    words = []
+    while len(words) < size:
+        part = [rnd.choice(alphabet) for _ in range(rnd.randint(1, 6))]
+        words += part * rnd.choice([1, 1, 2, 4, 5, 7])
+    return words
+
+
+def test_every_run_is_found_whatever_the_constraints():
+    rnd = random.Random(1)
+    for _ in range(1500):
+        words = repeating(rnd, rnd.randint(1, 60), range(rnd.randint(1, 4)))
+        for constraints in ((6, 4), (2, 2), (1, 3), (9, 2)):
+            assert runs_of(array("i", words), *constraints) == plain_runs(words, *constraints), words
+
+
+def test_long_regular_texts_end_soon():
+    assert runs_of(array("i", [0] * 50_000)) == [(0, 50_000, 1)]
+    nested = ([0] * 100 + [1]) * 300
+    assert (0, 30_300, 101) in runs_of(array("i", nested))
+    # One passage, thousands of times, each time between other words: no run, and no search of all pairs.
+    passage = [w for k in range(8_000) for w in (100 + 2 * k, *range(12), 101 + 2 * k)]
+    assert runs_of(array("i", passage)) == []
+
+
+def test_words_are_those_between_separators_also_across_blocks():
+    text = ("é x \t\n\x0b\x0c\r y\x1cz " * 200_000).encode()
+    words, names = numbered_words(text)
+    assert [n.decode() for n in names] == ["é x", "y\x1cz"] and len(words) == 400_000
+    assert numbered_words(b" \n ") == (array("i"), [])
+
+
+def test_texts(documents):
+    rnd = random.Random(2)
+    texts = [None, "", "  \n", "a a a a a", "a a a a a a", "A a A a A a A a", "x " * 30_000]
+    texts += [rnd.choice([" ", "\n", "  "]).join(repeating(rnd, rnd.randint(1, 50), "aé日B")) for _ in range(200)]
+    rows = [*enumerate(texts), (3, texts[4]), (None, texts[4])]
+    found = find_runs(documents(*rows)).collect()
+    expected = []
+    for i, text in rows:
+        words = (text or "").split()
+        runs = [(0, 30_000, 1)] if len(words) == 30_000 else plain_runs(words)
+        expected.append((i, runs, plain_collapsed(words, runs)))
+    key = lambda row: (row[0] is None, row)
+    assert sorted(((r[0], [tuple(x) for x in r[1]], r[2]) for r in found), key=key) == sorted(expected, key=key)
+
+
+def test_clashing_columns_and_empty_tables(clashing):
+    docs = clashing((1, "a b " * 9)).selectExpr("*", "1 AS runs", "2 AS collapsed")
+    assert [(r.doc_id, r.collapsed) for r in find_runs(docs).collect()] == [(1, "a b")]
+    assert find_runs(docs.limit(0)).isEmpty()
+
+
+def damaged(doc_id, text):
+    words, h = (text or "").split(), zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def test_tails_are_repeated(documents):
+    rnd = random.Random(3)
+    rows = [(i, " ".join(repeating(rnd, rnd.randint(0, 40), "abcd")) or None) for i in range(400)]
+    found = damage.repeat_tails(documents(*rows, (None, "a b"))).collect()
+    assert {r.doc_id: (r.text or "").split() for r in found} == {i: damaged(i, t) for i, t in rows} | {None: ["a", "b"]}
+
+
+@pytest.mark.parametrize("constraints", [(6, 4)])
+def test_query_over_the_given_documents(spark, sf_folder, constraints):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_folder}/documents.parquet").collect()}
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    rows = queries.op11_periodic_runs(spark, sf_folder).collect()
+    assert len(rows) == len(texts) and any(r.n_runs for r in rows)
+    for row in rows:
+        words = damaged(row.doc_id, texts[row.doc_id])
+        if len(words) > 1500:
+            continue  # the plain search takes a second a text there
+        runs = plain_runs(words, *constraints)
+        best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+        milli = best[1] and 1000 * best[1] // best[2]
+        listed = "".join(f"{a},{b},{c}\n" for a, b, c in runs)
+        expected = (row.doc_id, len(runs), *best, milli, sha(listed), sha(plain_collapsed(words, runs)))
+        assert tuple(row) == expected
