@@ -6,11 +6,11 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm import (
     byte_bpe, damage, exact_dedup, language_model, license_scan, near_dedup, oracles, packing, periodic_runs,
-    quality_classifier, quality_rules as rules, token_counts, toxicity,
+    quality_classifier, quality_rules as rules, secret_scan, token_counts, toxicity,
 )
 from tallyhouse.llm.arrow import set_batch_rows
 from tallyhouse.llm.labels import remainder
@@ -104,6 +104,20 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def listed(spans) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.PATTERN_KINDS))
+    return secret_scan.scan(documents(spark, folder)).select(
+        "doc_id", *map(count, secret_scan.PATTERN_KINDS), F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -116,6 +130,7 @@ QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,0 +1,174 @@
+import base64
+import hashlib
+import json
+import random
+import re
+
+import pytest
+
+from tallyhouse.llm import queries, secret_scan
+from tallyhouse.llm.secret_scan import key_bytes, scan, spans
+
+
+def element(tag, *content):
+    body = b"".join(content)
+    if len(body) < 128:
+        return bytes([tag, len(body)]) + body
+    digits = len(body).to_bytes((len(body).bit_length() + 7) // 8)
+    return bytes([tag, 0x80 | len(digits)]) + digits + body
+
+
+def number(value):
+    return element(2, value.to_bytes(value.bit_length() // 8 + 1))
+
+
+RND = random.Random(7)
+OID_RSA = element(6, bytes.fromhex("2a864886f70d010101"))
+OID_CURVE = element(6, bytes.fromhex("2a8648ce3d030107"))
+RSA = element(0x30, number(0), number(RND.getrandbits(1024) | 1 << 1023), number(65537), *(number(RND.getrandbits(500)) for _ in range(6)))
+DSA = element(0x30, number(0), *(number(RND.getrandbits(600) | 1 << 599) for _ in range(5)))
+CURVE = element(0x30, number(1), element(4, RND.randbytes(32)), element(0xA0, OID_CURVE), element(0xA1, element(3, b"\0" + RND.randbytes(64))))
+WRAPPED = element(0x30, number(0), element(0x30, OID_RSA, element(5)), element(4, RSA))
+ENCRYPTED = element(0x30, element(0x30, OID_RSA, element(0x30, element(4, RND.randbytes(8)))), element(4, RND.randbytes(64)))
+PUBLIC = element(0x30, element(0x30, OID_RSA, element(5)), element(3, b"\0" + element(0x30, number(RND.getrandbits(1024)), number(65537))))
+
+
+def counted(*fields):
+    return b"".join(len(f).to_bytes(4) + f for f in fields)
+
+
+def openssh():
+    public = counted(b"ssh-ed25519", RND.randbytes(32))
+    hidden = b"abcdabcd" + counted(b"ssh-ed25519", RND.randbytes(32), RND.randbytes(64), b"me@here") + b"\1\2\3"
+    return b"openssh-key-v1\0" + counted(b"none", b"none", b"") + (1).to_bytes(4) + counted(public, hidden)
+
+
+OPENSSH = openssh()
+KEYS = {"rsa": RSA, "dsa": DSA, "curve": CURVE, "wrapped": WRAPPED, "encrypted": ENCRYPTED, "openssh": OPENSSH}
+
+
+def lines(data, width=64):
+    text = base64.b64encode(data).decode()
+    return "\n".join(text[k : k + width] for k in range(0, len(text), width))
+
+
+def pem(data, name="RSA "):
+    return f"-----BEGIN {name}PRIVATE KEY-----\n{lines(data)}\n-----END {name}PRIVATE KEY-----"
+
+
+def url64(data):
+    return base64.urlsafe_b64encode(data).decode().rstrip("=")
+
+
+def token(header, signature=32, claims={"sub": 1}):
+    return ".".join([url64(json.dumps(header).encode()), url64(json.dumps(claims).encode()), url64(RND.randbytes(signature))])
+
+
+def confirmed(text):
+    return [s for s in spans(text.encode()) if s[0] in secret_scan.CONFIRMED_KINDS]
+
+
+@pytest.mark.parametrize("name", KEYS)
+def test_keys_are_found_in_every_coding(name):
+    key = KEYS[name]
+    assert key_bytes(key) == len(key) == key_bytes(key + b"more")
+    for coded, kind in ((base64.b64encode(key).decode(), "key64"), (url64(key), "key64"), (lines(key), "key64"),
+                        (lines(key, 76).replace("\n", "\r\n"), "key64"), (key.hex(), "keyhex"), (key.hex().upper(), "keyhex")):
+        text = f"é the {coded} of"
+        assert confirmed(text) == [(kind, 6, 6 + len(coded))]
+    block = pem(key)
+    assert ("pem", 3, 3 + len(block)) in confirmed("日é " + block + " x")
+
+
+@pytest.mark.parametrize("name", KEYS)
+def test_what_is_broken_or_public_is_no_key(name):
+    key = KEYS[name]
+    for cut in (1, 2, len(key) // 2, len(key) - 1):
+        assert key_bytes(key[:cut]) is None
+    longer = bytearray(key)
+    longer[3 if key[0] == 0x30 else 18] ^= 0x41  # a length
+    assert key_bytes(bytes(longer)) is None
+    assert confirmed(pem(key[:-9])) == [] and confirmed(base64.b64encode(key[:-4]).decode()) == []
+
+
+def test_other_encoded_bytes_are_no_keys():
+    assert key_bytes(PUBLIC) is None
+    assert confirmed(pem(PUBLIC)) == [] and confirmed(lines(PUBLIC)) == [] and confirmed(PUBLIC.hex()) == []
+    noise = base64.b64encode(RND.randbytes(300)).decode()
+    assert confirmed("M" + noise) == [] and confirmed(f"-----BEGIN PRIVATE KEY-----\n{noise}\n-----END PRIVATE KEY-----") == []
+    assert confirmed("-----BEGIN PRIVATE KEY-----") == [] and key_bytes(b"") is None
+    # Any bytes at all end without an error.
+    for _ in range(3000):
+        data = bytearray(RND.choice([*KEYS.values(), PUBLIC]))
+        for _ in range(RND.randint(1, 4)):
+            data[RND.randrange(min(len(data), 60))] = RND.randrange(256)
+        size = key_bytes(bytes(data))
+        assert size is None or size <= len(data)
+
+
+def test_old_encryption_is_told_by_its_header():
+    body = f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011\n\n{lines(RND.randbytes(96))}"
+    block = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    assert confirmed(block) == [("pem", 0, len(block))]
+    assert confirmed(block.replace("ENCRYPTED", "CLEAR")) == []
+
+
+def test_tokens():
+    for alg, size in (("HS256", 32), ("ES512", 132), ("RS256", 256), ("none", 0)):
+        made = token({"alg": alg, "typ": "JWT"}, size)
+        assert confirmed(f"see {made}, then") == [("token", 4, 4 + len(made))], alg
+        if size:
+            assert confirmed(token({"alg": alg}, size - 31)) == []
+    parts = token({"alg": "dir", "enc": "A128GCM"}, 12) + f".{url64(b'x' * 16)}.{url64(b'y' * 16)}"
+    assert confirmed(parts) == [("token", 0, len(parts))]
+    for other in (token({"typ": "JWT"}), token({"alg": 5}), token(["alg"]), token({"alg": "XX"}), "eyes.are.open", "eyJhbGciOiJIUzI1NiJ9.."):
+        assert confirmed(other) == [], other
+
+
+def test_many_unfinished_candidates_end_soon():
+    assert confirmed("-----BEGIN RSA PRIVATE KEY-----\n" * 20_000) == []
+    assert confirmed(("MIIE" + "A" * 60 + "\n") * 5_000) == []
+    assert confirmed("password" + " " * 500_000 + "e" * 500_000) == []
+
+
+PLAIN = {
+    "assign": (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    "access": (r"AKIA[A-Z0-9]+", 0, 16),
+    "hex": (r"[0-9a-f]+", 0, 32),
+}
+
+
+def plain_base(text):
+    found = []
+    for order, (kind, (pattern, group, least)) in enumerate(PLAIN.items()):
+        found += [(m.start(), order, kind, m.end()) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+    return [(kind, start, end) for start, _, kind, end in sorted(found)]
+
+
+def texts(n):
+    parts = ["password", "paſſwd", "toKen", "PASSWD", "api_key", "APIkey", " = ", ":", "'", '"', " ", "AKIA", "AKIA0123456789AB",
+             "0123456789abcdef" * 2, "deadbeef", "short", "longerthan8", "é", "日本", "\n", "ABCDEFGH", "=", "/x.y-z"]
+    return ["".join(RND.choice(parts) for _ in range(RND.randint(0, 14))) for _ in range(n)]
+
+
+def test_patterns(documents, clashing):
+    rows = [*enumerate([None, "", "x" * 100_000, *texts(3000)]), (1, "token: abcdefgh"), (None, "token: abcdefgh")]
+    found = scan(documents(*rows)).collect()
+    expected = [(i, [s for s in plain_base(t or "")]) for i, t in rows]
+    mine = [(r.doc_id, [tuple(s) for s in r.spans if s.kind in secret_scan.PATTERN_KINDS]) for r in found]
+    key = lambda row: (row[0] is None, row)
+    assert sorted(mine, key=key) == sorted(expected, key=key)
+    assert [r.spans for r in scan(clashing((1, "x")).selectExpr("*", "3 AS spans", "4 AS kind")).collect()] == [[]]
+    assert scan(clashing((1, "x")).limit(0)).isEmpty()
+
+
+def test_query_over_the_given_documents(spark, sf_folder):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_folder}/documents.parquet").collect()}
+    rows = queries.op13_secret_scan(spark, sf_folder).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        base = plain_base(texts[row.doc_id])
+        listed = ",".join(f"{kind}:{start}:{end}" for kind, start, end in base)
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(sum(s[0] == k for s in base) for k in PLAIN)
+        assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert [s for s in row.spans.split(",") if s.split(":")[0] in PLAIN] == [s for s in listed.split(",") if s]
