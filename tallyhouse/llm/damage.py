@@ -34,3 +34,27 @@ def repeat_tails(docs: DataFrame) -> DataFrame:
         ")), 1, CAST(_n - _a AS INT)))"
     )
     return placed.select("doc_id", F.when(F.col("_n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def damage_turns(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text`` where one row in five has a fault, by the checksum of id and
+    turn: dropped, emptied, without the ends of its sentences, repeated, or said to be the user's.
+    A null role or text is one space, and a null id or turn is one in the checksum."""
+
+    def shown(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    key = F.concat_ws(":", shown("conv_id"), shown("turn"))
+    rows = conversations.select(
+        "conv_id", "turn", shown("role").alias("role"), shown("text").alias("text"),
+        (F.crc32(key.cast("binary")) % 20).alias("_kind"),
+    ).filter("_kind != 0")
+    return rows.select(
+        "conv_id", "turn",
+        F.when(F.col("_kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("_kind") == 1, "")
+        .when(F.col("_kind") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        F.explode(F.expr("sequence(1, IF(_kind = 3, 2, 1))")).alias("_copy"),
+    ).drop("_copy")

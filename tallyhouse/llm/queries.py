@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm import (
-    byte_bpe, damage, exact_dedup, language_model, license_scan, near_dedup, oracles, packing, periodic_runs,
+    byte_bpe, conversation_repair, damage, exact_dedup, language_model, license_scan, near_dedup, oracles, packing, periodic_runs,
     quality_classifier, quality_rules as rules, secret_scan, token_counts, toxicity,
 )
 from tallyhouse.llm.arrow import set_batch_rows
@@ -104,6 +104,20 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    set_batch_rows(spark)
+    conversations = spark.read.parquet(f"{folder}/conversations.parquet")
+    found = conversation_repair.audits(conversation_repair.repair(damage.damage_turns(conversations)))
+    ids = conversations.select(F.col("conv_id").alias("id")).distinct()
+    every = ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.select(
+        F.col("id").alias("conv_id"), *(F.coalesce(n, F.lit(0).cast("bigint")).alias(n) for n in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     def count(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
@@ -130,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_secret_scan": op13_secret_scan,
 }
 
