@@ -34,7 +34,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="folder of the warehouse tables")
     parser.add_argument("--csv", nargs="+", help="staging files with a header line")
     parser.add_argument("--multi-line", action="store_true",
-                        help="texts may hold quoted line breaks: files cannot be split")
+                        help="texts may hold quoted line breaks: quotes are counted first")
     parser.add_argument("--staging", help="Parquet table with the staging columns")
     parser.add_argument("--jdbc", help="database URL")
     parser.add_argument("--table", help="staging table in the database")

@@ -206,6 +206,9 @@ _MARTS = tuple(name for name in _TABLES if name.startswith("mart_"))
 
 _REPORTS = {
     "csv_staging": "SELECT * FROM raw",
+    "csv_quoted_breaks": """
+      SELECT * REPLACE (replace(product_description, ', ', ',' || chr(10) || '"')
+        AS product_description) FROM raw""",
     "raw_sales": "SELECT * FROM raw",
     "top_products": """
       SELECT product_id, product_name, total_quantity, quantity_rank FROM mart_product_sales

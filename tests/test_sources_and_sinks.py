@@ -1,3 +1,4 @@
+import random
 from unittest import mock
 
 import pytest
@@ -7,6 +8,8 @@ from conftest import rows_of
 from tallyhouse import sinks
 from tallyhouse.schema import MARTS, STAGING
 from tallyhouse.sources import Split, hash_predicates, key_split, read_csv_staging, read_jdbc
+from tallyhouse.sources.csv_files import _FORMAT
+from tallyhouse.sources.quoted_records import UnclosedQuote
 from tallyhouse.sources.order_tables import staging_from_orders
 
 HEADER = ",".join(STAGING.names)
@@ -38,6 +41,76 @@ def test_csv_quoting_and_empty_fields(spark, tmp_path):
     assert rows[1]["product_name"] == "" and rows[1]["sale_date"] == "5/4/2021"
 
 
+@pytest.fixture
+def tiny_splits(spark):
+    """Files are cut every few hundred bytes."""
+    names = {"spark.sql.files.maxPartitionBytes": "300b", "spark.sql.files.openCostInBytes": "1b"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def wild_field(rnd, longest):
+    parts = ["a", "b,", "\n", '""', "é", "\r\n", " ", "x" * 30]
+    text = "".join(rnd.choice(parts) for _ in range(rnd.choice([0, 2, 5, 40, longest])))
+    return f'"{text}"' if any(c in text for c in ',\n"\r') or rnd.random() < 0.5 else text
+
+
+def test_records_over_many_splits_equal_those_of_one_task(spark, tmp_path, tiny_splits):
+    """Fields with breaks, of up to several splits, against Spark's reader with a task a file."""
+    rnd = random.Random(1)
+    for k in range(4):
+        lines = []
+        for i in range(60):
+            lines.append(csv_line(id=str(100 * k + i), product_description=wild_field(rnd, 60 if k else 500),
+                                  store_name=wild_field(rnd, 3)))
+            if rnd.random() < 0.1:
+                lines.append("")
+        csv_file(tmp_path, *lines, name=f"{k}.csv")
+    (tmp_path / "no rows.csv").write_text(HEADER)
+    (tmp_path / "empty.csv").write_text("")
+    found = read_csv_staging(spark, str(tmp_path), multi_line=True)
+    plain = spark.read.schema(STAGING).csv(str(tmp_path), header=True, multiLine=True, **_FORMAT)
+    assert found.schema == STAGING and found.count() == 240
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 200
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+    # The lines are shuffled once for records of one line and of several.
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and plan.count("FileScan text") == 1
+
+
+def test_carriage_returns_end_records_and_stay_in_fields(spark, tmp_path, tiny_splits):
+    path = tmp_path / "a.csv"
+    lines = [HEADER] + [csv_line(id=str(i), store_name=f'"a\r\nb{i}"') for i in range(40)]
+    path.write_bytes("\r\n".join(lines).encode())
+    found = read_csv_staging(spark, str(path), multi_line=True)
+    assert rows_of(found, "id", "store_name") == [(i, f"a\r\nb{i}") for i in range(40)]
+
+
+def test_a_header_with_a_break_is_one_record(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(HEADER.replace("store_name", '"store\nname"') + "\n" + csv_line(id="1") + "\n")
+    assert rows_of(read_csv_staging(spark, str(path), multi_line=True), "id") == [(1,)]
+
+
+@pytest.mark.parametrize("line", [csv_line(id="x"), csv_line(sale_quantity="1.5"), "1,2,3", csv_line(id="1") + ",4"])
+def test_malformed_records_fail(spark, tmp_path, line):
+    path = csv_file(tmp_path, csv_line(id="1", store_name='"a\nb"'), line)
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        read_csv_staging(spark, path, multi_line=True).collect()
+
+
+def test_a_quote_that_is_never_closed_fails(spark, tmp_path, tiny_splits):
+    good = csv_file(tmp_path, csv_line(id="1"))
+    bad = csv_file(tmp_path, *[csv_line(id=str(i)) for i in range(9)], csv_line(store_name='"a'), name="b.csv")
+    with pytest.raises(UnclosedQuote, match="b.csv"):
+        read_csv_staging(spark, [good, bad], multi_line=True)
+
+
 def test_several_csv_files_are_one_table(spark, tmp_path):
     paths = [csv_file(tmp_path, csv_line(id=str(i)), name=f"f {i}.csv") for i in range(10)]
     for multi_line in (True, False):
