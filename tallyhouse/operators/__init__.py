@@ -1,6 +1,6 @@
 from tallyhouse.operators.dedup import one_row_per_key, variants
 from tallyhouse.operators.numbering import number_rows, rank_rows
-from tallyhouse.operators.scratch import release, released, scratch_folder, stage
+from tallyhouse.operators.scratch import release, released, scratch_folder, stage, together
 
 __all__ = [
     "number_rows",
@@ -10,5 +10,6 @@ __all__ = [
     "released",
     "scratch_folder",
     "stage",
+    "together",
     "variants",
 ]

@@ -1,33 +1,80 @@
 """Intermediate tables, written once and read as often as needed.
 
 A written table cuts the lineage, survives the loss of executors, and has a size
-the planner can read when it chooses between a broadcast and a shuffle join. All of
-a session's intermediate tables lie in one run folder, which ``release`` removes.
+the planner can read when it chooses between a broadcast and a shuffle join. Tables lie in
+the run folder of the session; those written inside a ``released`` block in a folder of that
+job, which goes when the block ends.
 """
 
 from __future__ import annotations
 
 import atexit
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
+from threading import Lock
+from typing import TypeVar
+from urllib.parse import urlparse
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _released_at_exit: set[str] = set()
-_open_jobs: list[str] = []
 
+T = TypeVar("T")
 
-def scratch_folder(spark: SparkSession) -> str:
-    """The run folder of the session: in the folder ``spark.checkpoint.dir`` names, which
-    all executors share, else in the warehouse folder. It is removed at the latest when
-    the driver exits."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+
+class _Job:
+    """A folder of intermediate tables, kept while anyone holds a lease on it."""
+
+    def __init__(self, spark: SparkSession):
+        self.path = f"{_run_folder(spark)}/job-{uuid4().hex}"
+        self._leases, self._lock = 0, Lock()
+
+    def take(self) -> None:
+        with self._lock:
+            self._leases += 1
+
+    def give_back(self) -> bool:
+        """Whether this was the last lease."""
+        with self._lock:
+            self._leases -= 1
+            return not self._leases
+
+
+_job: ContextVar[_Job | None] = ContextVar("job", default=None)
+
+
+def _run_folder(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if urlparse(base).scheme == "file" and not _is_local(spark):
+            raise RuntimeError(
+                f"the executors of {spark.sparkContext.master} do not share {base}; "
+                "set spark.checkpoint.dir to a folder that they share"
+            )
     folder = f"{base.rstrip('/')}/tallyhouse-{spark.sparkContext.applicationId}"
     if folder not in _released_at_exit:
         _released_at_exit.add(folder)
         atexit.register(_release_at_exit, spark, folder)
-    return f"{folder}/{_open_jobs[-1]}" if _open_jobs else folder
+    return folder
+
+
+def _is_local(spark: SparkSession) -> bool:
+    """Whether the executors are threads of the driver, so that its disk is theirs."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder of the job that the calling context is in, else the run folder of the session:
+    in the folder ``spark.checkpoint.dir`` names, which all executors share, else in the warehouse
+    folder. On a cluster a warehouse folder on a machine's own disk is refused. The run
+    folder is removed at the latest when the driver exits."""
+    job = _job.get()
+    return job.path if job else _run_folder(spark)
 
 
 def scratch_path(spark: SparkSession, label: str = "stage") -> str:
@@ -44,18 +91,32 @@ def stage(rows: DataFrame) -> DataFrame:
 
 @contextmanager
 def released(spark: SparkSession) -> Iterator[None]:
-    """Intermediate tables written inside, by any thread, are removed at the end, also after
-    a failure. Of nested blocks the outermost counts."""
-    if _open_jobs:
-        yield
-        return
-    _open_jobs.append(f"job-{uuid4().hex}")
-    folder = scratch_folder(spark)
+    """Intermediate tables written inside are removed at the end, also after a failure.
+
+    The block belongs to the calling context: blocks of other threads have folders of their own,
+    and threads started by ``together`` write into the caller's. Of nested blocks the outermost
+    counts; its folder stays as long as a nested block is open in any thread.
+    """
+    job = _job.get() or _Job(spark)
+    job.take()
+    token = _job.set(job)
     try:
         yield
     finally:
-        _open_jobs.clear()
-        release(spark, folder)
+        _job.reset(token)
+        if job.give_back():
+            release(spark, job.path)
+
+
+def together(calls: Mapping[str, Callable[[], T]], at_once: int | None = None) -> dict[str, T]:
+    """Results by name of calls that do not depend on each other: their Spark jobs are submitted
+    together, and one fills the cluster while another tails off. Each runs in a copy of the
+    caller's context."""
+    if not calls:
+        return {}
+    with ThreadPoolExecutor(at_once or len(calls)) as pool:
+        started = {name: pool.submit(copy_context().run, call) for name, call in calls.items()}
+        return {name: future.result() for name, future in started.items()}
 
 
 def release(spark: SparkSession, path: str | None = None) -> None:

@@ -9,13 +9,12 @@ keys. A null key is a member too, though no sale joins to it by default.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions import convert, date_parts, parse_date
-from tallyhouse.operators import number_rows, one_row_per_key, stage, variants
+from tallyhouse.operators import number_rows, one_row_per_key, stage, together, variants
 from tallyhouse.schema import STAR, shaped
 
 
@@ -136,13 +135,9 @@ def build_all(
     dimensions: Iterable[Dimension] = tuple(DIMENSIONS.values()),
 ) -> dict[str, DataFrame]:
     """Several numbered dimensions, from one staging table or from what ``staging``
-    gives for each. They do not depend on each other, so their jobs are submitted
-    together and one fills the cluster while another tails off."""
-    dimensions = list(dimensions)
+    gives for each."""
     rows_for = staging if callable(staging) else lambda _: staging
-    with ThreadPoolExecutor(max(1, len(dimensions))) as pool:
-        built = pool.map(lambda d: build(rows_for(d), d), dimensions)
-        return {d.table: rows for d, rows in zip(dimensions, built)}
+    return together({d.table: lambda d=d: build(rows_for(d), d) for d in dimensions})
 
 
 def dim_date(staging: DataFrame) -> DataFrame:

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.operators import released, stage
+from tallyhouse.operators import released, stage, together
 from tallyhouse.plans import audit, dimensions, marts
 from tallyhouse.plans.fact import fact_sales
 from tallyhouse.schema import MARTS, STAGING, STAR, shaped
@@ -27,13 +26,12 @@ log = logging.getLogger(__name__)
 def _write_all(writers: Mapping[str, Callable[[], int]]) -> dict[str, int]:
     """Independent writes, submitted together."""
 
-    def write(name: str) -> int:
+    def logged(name: str) -> int:
         rows = writers[name]()
         log.info("%s: %d rows written", name, rows)
         return rows
 
-    with ThreadPoolExecutor(len(writers)) as pool:
-        return dict(zip(writers, pool.map(write, writers)))
+    return together({name: lambda name=name: logged(name) for name in writers})
 
 
 def land_staging(staging: DataFrame, root: str) -> int:
@@ -104,8 +102,7 @@ def star_from_jdbc(
         split = key_split(spark, url, name, key, parts, properties)
         return stage(shaped(read_jdbc(spark, url, name, properties, split=split), STAR[name]))
 
-    with ThreadPoolExecutor(len(STAR)) as pool:
-        return dict(zip(STAR, pool.map(fetch, STAR)))
+    return together({name: lambda name=name: fetch(name) for name in STAR})
 
 
 def build_marts(

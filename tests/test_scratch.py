@@ -1,9 +1,12 @@
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from pathlib import Path
+from threading import Event
 from urllib.parse import urlparse
 
 import pytest
 
-from tallyhouse.operators.scratch import release, released, scratch_folder, scratch_path, stage
+from tallyhouse.operators.scratch import release, released, scratch_folder, scratch_path, stage, together
 
 
 class Session:
@@ -13,7 +16,7 @@ class Session:
         self.settings = settings
         self.conf = self
         self.sparkContext = self
-        self.applicationId = "app-1"
+        self.applicationId, self.master = "app-1", settings.pop("master", "spark://host:7077")
         self._jsc = None
 
     def get(self, name, default=None):
@@ -33,6 +36,18 @@ def test_without_that_setting_the_warehouse_folder_is_used():
     )
 
 
+def test_a_disk_of_one_machine_is_refused_on_a_cluster():
+    own = {"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"}
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_folder(Session(master=master, **own))
+    for master in ("local", "local[4]", "local[*, 2]"):
+        assert scratch_folder(Session(master=master, **own)).startswith("file:/home/me")
+    # A mounted folder that all machines see can be named.
+    shared = Session(**own, **{"spark.checkpoint.dir": "file:/mnt/shared"})
+    assert scratch_folder(shared) == "file:/mnt/shared/tallyhouse-app-1"
+
+
 def test_released_tables_are_gone(spark):
     staged = stage(spark.range(3))
     folder = Path(urlparse(scratch_folder(spark)).path)
@@ -50,3 +65,70 @@ def test_a_job_leaves_no_intermediate_tables(spark):
         assert any(inside.iterdir())
         raise RuntimeError
     assert not inside.exists() and scratch_folder(spark) == outside
+
+
+def test_jobs_of_two_threads_leave_each_other_alone(spark):
+    """One begins while the other is open and ends after it, in both orders."""
+    tables, first_open, second_done = {}, Event(), Event()
+
+    def first():
+        with released(spark):
+            tables["first"] = stage(spark.range(5))
+            first_open.set()
+            assert second_done.wait(60)
+            return tables["first"].count()
+
+    def second():
+        assert first_open.wait(60)
+        with released(spark):
+            mine = stage(spark.range(7))
+            found = mine.count()
+            folder = scratch_folder(spark)
+        second_done.set()
+        return found, folder
+
+    with ThreadPoolExecutor(2) as pool:
+        one, two = pool.submit(first), pool.submit(second)
+        assert one.result(120) == 5
+        found, folder = two.result(120)
+    assert found == 7 and not Path(urlparse(folder).path).exists()
+
+
+def test_calls_made_together_write_into_the_job_of_their_caller(spark):
+    with released(spark):
+        folder = scratch_folder(spark)
+
+        def call():
+            with released(spark):
+                return scratch_folder(spark), stage(spark.range(3))
+
+        results = together({"a": call, "b": call})
+        assert all(inner == folder and table.count() == 3 for inner, table in results.values())
+    assert not Path(urlparse(folder).path).exists() and scratch_folder(spark) != folder
+
+
+def test_a_folder_stays_while_a_thread_of_the_job_is_at_work(spark):
+    go, context = Event(), None
+
+    def late():
+        with released(spark):
+            started.set()
+            assert go.wait(60)
+            return stage(spark.range(3)).count(), scratch_folder(spark)
+
+    started = Event()
+    with ThreadPoolExecutor(1) as pool:
+        with released(spark):
+            folder = scratch_folder(spark)
+            context = copy_context()
+            running = pool.submit(context.run, late)
+            assert started.wait(60)
+        go.set()
+        assert running.result(60) == (3, folder)
+    assert not Path(urlparse(folder).path).exists()
+
+
+def test_an_error_of_a_call_is_raised(spark):
+    with pytest.raises(ZeroDivisionError):
+        together({"a": lambda: 1 // 0, "b": lambda: 2})
+    assert together({}) == {}
