@@ -43,6 +43,8 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--star-properties", type=Path, help="JSON file for --star-jdbc")
     parser.add_argument("--split-column", help="integer column to read by in parts")
     parser.add_argument("--parts", type=int, default=16)
+    parser.add_argument("--connections", type=int, default=8,
+                        help="connections to a database that are open at once while tables are copied")
     parser.add_argument("--unsplit", action="store_true", help="read over one connection")
     parser.add_argument("--null-safe", action="store_true", help="let null business keys match")
     args = parser.parse_args()
@@ -84,14 +86,14 @@ def run(spark: SparkSession, args: argparse.Namespace, properties: dict) -> None
         stored = spark.read.schema(STAGING).parquet(args.staging) if args.staging else None
         warehouse.build_star(spark, args.root, args.null_safe, staging=stored)
         if args.jdbc:
-            warehouse.publish_star(spark, args.root, args.jdbc, properties)
+            warehouse.publish_star(spark, args.root, args.jdbc, properties, args.connections)
     else:
         star = args.star_jdbc and warehouse.star_from_jdbc(
             spark, args.star_jdbc, connection(args.star_properties), args.parts
         )
         warehouse.build_marts(spark, args.root, star=star or None)
         if args.jdbc:
-            warehouse.publish_marts(spark, args.root, args.jdbc, properties)
+            warehouse.publish_marts(spark, args.root, args.jdbc, properties, args.connections)
 
 
 if __name__ == "__main__":

@@ -6,17 +6,12 @@ and keeps the definition. Both can be repeated: the result is the last write.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.schema import MARTS
-
-
-def _write_counted(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    counted = Observation()
-    write(rows.observe(counted, F.count(F.lit(1)).alias("rows")))
-    return counted.get["rows"]
+from tallyhouse.sinks.counted import write_counted
 
 
 def sorted_by(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -28,13 +23,13 @@ def sorted_by(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def overwrite_parquet(rows: DataFrame, path: str, sort_by: Sequence[str] = ()) -> int:
-    return _write_counted(
+    return write_counted(
         sorted_by(rows, sort_by), lambda r: r.write.mode("overwrite").parquet(path)
     )
 
 
 def overwrite_catalog_table(rows: DataFrame, table: str, sort_by: Sequence[str] = ()) -> int:
-    return _write_counted(
+    return write_counted(
         sorted_by(rows, sort_by), lambda r: r.write.mode("overwrite").saveAsTable(table)
     )
 
@@ -52,57 +47,7 @@ def create_mart_tables(spark: SparkSession, database: str) -> None:
 
 def reload_catalog_table(rows: DataFrame, table: str, sort_by: Sequence[str] = ()) -> int:
     columns = rows.sparkSession.table(table).columns
-    return _write_counted(
+    return write_counted(
         sorted_by(rows.select(*columns), sort_by),
         lambda r: r.write.insertInto(table, overwrite=True),
     )
-
-
-def overwrite_jdbc(
-    rows: DataFrame,
-    url: str,
-    table: str,
-    properties: Mapping[str, str],
-    batch_size: int = 5000,
-    connections: int = 8,
-) -> int:
-    """Drop, create and fill a database table over at most ``connections`` connections."""
-    return _write_counted(
-        rows,
-        lambda r: r.write.mode("overwrite")
-        .option("batchsize", batch_size)
-        .option("numPartitions", connections)
-        .jdbc(url, table, properties=dict(properties)),
-    )
-
-
-def reload_jdbc(
-    rows: DataFrame,
-    url: str,
-    table: str,
-    properties: Mapping[str, str],
-    batch_size: int = 5000,
-    connections: int = 8,
-) -> int:
-    """Truncate a database table and fill it over at most ``connections`` connections.
-
-    The writer's own ``truncate`` option drops and recreates the table of any database
-    whose dialect Spark does not know, losing its definition; so the rows are appended
-    after a statement of our own.
-    """
-    _execute_jdbc(rows.sparkSession, url, f"TRUNCATE TABLE {table}", properties)
-    return _write_counted(
-        rows,
-        lambda r: r.write.mode("append")
-        .option("batchsize", batch_size)
-        .option("numPartitions", connections)
-        .jdbc(url, table, properties=dict(properties)),
-    )
-
-
-def _execute_jdbc(
-    spark: SparkSession, url: str, statement: str, properties: Mapping[str, str]
-) -> None:
-    """Run a statement when the session of a one-row read is opened."""
-    opened = {**properties, "sessionInitStatement": statement}
-    spark.read.jdbc(url, "(SELECT 1 AS done) opened", properties=opened).collect()

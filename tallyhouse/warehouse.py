@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.connections import Connections
 from tallyhouse.operators import released, stage, together
 from tallyhouse.plans import audit, dimensions, marts
 from tallyhouse.plans.fact import fact_sales
@@ -88,19 +89,22 @@ def _check_star(keys: Mapping[str, DataFrame], counts: Mapping[str, int], staged
 
 
 def star_from_jdbc(
-    spark: SparkSession, url: str, properties: Mapping[str, str], parts: int = 16
+    spark: SparkSession, url: str, properties: Mapping[str, str], parts: int = 16, connections: int = 32
 ) -> dict[str, DataFrame]:
     """The star tables of a database, each read once and staged for the marts.
 
-    Each table is read in ``parts`` ranges of a key an index can serve: the fact and the
-    dates by date, the other dimensions by their dense surrogate key.
+    Each table is read in up to ``parts`` ranges, of equally many rows, of a key an index can
+    serve: the fact and the dates by date, the other dimensions by their dense surrogate
+    key. All tables together open at most ``connections`` connections.
     """
     keys = {name: d.surrogate for name, d in dimensions.DIMENSIONS.items()}
+    limit = Connections(connections)
 
     def fetch(name: str) -> DataFrame:
         key = keys.get(name, "date_key")
-        split = key_split(spark, url, name, key, parts, properties)
-        return stage(shaped(read_jdbc(spark, url, name, properties, split=split), STAR[name]))
+        with limit.take(parts) as granted:
+            split = key_split(spark, url, name, key, granted, properties)
+            return stage(shaped(read_jdbc(spark, url, name, properties, split=split), STAR[name]))
 
     return together({name: lambda name=name: fetch(name) for name in STAR})
 
@@ -162,25 +166,27 @@ def open_views(spark: SparkSession, root: str) -> None:
 
 
 def publish_star(
-    spark: SparkSession, root: str, url: str, properties: Mapping[str, str]
+    spark: SparkSession, root: str, url: str, properties: Mapping[str, str], connections: int = 8
 ) -> dict[str, int]:
-    """Copy the star tables into a database, replacing the tables there."""
-    return _write_all({
-        name: lambda name=name: overwrite_jdbc(
-            read_table(spark, root, name), url, name, properties
-        )
-        for name in STAR
-    })
+    """Copy the star tables into a database, replacing the tables there, over at most
+    ``connections`` connections in all."""
+    return _publish(spark, root, url, properties, connections, STAR, overwrite_jdbc)
 
 
 def publish_marts(
     spark: SparkSession, root: str, url: str, properties: Mapping[str, str], connections: int = 8
 ) -> dict[str, int]:
     """Copy the marts into a database whose mart tables exist: their rows are replaced,
-    their definitions kept."""
-    return _write_all({
-        name: lambda name=name: reload_jdbc(
-            read_table(spark, root, name), url, name, properties, connections=connections
-        )
-        for name in MARTS
-    })
+    their definitions kept. At most ``connections`` connections are open in all."""
+    return _publish(spark, root, url, properties, connections, MARTS, reload_jdbc)
+
+
+def _publish(spark, root, url, properties, connections, tables, write) -> dict[str, int]:
+    limit = Connections(connections)
+
+    def copy(name: str) -> int:
+        with limit.take(connections) as granted:
+            rows = read_table(spark, root, name)
+            return write(rows, url, name, properties, connections=granted, stored=True)
+
+    return _write_all({name: lambda name=name: copy(name) for name in tables})
