@@ -113,7 +113,7 @@ REVENUE_RANKS = {"revenue_rank": "total_revenue"}
 
 def _ranked(mart: str, totals: DataFrame, ranks: dict[str, str]) -> DataFrame:
     contract = MARTS[mart]
-    return conform(rank_rows(totals, ranks), contract)
+    return conform(rank_rows(totals, ranks, contract.sort_by), contract)
 
 
 def ranked_product_sales(totals: DataFrame) -> DataFrame:
