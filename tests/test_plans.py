@@ -73,3 +73,16 @@ def test_wide_texts_leave_before_the_large_lookups(stored, spark):
     assert ["customer_id" in joins[0], "product_id" in joins[1], "seller_id" in joins[2]] == [True] * 3
     after_texts = tree.split(joins[2])[0]
     assert "store_name" not in after_texts and "supplier_name" not in after_texts
+
+
+@pytest.mark.parametrize("name", ["fact_sales", "table_counts", "lost_sales"])
+def test_the_order_lines_are_scanned_and_joined_once(spark, sf_folder, monkeypatch, name):
+    """Every other table is computed from what that join has written."""
+    import __spark_entry__ as entry
+    from pyspark.sql import DataFrameReader
+
+    read, plain = [], DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *paths, **k: (read.extend(paths), plain(self, *paths, **k))[1])
+    plan = plan_of(entry.queries()[name](spark, sf_folder))
+    for table in ("lineitem", "orders"):
+        assert read.count(f"{sf_folder}/{table}.parquet") == 1 and f"/{table}.parquet" not in plan
