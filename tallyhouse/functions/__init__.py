@@ -1,4 +1,4 @@
-from tallyhouse.functions.amounts import average, cents, exact_sum, from_cents
+from tallyhouse.functions.amounts import average, cents, exact_difference, exact_sum, from_cents, total_cents
 from tallyhouse.functions.dates import date_key, date_parts, parse_date
 from tallyhouse.functions.text import convert, full_name
 
@@ -8,8 +8,10 @@ __all__ = [
     "convert",
     "date_key",
     "date_parts",
+    "exact_difference",
     "exact_sum",
     "from_cents",
     "full_name",
     "parse_date",
+    "total_cents",
 ]

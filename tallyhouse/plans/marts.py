@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.functions import average, cents, from_cents, full_name
+from tallyhouse.functions import average, cents, from_cents, full_name, total_cents
 from tallyhouse.operators import rank_rows, stage
 from tallyhouse.schema import MARTS, conform
 
@@ -24,9 +24,9 @@ def _sales_per(fact: DataFrame, key: str) -> DataFrame:
     wanted = [
         ("order_count", key, F.count(F.lit(1))),
         ("quantity", "sale_quantity", F.sum("sale_quantity")),
-        ("revenue", "sale_total_price", F.sum(cents("sale_total_price"))),
+        ("revenue", "sale_total_price", cents("sale_total_price")),
         ("priced_lines", "sale_total_price", F.count("sale_total_price")),
-        ("unit_prices", "unit_price", F.sum(cents("unit_price"))),
+        ("unit_prices", "unit_price", cents("unit_price")),
         ("unit_priced_lines", "unit_price", F.count("unit_price")),
     ]
     present = set(fact.columns)
@@ -164,7 +164,7 @@ def time_totals(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     and the second aggregation see one row per day."""
     per_day = _sales_per(fact, "date_key").join(dim_date, "date_key")
     per_month = per_day.groupBy("year", "month", "month_name").agg(
-        F.sum("revenue").alias("revenue"),
+        total_cents("revenue").alias("revenue"),
         F.sum("priced_lines").alias("priced_lines"),
         F.sum("order_count").alias("order_count"),
     )

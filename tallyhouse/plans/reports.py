@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyhouse.functions import average, cents, exact_sum, from_cents
+from tallyhouse.functions import average, exact_difference, exact_sum
 
 
 def _top(rows: DataFrame, rank: str, measure: str, tie_break: str, n: int) -> DataFrame:
@@ -156,16 +156,13 @@ def period_comparison(time_sales: DataFrame) -> DataFrame:
         F.lag("year").over(same_month) == F.col("year") - 1,
         F.lag("total_revenue").over(same_month),
     )
-    def since(earlier: str) -> Column:
-        return from_cents(cents("total_revenue") - cents(earlier))
-
     return (
         time_sales.select("year", "month", "total_revenue")
         .withColumn("previous_revenue", month_before)
         .withColumn("year_before_revenue", year_before)
-        .withColumn("change", since("previous_revenue"))
+        .withColumn("change", exact_difference("total_revenue", "previous_revenue"))
         .withColumn("change_pct", _percent("change", "previous_revenue"))
-        .withColumn("year_change", since("year_before_revenue"))
+        .withColumn("year_change", exact_difference("total_revenue", "year_before_revenue"))
         .withColumn("year_change_pct", _percent("year_change", "year_before_revenue"))
         .orderBy("year", "month")
     )
