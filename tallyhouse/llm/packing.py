@@ -23,6 +23,7 @@ from contextlib import contextmanager
 from functools import cache
 from struct import pack as pack_ids
 from threading import Timer
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +44,24 @@ K1, B = 1.2, 0.75
 #: Of so many best neighbours the first that fits whole is preferred to a cut.
 _LOOKED_AT = 8
 #: Words encoded once and remembered by a worker: at most twice as many, of so many bytes.
-REMEMBERED, REMEMBERED_BYTES = 300_000, 40
+REMEMBERED, REMEMBERED_BYTES = 200_000, 40
 #: A worker that is idle for so many seconds forgets them, as it may serve other stages next.
 IDLE_SECONDS = 2.0
 _MARKS = b".,!?;:#$%&*|()"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+#: Latin letters end here; all that are lower-case and composed are one unit of the tokenizer.
+_AFTER_LATIN = "\u0250"
+
+
+def _byte_characters() -> list[str]:
+    """The characters that stand for bytes in byte-level vocabularies: visible ones for
+    themselves, the others for the characters from 256 on, in order."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0x100)} - {0xAD}
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in visible else chr(next(others)) for b in range(0x100)]
+
+
+_BYTE_CHARACTERS = _byte_characters()
 
 
 class Encoder(dict):
@@ -66,6 +80,7 @@ class Encoder(dict):
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
@@ -74,7 +89,7 @@ class Encoder(dict):
             if stem and stem != word and stem[-1] in _LETTERS:
                 ids = self[stem] + self[word[len(stem) :]]
             else:
-                found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+                found = self.word_ids(word)
                 ids = pack_ids(f"<{len(found)}I", *found)
         if len(word) <= REMEMBERED_BYTES:
             if len(self) >= REMEMBERED:
@@ -83,6 +98,15 @@ class Encoder(dict):
             self[word] = ids
         return ids
 
+    def word_ids(self, word: bytes) -> list[int]:
+        """Lower-case Latin letters alone go to the merges as they are, as no rule of the
+        tokenizer changes or divides them; everything else takes the whole way."""
+        text = word.decode()
+        if text.isalpha() and max(text) < _AFTER_LATIN and text == text.lower() and is_normalized("NFC", text):
+            units = text if text.isascii() else "".join(map(_BYTE_CHARACTERS.__getitem__, word))
+            return [token.id for token in self.model.tokenize(units)]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def ids(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.lower().split()))
 

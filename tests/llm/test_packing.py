@@ -95,3 +95,15 @@ def test_bm25_scores_match_the_formula():
 
 def test_empty(documents):
     assert packing.pack(documents((1, "a")).limit(0), JSON).isEmpty()
+
+
+def test_words_of_latin_letters_need_only_the_merges(library):
+    """Against the whole tokenizer: every Latin letter, alone and in words, and what is not one."""
+    encoder = packing.Encoder(JSON)
+    letters = [chr(c) for c in range(0x21, 0x250)] + ["́", "é", "ſ", "ﬁ", "ª", "ʼn", "İ", "i̇", "日", "ж", "١", "²"]
+    words = [*letters, *(f"x{c}y" for c in letters), *(f"{c}{d}" for c in "eßžq" for d in letters)]
+    for word in words:
+        if word.split() == [word]:
+            lowered = word.encode().lower()
+            assert encoder.word_ids(lowered) == encoder.tokenizer.encode(lowered.decode(), add_special_tokens=False).ids
+            assert encoder.ids(word.encode()) == np.array(library(word), "<u4").tobytes()
