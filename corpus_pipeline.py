@@ -53,11 +53,17 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Bytes of rows that go to Python at once; a longer row goes alone.
+_BATCH_BYTES = 4 << 20
+
+
 def _with_settings(step: Stage) -> Stage:
-    """The stages' rows are whole texts: few of them go to Python at once."""
+    """The stages' rows are whole texts and sets: few of them go to Python at once, by number and
+    by size."""
 
     def stage_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         set_batch_rows(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", _BATCH_BYTES)
         return step(spark, docs, sf_dir)
 
     return stage_
