@@ -5,7 +5,8 @@
                                [--split-column id --parts 64]
     spark-submit jobs.py star  --root R [--staging PATH] [--jdbc URL --properties FILE]
     spark-submit jobs.py marts --root R [--star-jdbc URL --star-properties FILE]
-                               [--jdbc URL --properties FILE]
+                               [--jdbc URL --properties FILE] [--catalog DATABASE]
+                               [--reject-nulls]
 
 ``land`` stores the staging rows, ``star`` builds dimensions and fact, ``marts`` the
 report marts. ``--staging`` names a Parquet table to use as it is, without landing, ``--star-jdbc`` a database that holds the star tables. With
@@ -46,6 +47,9 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--connections", type=int, default=8,
                         help="connections to a database that are open at once while tables are copied")
     parser.add_argument("--unsplit", action="store_true", help="read over one connection")
+    parser.add_argument("--catalog", help="database of the catalog to copy the marts into")
+    parser.add_argument("--reject-nulls", action="store_true",
+                        help="fail where a mart's column would be null, in place of a default")
     parser.add_argument("--null-safe", action="store_true", help="let null business keys match")
     args = parser.parse_args()
     if args.job == "land" and not (args.csv or args.jdbc):
@@ -91,7 +95,10 @@ def run(spark: SparkSession, args: argparse.Namespace, properties: dict) -> None
         star = args.star_jdbc and warehouse.star_from_jdbc(
             spark, args.star_jdbc, connection(args.star_properties), args.parts
         )
-        warehouse.build_marts(spark, args.root, star=star or None)
+        nulls = "reject" if args.reject_nulls else "fill"
+        warehouse.build_marts(spark, args.root, star=star or None, nulls=nulls)
+        if args.catalog:
+            warehouse.publish_catalog(spark, args.root, args.catalog)
         if args.jdbc:
             warehouse.publish_marts(spark, args.root, args.jdbc, properties, args.connections)
 

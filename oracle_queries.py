@@ -2,12 +2,100 @@
 
 from __future__ import annotations
 
-from tallyhouse.schema import TEXT_LIMITS
-from tallyhouse.sources.order_tables import COLUMNS
+# The longest allowed text per staging column (product_description has none).
+_TEXT_LIMITS = {
+    "customer_first_name": 100,
+    "customer_last_name": 100,
+    "customer_email": 200,
+    "customer_country": 100,
+    "customer_postal_code": 20,
+    "customer_pet_type": 50,
+    "customer_pet_name": 100,
+    "customer_pet_breed": 100,
+    "seller_first_name": 100,
+    "seller_last_name": 100,
+    "seller_email": 200,
+    "seller_country": 100,
+    "seller_postal_code": 20,
+    "product_name": 200,
+    "product_category": 100,
+    "sale_date": 20,
+    "store_name": 200,
+    "store_location": 200,
+    "store_city": 100,
+    "store_state": 100,
+    "store_country": 100,
+    "store_phone": 50,
+    "store_email": 200,
+    "pet_category": 50,
+    "product_color": 50,
+    "product_size": 50,
+    "product_brand": 100,
+    "product_material": 100,
+    "product_release_date": 20,
+    "product_expiry_date": 20,
+    "supplier_name": 200,
+    "supplier_contact": 200,
+    "supplier_email": 200,
+    "supplier_phone": 50,
+    "supplier_address": 200,
+    "supplier_city": 100,
+    "supplier_country": 100,
+}
 
-_RAW = "SELECT {columns} FROM {tables}".format(
-    columns=",\n  ".join(f"{expression} AS {name}" for name, (_, expression) in COLUMNS.items()),
-    tables="""lineitem
+# The staging rows, written out here: the queries' own expressions are not read.
+_RAW = """SELECT
+  l_orderkey * 10 + l_linenumber AS id,
+  'Customer' AS customer_first_name,
+  substr(c_name, 10) AS customer_last_name,
+  CAST(18 + c_custkey % 60 AS INT) AS customer_age,
+  concat('c', CAST(c_custkey AS STRING), '@example.com') AS customer_email,
+  CASE WHEN c_custkey % 40 = 0 THEN NULL ELSE cn.n_name END AS customer_country,
+  lpad(CAST(c_custkey AS STRING), 6, '0') AS customer_postal_code,
+  c_mktsegment AS customer_pet_type,
+  concat('Pet', CAST(c_custkey % 97 AS STRING)) AS customer_pet_name,
+  concat('Breed', CAST(c_custkey % 13 AS STRING)) AS customer_pet_breed,
+  'Seller' AS seller_first_name,
+  CAST(o_custkey % 50 AS STRING) AS seller_last_name,
+  concat('s', CAST(o_custkey % 50 AS STRING), '@example.com') AS seller_email,
+  concat('NATION_', CAST(o_custkey % 25 AS STRING)) AS seller_country,
+  lpad(CAST(o_custkey % 50 AS STRING), 5, '0') AS seller_postal_code,
+  p_name AS product_name,
+  p_type AS product_category,
+  CAST(p_retailprice AS DECIMAL(10,2)) AS product_price,
+  p_size AS product_quantity,
+  CASE WHEN l_orderkey % 500 = 0 THEN 'n/a' ELSE concat(CAST(month(o_orderdate) AS STRING), '/', CAST(day(o_orderdate) AS STRING), '/', CAST(year(o_orderdate) AS STRING)) END AS sale_date,
+  o_custkey AS sale_customer_id,
+  o_custkey % 50 AS sale_seller_id,
+  l_partkey AS sale_product_id,
+  CAST(l_quantity AS INT) AS sale_quantity,
+  CAST(l_extendedprice AS DECIMAL(10,2)) AS sale_total_price,
+  concat('Store ', o_orderpriority) AS store_name,
+  concat('Block ', substr(o_orderpriority, 1, 1)) AS store_location,
+  cn.n_name AS store_city,
+  CAST(NULL AS STRING) AS store_state,
+  cr.r_name AS store_country,
+  concat('555-', CAST(cn.n_nationkey AS STRING), substr(o_orderpriority, 1, 1)) AS store_phone,
+  concat('store', CAST(cn.n_nationkey AS STRING), substr(o_orderpriority, 1, 1), '@example.com') AS store_email,
+  p_type AS pet_category,
+  CAST(p_size / 10.0 AS DECIMAL(10,2)) AS product_weight,
+  split_part(p_name, ' ', 1) AS product_color,
+  CASE WHEN p_size < 17 THEN 'S' WHEN p_size < 34 THEN 'M' ELSE 'L' END AS product_size,
+  p_brand AS product_brand,
+  split_part(p_name, ' ', 2) AS product_material,
+  concat(p_name, ', ', p_type, ' ', p_brand) AS product_description,
+  CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE CAST((10 + p_size % 41) / 10.0 AS DECIMAL(3,1)) END AS product_rating,
+  CASE WHEN p_partkey % 70 = 0 THEN NULL ELSE CAST(p_partkey * 37 % 1000 AS INT) END AS product_reviews,
+  concat(CAST(month(make_date(CAST(2010 + p_partkey % 10 AS INT), CAST(1 + p_partkey % 12 AS INT), CAST(1 + p_partkey % 28 AS INT))) AS STRING), '/', CAST(day(make_date(CAST(2010 + p_partkey % 10 AS INT), CAST(1 + p_partkey % 12 AS INT), CAST(1 + p_partkey % 28 AS INT))) AS STRING), '/', CAST(year(make_date(CAST(2010 + p_partkey % 10 AS INT), CAST(1 + p_partkey % 12 AS INT), CAST(1 + p_partkey % 28 AS INT))) AS STRING)) AS product_release_date,
+  concat(CAST(month(make_date(CAST(2022 + p_partkey % 8 AS INT), CAST(1 + p_partkey % 12 AS INT), CAST(1 + p_partkey % 28 AS INT))) AS STRING), '/', CAST(day(make_date(CAST(2022 + p_partkey % 8 AS INT), CAST(1 + p_partkey % 12 AS INT), CAST(1 + p_partkey % 28 AS INT))) AS STRING), '/', CAST(year(make_date(CAST(2022 + p_partkey % 8 AS INT), CAST(1 + p_partkey % 12 AS INT), CAST(1 + p_partkey % 28 AS INT))) AS STRING)) AS product_expiry_date,
+  s_name AS supplier_name,
+  concat('Contact ', CAST(s_suppkey AS STRING)) AS supplier_contact,
+  concat('sup', CAST(s_suppkey AS STRING), '@example.com') AS supplier_email,
+  concat('777-', CAST(s_suppkey AS STRING)) AS supplier_phone,
+  concat(CAST(s_suppkey AS STRING), ' Main St') AS supplier_address,
+  sn.n_name AS supplier_city,
+  sr.r_name AS supplier_country
+  FROM lineitem
   LEFT JOIN orders ON l_orderkey = o_orderkey
   LEFT JOIN customer ON o_custkey = c_custkey
   LEFT JOIN nation cn ON c_nationkey = cn.n_nationkey
@@ -15,8 +103,7 @@ _RAW = "SELECT {columns} FROM {tables}".format(
   LEFT JOIN part ON l_partkey = p_partkey
   LEFT JOIN supplier ON l_suppkey = s_suppkey
   LEFT JOIN nation sn ON s_nationkey = sn.n_nationkey
-  LEFT JOIN region sr ON sn.n_regionkey = sr.r_regionkey""",
-)
+  LEFT JOIN region sr ON sn.n_regionkey = sr.r_regionkey"""
 
 _DIM_DATE = """
   SELECT full_date,
@@ -158,6 +245,73 @@ _PRODUCT_QUALITY = f"""
     {_rank('p.review_count')} AS review_rank, {_rank('p.total_quantity')} AS sales_rank
   FROM product_totals p"""
 
+# Staging rows whose attributes differ between lines of one member, with keys and prices missing.
+_UNTIDY_RAW = """
+  SELECT * REPLACE (
+    CASE WHEN id % 7 = 0 THEN NULL ELSE concat('C', CAST(id % 3 AS VARCHAR)) END AS customer_first_name,
+    CASE WHEN id % 2 = 0 THEN NULL ELSE customer_age END AS customer_age,
+    CASE WHEN id % 5 = 0 THEN 'Elsewhere' ELSE customer_country END AS customer_country,
+    CASE WHEN id % 17 = 0 THEN NULL ELSE sale_customer_id END AS sale_customer_id,
+    CASE WHEN id % 13 = 0 THEN NULL ELSE store_city END AS store_city,
+    CASE WHEN id % 3 = 0 THEN NULL ELSE store_phone || CAST(id % 4 AS VARCHAR) END AS store_phone,
+    CASE WHEN id % 19 = 0 THEN NULL ELSE product_price END AS product_price,
+    CASE WHEN id % 23 = 0 THEN NULL ELSE sale_total_price END AS sale_total_price
+  ) FROM raw"""
+
+
+def _first_variant(dimension: str, keys: str) -> str:
+    """A dimension of untidy rows: of each key the row that sorts first, column by column."""
+    tidy = dimension.replace("FROM raw)", "FROM untidy_raw)")
+    head, _, variants = tidy.partition("FROM (SELECT DISTINCT")
+    names = [part.split()[-1] for part in _top_level(variants.rpartition("FROM untidy_raw)")[0])]
+    order = ", ".join(f"{name} NULLS FIRST" for name in names)
+    return f"{head} FROM (SELECT DISTINCT ON ({keys}) * FROM (SELECT DISTINCT {variants} ORDER BY {order})"
+
+
+def _top_level(columns: str) -> list[str]:
+    """The parts between commas that are in no brackets."""
+    parts, depth = [""], 0
+    for character in columns:
+        depth += (character == "(") - (character == ")")
+        if character == "," and not depth:
+            parts.append("")
+        else:
+            parts[-1] += character
+    return parts
+
+
+_UNTIDY = {
+    "untidy_raw": _UNTIDY_RAW,
+    "untidy_customers": _first_variant(_DIM_CUSTOMER, "customer_id"),
+    "untidy_products": _first_variant(_DIM_PRODUCT, "product_id"),
+    "untidy_stores": _first_variant(_DIM_STORE, "store_name, city, country"),
+    "untidy_sales": """
+  SELECT customer_key, st.store_id AS store_key, sale_quantity,
+    CAST(sale_total_price AS DOUBLE) AS sale_total_price, CAST(product_price AS DOUBLE) AS unit_price
+  FROM untidy_raw
+  LEFT JOIN untidy_customers dc ON sale_customer_id = dc.customer_id
+  LEFT JOIN untidy_stores st ON untidy_raw.store_name = st.store_name AND store_city = st.city
+                            AND store_country = st.country""",
+    "untidy_stores_mart": f"""
+  SELECT *, {_rank('total_revenue')} AS revenue_rank FROM (
+    SELECT store_id, store_name, city, country, {_total('sale_total_price')} AS total_revenue,
+      COUNT(*) AS order_count, {_mean('sale_total_price')} AS avg_check
+    FROM untidy_sales JOIN untidy_stores ON store_key = store_id GROUP BY ALL)""",
+}
+
+_MART_ROWS = " UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, CAST({member} AS BIGINT) AS member, {label} AS label, "
+    f"{amount} AS amount, CAST({count} AS BIGINT) AS n, CAST({place} AS BIGINT) AS place FROM {mart}"
+    for mart, member, label, amount, count, place in (
+        ("mart_product_sales", "product_id", "product_name", "total_revenue", "total_quantity", "revenue_rank"),
+        ("mart_customer_sales", "customer_id", "customer_name", "total_purchases", "order_count", "purchase_rank"),
+        ("mart_time_sales", "year * 100 + month", "month_name", "total_revenue", "order_count", "month"),
+        ("mart_store_sales", "store_id", "store_name", "total_revenue", "order_count", "revenue_rank"),
+        ("mart_supplier_sales", "supplier_id", "supplier_name", "total_revenue", "order_count", "revenue_rank"),
+        ("mart_product_quality", "product_id", "product_name", "avg_rating", "total_reviews", "rating_rank"),
+    )
+)
+
 # Each table may read those before it.
 _TABLES = {
     "raw": _RAW,
@@ -184,6 +338,7 @@ _TABLES = {
     "mart_supplier_sales": f"""
   SELECT *, {_rank('total_revenue')} AS revenue_rank FROM supplier_totals""",
     "mart_product_quality": _PRODUCT_QUALITY,
+    **_UNTIDY,
 }
 
 _LOST = " UNION ALL ".join(
@@ -299,10 +454,13 @@ _REPORTS = {
         f"SELECT '{name}' AS column_name, {limit} AS allowed, "
         f"CAST(max(length({name})) AS INTEGER) AS longest, "
         f"count(*) FILTER (length({name}) > {limit}) AS too_long FROM raw"
-        for name, limit in TEXT_LIMITS.items()
+        for name, limit in _TEXT_LIMITS.items()
     ),
     "sorted_mart": "SELECT * FROM mart_time_sales",
     "lost_sales": _LOST,
+    "stored_fact": "SELECT * FROM fact_sales",
+    "stored_marts": _MART_ROWS,
+    **{name: f"SELECT * FROM {name}" for name in _UNTIDY if name != "untidy_raw"},
     "warehouse_counts": _counts(
         {"staging": "raw", **{name: name for name in (*_DIMS, "fact_sales", *_MARTS)}}
     ),

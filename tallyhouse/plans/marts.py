@@ -7,7 +7,7 @@ sees totals, not sales. The inner join drops sales without a member.
 
 ``*_totals`` are the marts without ranks and with nulls kept; ``mart_*`` add the
 ranks, then fill nulls as the contract wants (ranking first: a missing rating ranks
-last and only then shows as 0.0). Totals are staged before they are ranked.
+last and only then shows as 0.0), or fail on them with ``nulls="reject"``. Totals are staged before they are ranked.
 """
 
 from __future__ import annotations
@@ -111,52 +111,52 @@ CUSTOMER_RANKS = {"purchase_rank": "total_purchases"}
 REVENUE_RANKS = {"revenue_rank": "total_revenue"}
 
 
-def _ranked(mart: str, totals: DataFrame, ranks: dict[str, str]) -> DataFrame:
+def _ranked(mart: str, totals: DataFrame, ranks: dict[str, str], nulls: str) -> DataFrame:
     contract = MARTS[mart]
-    return conform(rank_rows(totals, ranks, contract.sort_by), contract)
+    return conform(rank_rows(totals, ranks, contract.sort_by), contract, nulls)
 
 
-def ranked_product_sales(totals: DataFrame) -> DataFrame:
+def ranked_product_sales(totals: DataFrame, nulls: str = "fill") -> DataFrame:
     """The product sales mart from staged product totals."""
-    return _ranked("mart_product_sales", totals, PRODUCT_RANKS)
+    return _ranked("mart_product_sales", totals, PRODUCT_RANKS, nulls)
 
 
-def ranked_product_quality(totals: DataFrame) -> DataFrame:
+def ranked_product_quality(totals: DataFrame, nulls: str = "fill") -> DataFrame:
     """The product quality mart from staged product totals."""
-    return _ranked("mart_product_quality", quality_totals(totals), QUALITY_RANKS)
+    return _ranked("mart_product_quality", quality_totals(totals), QUALITY_RANKS, nulls)
 
 
 def mart_product_sales(
-    fact: DataFrame, dim_product: DataFrame
+    fact: DataFrame, dim_product: DataFrame, nulls: str = "fill"
 ) -> DataFrame:
-    return ranked_product_sales(stage(product_totals(fact, dim_product)))
+    return ranked_product_sales(stage(product_totals(fact, dim_product)), nulls)
 
 
 def mart_product_quality(
-    fact: DataFrame, dim_product: DataFrame
+    fact: DataFrame, dim_product: DataFrame, nulls: str = "fill"
 ) -> DataFrame:
-    return ranked_product_quality(stage(product_totals(fact, dim_product)))
+    return ranked_product_quality(stage(product_totals(fact, dim_product)), nulls)
 
 
 def mart_customer_sales(
-    fact: DataFrame, dim_customer: DataFrame
+    fact: DataFrame, dim_customer: DataFrame, nulls: str = "fill"
 ) -> DataFrame:
     totals = stage(customer_totals(fact, dim_customer))
-    return _ranked("mart_customer_sales", totals, CUSTOMER_RANKS)
+    return _ranked("mart_customer_sales", totals, CUSTOMER_RANKS, nulls)
 
 
 def mart_store_sales(
-    fact: DataFrame, dim_store: DataFrame
+    fact: DataFrame, dim_store: DataFrame, nulls: str = "fill"
 ) -> DataFrame:
     totals = stage(store_totals(fact, dim_store))
-    return _ranked("mart_store_sales", totals, REVENUE_RANKS)
+    return _ranked("mart_store_sales", totals, REVENUE_RANKS, nulls)
 
 
 def mart_supplier_sales(
-    fact: DataFrame, dim_supplier: DataFrame
+    fact: DataFrame, dim_supplier: DataFrame, nulls: str = "fill"
 ) -> DataFrame:
     totals = stage(supplier_totals(fact, dim_supplier))
-    return _ranked("mart_supplier_sales", totals, REVENUE_RANKS)
+    return _ranked("mart_supplier_sales", totals, REVENUE_RANKS, nulls)
 
 
 def time_totals(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -179,5 +179,6 @@ def time_totals(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def mart_time_sales(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return conform(time_totals(fact, dim_date).drop("priced_lines"), MARTS["mart_time_sales"])
+def mart_time_sales(fact: DataFrame, dim_date: DataFrame, nulls: str = "fill") -> DataFrame:
+    totals = time_totals(fact, dim_date).drop("priced_lines")
+    return conform(totals, MARTS["mart_time_sales"], nulls)

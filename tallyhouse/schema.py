@@ -64,20 +64,43 @@ STAGING = _layout("""
 
 # Longest allowed text per staging column (product_description has none).
 TEXT_LIMITS = {
-    name: limit
-    for limit, names in {
-        20: "customer_postal_code seller_postal_code sale_date product_release_date "
-            "product_expiry_date",
-        50: "customer_pet_type store_phone pet_category product_color product_size "
-            "supplier_phone",
-        100: "customer_first_name customer_last_name customer_country customer_pet_name "
-             "customer_pet_breed seller_first_name seller_last_name seller_country "
-             "product_category store_city store_state store_country product_brand "
-             "product_material supplier_city supplier_country",
-        200: "customer_email seller_email product_name store_name store_location store_email "
-             "supplier_name supplier_contact supplier_email supplier_address",
-    }.items()
-    for name in names.split()
+    "customer_first_name": 100,
+    "customer_last_name": 100,
+    "customer_email": 200,
+    "customer_country": 100,
+    "customer_postal_code": 20,
+    "customer_pet_type": 50,
+    "customer_pet_name": 100,
+    "customer_pet_breed": 100,
+    "seller_first_name": 100,
+    "seller_last_name": 100,
+    "seller_email": 200,
+    "seller_country": 100,
+    "seller_postal_code": 20,
+    "product_name": 200,
+    "product_category": 100,
+    "sale_date": 20,
+    "store_name": 200,
+    "store_location": 200,
+    "store_city": 100,
+    "store_state": 100,
+    "store_country": 100,
+    "store_phone": 50,
+    "store_email": 200,
+    "pet_category": 50,
+    "product_color": 50,
+    "product_size": 50,
+    "product_brand": 100,
+    "product_material": 100,
+    "product_release_date": 20,
+    "product_expiry_date": 20,
+    "supplier_name": 200,
+    "supplier_contact": 200,
+    "supplier_email": 200,
+    "supplier_phone": 50,
+    "supplier_address": 200,
+    "supplier_city": 100,
+    "supplier_country": 100,
 }
 
 # The star tables.

@@ -17,7 +17,9 @@ from tallyhouse.operators import released, stage, together
 from tallyhouse.plans import audit, dimensions, marts
 from tallyhouse.plans.fact import fact_sales
 from tallyhouse.schema import MARTS, STAGING, STAR, shaped
-from tallyhouse.sinks import overwrite_jdbc, overwrite_parquet, reload_jdbc
+from tallyhouse.sinks import (
+    create_mart_tables, overwrite_jdbc, overwrite_parquet, reload_catalog_table, reload_jdbc,
+)
 from tallyhouse.sources import key_split, read_jdbc, read_layout, read_table
 from tallyhouse.versions import new_version
 
@@ -113,9 +115,11 @@ def build_marts(
     spark: SparkSession,
     root: str,
     star: Mapping[str, DataFrame] | None = None,
+    nulls: str = "fill",
 ) -> dict[str, int]:
     """Job 2: star tables to the six marts, written under ``root``, where they replace the
-    marts in use together.
+    marts in use together. ``nulls="reject"`` fails where a mart's column would be null, in
+    place of putting in a default.
 
     Reads the star under ``root``, or ``star``: the seven tables from elsewhere. The
     fact is scanned once per mart, for one key and its measures.
@@ -126,18 +130,12 @@ def build_marts(
         fact = star["fact_sales"]
         products = stage(marts.product_totals(fact, star["dim_product"]))
         builders = {
-            "mart_product_sales": lambda: marts.ranked_product_sales(products),
-            "mart_product_quality": lambda: marts.ranked_product_quality(products),
-            "mart_customer_sales": lambda: marts.mart_customer_sales(
-                fact, star["dim_customer"]
-            ),
-            "mart_time_sales": lambda: marts.mart_time_sales(fact, star["dim_date"]),
-            "mart_store_sales": lambda: marts.mart_store_sales(
-                fact, star["dim_store"]
-            ),
-            "mart_supplier_sales": lambda: marts.mart_supplier_sales(
-                fact, star["dim_supplier"]
-            ),
+            "mart_product_sales": lambda: marts.ranked_product_sales(products, nulls),
+            "mart_product_quality": lambda: marts.ranked_product_quality(products, nulls),
+            "mart_customer_sales": lambda: marts.mart_customer_sales(fact, star["dim_customer"], nulls),
+            "mart_time_sales": lambda: marts.mart_time_sales(fact, star["dim_date"], nulls),
+            "mart_store_sales": lambda: marts.mart_store_sales(fact, star["dim_store"], nulls),
+            "mart_supplier_sales": lambda: marts.mart_supplier_sales(fact, star["dim_supplier"], nulls),
         }
         return _write_all({
             name: lambda name=name, build=build: overwrite_parquet(
@@ -165,6 +163,18 @@ def open_views(spark: SparkSession, root: str) -> None:
         read_table(spark, root, name).createOrReplaceTempView(name)
 
 
+def publish_catalog(spark: SparkSession, root: str, database: str) -> dict[str, int]:
+    """Copy the marts into tables of the session's catalog, which are made by their contracts where
+    they do not exist: columns that must not be null, rows in the order of the sort key."""
+    create_mart_tables(spark, database)
+    return _write_all({
+        name: lambda name=name: reload_catalog_table(
+            read_table(spark, root, name), f"{database}.{name}", MARTS[name].sort_by
+        )
+        for name in MARTS
+    })
+
+
 def publish_star(
     spark: SparkSession, root: str, url: str, properties: Mapping[str, str], connections: int = 8
 ) -> dict[str, int]:

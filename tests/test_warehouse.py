@@ -82,13 +82,25 @@ def test_jobs_from_csv_files(spark, sf_folder, tmp_path):
         for arguments in (
             ["land", "--csv", folder, "--root", root],
             ["star", "--root", root],
-            ["marts", "--root", root],
+            ["marts", "--root", root, "--catalog", "shop_marts"],
+            ["marts", "--root", root, "--catalog", "shop_marts"],
             ["star", "--staging", f"{root}/staging", "--root", other],
         ):
             with mock.patch.object(sys, "argv", ["jobs.py", *arguments]):
                 jobs.main()
     assert read_table(spark, root, "fact_sales").count() == orders.count()
     assert not read_table(spark, root, "mart_time_sales").isEmpty()
+    for name in MARTS:
+        assert rows_of(spark.table(f"shop_marts.{name}")) == rows_of(read_table(spark, root, name))
+    sort_key = spark.sql("SHOW TBLPROPERTIES shop_marts.mart_time_sales('sort_key')").first()["value"]
+    assert sort_key == "year, month"
+    # Every fiftieth product has no rating: the job that takes no defaults fails, the marts stay.
+    before = rows_of(read_table(spark, root, "mart_product_quality"))
+    with mock.patch.object(type(spark), "stop"), mock.patch.object(
+        sys, "argv", ["jobs.py", "marts", "--root", root, "--reject-nulls"]
+    ), pytest.raises(Exception, match="is null"):
+        jobs.main()
+    assert rows_of(read_table(spark, root, "mart_product_quality")) == before
     for name in STAR:
         assert rows_of(read_table(spark, other, name)) == rows_of(read_table(spark, root, name))
 
