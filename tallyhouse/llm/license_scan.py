@@ -11,7 +11,8 @@ is reported if the matched words are at least ``LEAST_COVERAGE`` of the template
 better match of the same template overlaps it. Between such matches, what is aligned less is
 chained: parts of one template in its order are added up, however far apart, as text may be
 inserted into a notice. A chain that reaches the coverage is one match, from its first matched
-word to its last.
+word to its last. Chains are the longest rising runs of the template's words, found in one pass
+from left to right in the order of n log n of the matched words.
 
 The index holds one entry per few template bytes. It is shipped in blocks of at
 most ``INDEX_ENTRIES``; a larger set of templates takes one pass over the texts per block.
@@ -23,11 +24,13 @@ gives one match per row of it. Other columns are not read. Empty tables give no
 
 from __future__ import annotations
 
-from bisect import bisect
+from bisect import bisect, bisect_left, insort
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 from itertools import groupby
+from math import inf
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -176,18 +179,63 @@ def align(region: bytes, template: bytes) -> tuple[int, list[tuple[int, int, int
     return len(theirs), found[::-1]
 
 
-def _chain(parts: list[list[tuple]]) -> list[tuple]:
-    """The most matched words that are in order in template and text, in the shortest span."""
-    chains: list[list[tuple]] = []
-    for part in sorted(parts, key=lambda pairs: pairs[-1][2]):
-        options = [part]
-        for chain in chains:
-            number, _, end = chain[-1]
-            tail = [pair for pair in part if pair[0] > number and pair[1] >= end]
-            if tail:
-                options.append(chain + tail)
-        chains.append(max(options, key=lambda chain: (len(chain), chain[0][1])))
-    return max(chains, key=lambda chain: (len(chain), chain[0][1] - chain[-1][2]))
+class _Chain:
+    """The most matched words that are in order in template and text, of pairs that come in the
+    order of the text; of equally many those that begin last."""
+
+    def __init__(self) -> None:
+        self.numbers: list[int] = []  # least last word of the template, by length of chain
+        self.ends: list[tuple] = []  # pair, and the chain before it
+        self.grown: list[tuple] = []  # first byte of the pairs that made it longer, and the chain then
+
+    def add(self, pair: tuple[int, int, int]) -> bool:
+        """Whether the longest chain has grown."""
+        place = bisect_left(self.numbers, pair[0])
+        linked = (pair, self.ends[place - 1] if place else None)
+        if place < len(self.numbers):
+            self.numbers[place], self.ends[place] = pair[0], linked
+            return False
+        self.numbers.append(pair[0])
+        self.ends.append(linked)
+        self.grown.append((pair[1], linked))
+        return True
+
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+    def longest(self, until: float = inf) -> list[tuple[int, int, int]]:
+        """The longest chain of the pairs that begin before the byte ``until``."""
+        found, linked = [], self.ends[-1] if until == inf else None
+        if until < inf:
+            linked = self.grown[bisect_left(self.grown, until, key=itemgetter(0)) - 1][1]
+        while linked:
+            found.append(linked[0])
+            linked = linked[1]
+        return found[::-1]
+
+
+def _chains(parts: Iterable[list[tuple]], least: float) -> Iterator[list[tuple]]:
+    """Chains of at least ``least`` words over the parts of one template, from left to right and
+    without overlap, in one pass. A chain that is long enough is extended by what follows, up to
+    where words that did not extend it make one that is long enough by itself."""
+    pairs = sorted({pair for part in parts for pair in part}, key=lambda pair: (pair[1], -pair[0]))
+    chain, other = _Chain(), _Chain()
+    for pair in pairs:
+        grown = chain.add(pair)
+        if len(chain) < least or (grown and not other):
+            continue
+        other.add(pair)
+        if len(other) >= least:
+            yield chain.longest(until=other.longest()[0][1])
+            chain, other = other, _Chain()
+    if len(chain) >= least:
+        yield chain.longest()
+
+
+def _apart(edges: list[tuple[int, int]], a: int, b: int) -> bool:
+    """Whether the range overlaps none of the ranges in order."""
+    place = bisect(edges, (a, b))
+    return (not place or edges[place - 1][1] <= a) and (place == len(edges) or b <= edges[place][0])
 
 
 def _aligned(data: np.ndarray, regions: Iterable[tuple], template: bytes, least: float) -> list[tuple]:
@@ -200,29 +248,23 @@ def _aligned(data: np.ndarray, regions: Iterable[tuple], template: bytes, least:
         if pairs:
             found.append([(number, first + a, first + b) for number, a, b in pairs])
     best: list[tuple] = []
+    edges: list[tuple[int, int]] = []
     parts = []
     for pairs in sorted(found, key=lambda pairs: (-len(pairs), pairs[0][1])):
         a, b = pairs[0][1], pairs[-1][2]
         if len(pairs) < least * words:
             parts.append(pairs)
-        elif all(b <= other[2] or other[3] <= a for other in best):
+        elif _apart(edges, a, b):
             best.append((len(pairs), words, a, b))
-    edges = sorted((a, b) for _, _, a, b in best)
+            insort(edges, (a, b))
     between: dict[int, list] = {}
     for pairs in parts:
         a, b = pairs[0][1], pairs[-1][2]
-        place = bisect(edges, (a, b))
-        if (not place or edges[place - 1][1] <= a) and (place == len(edges) or b <= edges[place][0]):
-            between.setdefault(place, []).append(pairs)
+        if _apart(edges, a, b):
+            between.setdefault(bisect(edges, (a, b)), []).append(pairs)
     for left in between.values() if words else ():
-        # A word of the template counts once in a chain.
-        while len({pair[0] for pairs in left for pair in pairs}) >= least * words:
-            chain = _chain(left)
-            if len(chain) < least * words:
-                break
-            a, b = chain[0][1], chain[-1][2]
-            best.append((len(chain), words, a, b))
-            left = [pairs for pairs in left if pairs[-1][2] <= a or b <= pairs[0][1]]
+        for chain in _chains(left, least * words):
+            best.append((len(chain), words, chain[0][1], chain[-1][2]))
     return best
 
 

@@ -1,3 +1,6 @@
+import random
+import time
+
 from tallyhouse.llm import license_scan
 from tallyhouse.llm.license_texts import TEMPLATES
 
@@ -55,6 +58,49 @@ def test_notices_broken_by_inserted_text(documents):
         assert r["coverage"] == 1.0 and r["text"] == whole.rstrip(".")
 
 
+def test_many_broken_notices_in_one_text(documents):
+    """Every one is found, in time that grows with their number."""
+    words = MIT.split()
+    first, second = " ".join(words[:40]), " ".join(words[40:])
+    other = " ".join(f"Holder{i} Zqx{i * 7}" for i in range(30))
+    text = f" {other} ".join([first, second] * 2000)
+    start = time.perf_counter()
+    rows = license_scan.scan(documents((1, text)), {"mit": MIT}).collect()
+    assert time.perf_counter() - start < 60
+    assert len(rows) == 2000 and all(r["coverage"] == 1.0 for r in rows)
+    ranges = sorted((r["first_byte"], r["last_byte"]) for r in rows)
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_a_later_notice_does_not_lend_its_words():
+    """The first notice lacks its last words, which the second has: both are reported."""
+    def part(numbers, at):
+        return [(n, at + 10 * k, at + 10 * k + 5) for k, n in enumerate(numbers)]
+
+    parts = [part(range(0, 9), 0), part(range(9, 17), 1000), part(range(0, 10), 2000), part(range(10, 20), 3000)]
+    chains = list(license_scan._chains(parts, 15))
+    assert [[p[0] for p in c] for c in chains] == [list(range(17)), list(range(20))]
+    # Without the second notice what follows extends the first.
+    late = [part(range(0, 9), 0), part(range(9, 16), 1000), part([3, 4], 1500), part([16, 17], 2000)]
+    (chain,) = license_scan._chains(late, 15)
+    assert [p[0] for p in chain] == list(range(18)) and chain[-1][1] == 2010
+
+
+def test_chains_are_longest_rising_runs():
+    rnd = random.Random(4)
+    for _ in range(300):
+        pairs = [(rnd.randrange(12), 10 * k, 10 * k + 5) for k in range(rnd.randint(1, 14))]
+        size = [1] * len(pairs)
+        for j, pair in enumerate(pairs):
+            size[j] += max((size[i] for i in range(j) if pairs[i][0] < pair[0]), default=0)
+        chain = license_scan._Chain()
+        for pair in pairs:
+            chain.add(pair)
+        found = chain.longest()
+        assert len(found) == max(size) and found == sorted(found, key=lambda p: (p[1], p[0]))
+        assert all(a[0] < b[0] for a, b in zip(found, found[1:]))
+
+
 def test_index_blocks_give_the_same(documents):
     docs = documents(*enumerate([*TEMPLATES.values(), " ".join(TEMPLATES.values())]))
     assert found(docs) == found(docs, index_entries=100)
