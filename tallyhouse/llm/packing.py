@@ -70,10 +70,11 @@ class Encoder(dict):
     likewise marks that follow an ASCII letter at the end of a word. Two generations of
     remembered words bound the memory."""
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.remembered = remembered
         self.old: dict[bytes, bytes] = {}
         self.timer: Timer | None = None
         self.tokenizer = Tokenizer.from_str(tokenizer)
@@ -92,7 +93,7 @@ class Encoder(dict):
                 found = self.word_ids(word)
                 ids = pack_ids(f"<{len(found)}I", *found)
         if len(word) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.remembered:
                 self.old = dict(self)
                 self.clear()
             self[word] = ids
@@ -127,8 +128,8 @@ class Encoder(dict):
 
 
 @cache
-def _encoder(tokenizer: str) -> Encoder:
-    return Encoder(tokenizer)
+def _encoder(tokenizer: str, remembered: int) -> Encoder:
+    return Encoder(tokenizer, remembered)
 
 
 class Index:
@@ -260,15 +261,17 @@ def pack(
     window: int = WINDOW,
     end: int = END,
     shard_tokens: int = SHARD_TOKENS,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per piece of a text, as ``PIECES``. ``tokenizer`` is the content of a
-    tokenizer's JSON file; each text is closed by the id ``end``."""
+    tokenizer's JSON file; each text is closed by the id ``end``. A worker remembers up to twice
+    ``remembered`` words, of some 250 bytes each; with fewer it encodes more of them again."""
     if window & (window - 1):
         raise ValueError("the window must be a power of two")
     closing = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, remembered)
         with encoder.in_use():
             yield from packed(batches, encoder)
 
