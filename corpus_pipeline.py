@@ -45,9 +45,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.drop_near_copies(docs)
 
 
+#: Words that a worker of the last stage remembers: it shares its executor with what the stages
+#: before have left.
+_REMEMBERED = 80_000
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tokenizer = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
-    return packing.pack(docs, tokenizer)
+    return packing.pack(docs, tokenizer, remembered=_REMEMBERED)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
