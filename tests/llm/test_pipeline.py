@@ -15,7 +15,7 @@ from tests.llm.test_quality_rules import failed, measures
 
 
 def test_all_queries_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in queries.QUERIES}
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
