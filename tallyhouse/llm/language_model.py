@@ -6,11 +6,13 @@ ending (last two bytes; the most frequent endings have classes of their own, the
 share classes), so every word has one, known or not.
 
 * ``P(class | history)`` is a softmax over features of the history: the word before, the
-  words two and three before (skips), and the pair of words before, each hashed into
-  ``BUCKETS`` rows of one weight per class, and a bias. It is trained by distributed
-  gradient updates: in each round every task takes small gradient steps (AdaGrad) through its
-  part of the training texts, and the changes are averaged by tokens. Each training
-  text takes part in exactly one round.
+  words two and three before (skips), and the pair of words before, each hashed into a table
+  of rows of one weight per class, and a bias. The table grows with the square root of
+  the training tokens (``table_rows``), so that it can still be handed to the tasks. It is trained
+  by distributed gradient updates: in each round every task takes small gradient steps
+  (AdaGrad) through its part of the training texts, and the changes of a row are averaged by
+  how often the tasks used it, so that a row that few tasks met keeps what they learnt. Each
+  training text takes part in exactly one round.
 * ``P(word | class)`` has only biases, whose maximum-entropy values are the relative
   counts; the counts of a class are discounted by its share of words seen once, and the
   discount is the probability of its unknown words together.
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +48,7 @@ from tallyhouse.operators.scratch import stage
 
 HOT_WORDS = 1 << 18
 CLASSES = 48
-BUCKETS = 1 << 13
+LEAST_ROWS, ROWS_PER_ROOT = 1 << 13, 6
 ROUNDS = 2
 _BATCH = 4096
 _RATE = np.float32(0.5)
@@ -144,8 +147,13 @@ class Model:
         return self.discounts * self.class_types
 
 
-def _history(t: Tokens) -> list[np.ndarray]:
-    """Rows of the weights for each feature of each token's history."""
+def table_rows(train_tokens: int) -> int:
+    """Rows of weights for so many training tokens: a power of two."""
+    return max(LEAST_ROWS, 1 << (ROWS_PER_ROOT * isqrt(train_tokens)).bit_length())
+
+
+def _history(t: Tokens, size: int) -> list[np.ndarray]:
+    """Of ``size`` rows of weights those for each feature of each token's history."""
     before = []
     for back in (1, 2, 3):
         word = np.full(len(t.hashes), _START_HASH)
@@ -154,7 +162,8 @@ def _history(t: Tokens) -> list[np.ndarray]:
         before.append(word)
     pair = mix(before[0] + before[1] * np.uint64(0xA24BAED4963EE407))
     keys = [mix(word + np.uint64(k)) for k, word in enumerate([*before, pair], 1)]
-    return [(key % np.uint64(BUCKETS)).astype(np.int16) for key in keys]
+    kind = np.uint16 if size <= 1 << 16 else np.uint32
+    return [(key & np.uint64(size - 1)).astype(kind) for key in keys]
 
 
 def _logits(rows: list[np.ndarray], bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -169,7 +178,7 @@ def _logits(rows: list[np.ndarray], bias: np.ndarray, weights: np.ndarray) -> np
 
 def _class_scores(t: Tokens, model: Model) -> np.ndarray:
     """log10 of P(class | history) of each token."""
-    classes, rows = model.class_of[t.endings], _history(t)
+    classes, rows = model.class_of[t.endings], _history(t, len(model.weights))
     scores = np.empty(len(classes))
     for at in range(0, len(classes), _BATCH):
         part = slice(at, at + _BATCH)
@@ -201,11 +210,12 @@ class _Learner:
     def __init__(self, model: Model):
         self.model = model
         self.bias, self.weights = model.bias.copy(), model.weights.copy()
-        self.squares = np.full(BUCKETS, 1e-3, np.float32)
+        self.squares = np.full(len(self.weights), 1e-3, np.float32)
+        self.uses = np.zeros(len(self.weights), np.float32)
         self.tokens = 0
 
     def learn(self, t: Tokens) -> None:
-        classes, rows = self.model.class_of[t.endings], _history(t)
+        classes, rows = self.model.class_of[t.endings], _history(t, len(self.weights))
         for at in range(0, len(classes), _BATCH):
             part = [r[at : at + _BATCH] for r in rows]
             truth = classes[at : at + _BATCH]
@@ -214,17 +224,21 @@ class _Learner:
             slope[np.arange(len(truth)), truth] += 1
             self.bias += np.float32(0.1) * slope.mean(0)
             row = np.concatenate(part)
-            order = np.argsort(row, kind="stable")  # 16-bit values: a radix sort
-            first = np.flatnonzero(np.diff(row[order], prepend=np.int16(-1)))
-            touched = row[order[first]]
+            order = np.argsort(row, kind="stable")  # of 16-bit values a radix sort
+            ordered = row[order]
+            first = np.append(0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1)
+            touched = ordered[first]
+            self.uses[touched] += np.diff(first, append=len(row))
             total = _sums(slope.take(order % len(truth), 0), first)
             self.squares[touched] += np.einsum("ij,ij->i", total, total) / CLASSES
             self.weights[touched] += total * (_RATE / np.sqrt(self.squares[touched]))[:, None]
         self.tokens += len(classes)
 
     def change(self) -> bytes:
+        """Of the bias and of each row how often it was used, and its change times that."""
         moved = np.concatenate([[self.bias - self.model.bias], self.weights - self.model.weights])
-        return (moved * self.tokens).astype(np.float32).tobytes()
+        uses = np.append(np.float32(self.tokens), self.uses)[:, None]
+        return np.hstack([moved * uses, uses]).astype(np.float32).tobytes()
 
 
 def _trained(docs: DataFrame, model: Model) -> Model:
@@ -241,7 +255,7 @@ def _trained(docs: DataFrame, model: Model) -> Model:
             yield pa.record_batch([pa.array(c, k) for c, k in zip(rows, kinds)], names)
 
     def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, change, group = 0, np.zeros((BUCKETS + 1) * CLASSES, np.float32), 0
+        total, change, group = 0, np.zeros(size, np.float32), 0
         for batch in rows:
             for g, n, moved in zip(*(batch.column(k) for k in range(3))):
                 group, total = g.as_py() // _FAN_IN, total + n.as_py()
@@ -249,17 +263,17 @@ def _trained(docs: DataFrame, model: Model) -> Model:
         row = [[group], [total], [change.tobytes()]]
         yield pa.record_batch([pa.array(c, k) for c, k in zip(row, kinds)], names)
 
+    size = (len(model.weights) + 1) * (CLASSES + 1)
     names, kinds = ["group", "n", "change"], [pa.int32(), pa.int64(), pa.binary()]
     schema = "group int, n bigint, change binary"
     summed = map_batches(docs, learn, schema)
     for _ in range(_LEVELS):
         summed = summed.groupBy((F.col("group") / _FAN_IN).cast("int")).applyInArrow(add, schema)
     summed = summed.collect()
-    total = sum(row["n"] for row in summed)
-    if not total:
+    if not sum(row["n"] for row in summed):
         return model
-    change = sum(np.frombuffer(row["change"], np.float32) for row in summed) / total
-    change = change.reshape(BUCKETS + 1, CLASSES)
+    change = sum(np.frombuffer(row["change"], np.float32) for row in summed).reshape(-1, CLASSES + 1)
+    change = change[:, :CLASSES] / np.maximum(change[:, CLASSES:], 1)
     return replace(model, bias=model.bias + change[0], weights=model.weights + change[1:])
 
 
@@ -327,8 +341,9 @@ def train(docs: DataFrame, learn: Column, rounds: int = ROUNDS) -> tuple[Model,
     # A class without a word holds one unknown word that was never met.
     per_class, types = np.maximum(sums[0], 1), np.maximum(sums[1], 1)
     discounts = np.where(sums[0] > 0, np.maximum(sums[2], 0.5) / (sums[1] + 1), 1.0)
+    train_tokens = int(sums[0].sum())
     model = Model(
-        int(sums[0].sum()),
+        train_tokens,
         int(sums[1].sum()),
         hot["hash"].to_numpy().view(np.uint64),
         hot["n"].to_numpy(),
@@ -337,7 +352,7 @@ def train(docs: DataFrame, learn: Column, rounds: int = ROUNDS) -> tuple[Model,
         types,
         discounts,
         np.log((sums[0] + 1) / (sums[0] + 1).sum()).astype(np.float32),
-        np.zeros((BUCKETS, CLASSES), np.float32),
+        np.zeros((table_rows(train_tokens), CLASSES), np.float32),
     )
     for turn in range(rounds if model.train_tokens else 0):
         model = _trained(rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == turn), model)

@@ -67,10 +67,48 @@ def test_probabilities_add_up_to_one(documents, rows):
     inside += 10 ** model.within_class(np.zeros(lm.CLASSES), np.arange(lm.CLASSES))
     assert np.allclose(inside, 1)
     (part,) = slices(pa.array(["some words here"]))
-    z = lm._logits(lm._history(lm.tokens(part)), model.bias, model.weights)
+    z = lm._logits(lm._history(lm.tokens(part), len(model.weights)), model.bias, model.weights)
     assert np.allclose((np.exp(z) / np.exp(z).sum(1, keepdims=True)).sum(1), 1, atol=1e-5)
 
 
+def test_scores_match_plain_python(documents, rows):
+    """Every text's score from the trained weights, one token and one softmax at a time."""
+    model, scored = trained(documents(*rows), F.lit(True))
+    counts = Counter(w for _, text in rows for w in words(text))
+    got = {r["doc_id"]: r["score"] for r in scored.collect()}
+    for doc_id, text in rows[::20]:
+        (part,) = slices(pa.array([text or ""]))
+        t = lm.tokens(part)
+        history = zip(*lm._history(t, len(model.weights)))
+        total = 0.0
+        for word, own, kind in zip(words(text), history, model.class_of[t.endings]):
+            z = model.bias + sum(model.weights[row].astype(float) for row in own)
+            total += (z[kind] - math.log(np.exp(z).sum())) / math.log(10)
+            total += math.log10((counts[word] - model.discounts[kind]) / model.class_tokens[kind])
+        assert got[doc_id] == pytest.approx(total, abs=1e-3)
+
+
+def test_the_table_grows_with_the_training_tokens(documents, rows, monkeypatch):
+    sizes = [lm.table_rows(10**k) for k in (0, 8, 10, 12)]
+    assert sizes == [lm.LEAST_ROWS, 1 << 16, 1 << 20, 1 << 23]
+    monkeypatch.setattr(lm, "LEAST_ROWS", 1 << 17)  # rows that need more than 16 bits
+    docs, totals = documents(*rows), []
+    for rounds in (0, lm.ROUNDS):
+        model, counts = lm.train(docs, F.lit(True), rounds)
+        totals.append(lm.score(docs, model, counts).agg(F.sum("score")).first()[0])
+    assert model.weights.shape == (1 << 17, lm.CLASSES) and totals[1] > totals[0]
+
+
+def test_a_row_met_by_one_task_keeps_what_it_learnt(documents, rows):
+    """Its change is not divided by the tokens of tasks that did not meet it."""
+    own = [(1, "only here")]
+    model, _ = lm.train(documents(*own, partitions=1), F.lit(True), 1)
+    more, _ = lm.train(documents(*own, *[(k + 10, "") for k in range(400)], partitions=4), F.lit(True), 1)
+    (part,) = slices(pa.array([own[0][1]]))
+    place = lm._history(lm.tokens(part), len(model.weights))[0][1]
+    assert np.abs(more.weights[place]).max() > 0.3 * np.abs(model.weights[place]).max() > 0
+
+
 def test_every_training_text_is_in_one_round(documents, rows, monkeypatch):
     seen = []
     real = lm._trained
