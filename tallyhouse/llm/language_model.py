@@ -54,6 +54,7 @@ _BATCH = 4096
 _RATE = np.float32(0.5)
 _ONES = np.ones(CLASSES, np.float32)
 _FAN_IN, _LEVELS = 32, 3
+_PART_ROWS = 1 << 11
 _SHORT_RUN = 8
 _END_ENDING = 1 << 16
 _END_HASH = np.uint64(0x5851F42D4C957F2D)
@@ -234,45 +235,55 @@ class _Learner:
             self.weights[touched] += total * (_RATE / np.sqrt(self.squares[touched]))[:, None]
         self.tokens += len(classes)
 
-    def change(self) -> bytes:
-        """Of the bias and of each row how often it was used, and its change times that."""
-        moved = np.concatenate([[self.bias - self.model.bias], self.weights - self.model.weights])
-        uses = np.append(np.float32(self.tokens), self.uses)[:, None]
-        return np.hstack([moved * uses, uses]).astype(np.float32).tobytes()
+    def changes(self) -> Iterator[bytes]:
+        """Of the bias and of each row its change times how often it was used, and how often;
+        ``_PART_ROWS`` rows at a time, the bias first."""
+        bias = (self.bias - self.model.bias) * np.float32(self.tokens)
+        yield np.append(bias, np.float32(self.tokens)).tobytes()
+        for at in range(0, len(self.weights), _PART_ROWS):
+            part = slice(at, at + _PART_ROWS)
+            uses = self.uses[part, None]
+            moved = (self.weights[part] - self.model.weights[part]) * uses
+            yield np.hstack([moved, uses]).tobytes()
 
 
 def _trained(docs: DataFrame, model: Model) -> Model:
-    """The model after one round over ``docs``. Each task hands on one change of the weights,
-    a fixed size; they are added up in a tree, ``_FAN_IN`` at a time, for the driver."""
+    """The model after one round over ``docs``. Each task hands on the changes of the weights in
+    parts of a fixed size; each part is added up in a tree, ``_FAN_IN`` at a time, for the
+    driver, so that no task holds more than a few parts of others."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learner = _Learner(model)
         for batch in batches:
             for part in slices(batch.column(1)):
                 learner.learn(tokens(part))
-        if learner.tokens:
-            rows = [[TaskContext.get().partitionId()], [learner.tokens], [learner.change()]]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(rows, kinds)], names)
+        for number, moved in enumerate(learner.changes() if learner.tokens else ()):
+            yield row(TaskContext.get().partitionId(), number, moved)
 
     def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, change, group = 0, np.zeros(size, np.float32), 0
+        total, group, number = np.float32(0), 0, 0
         for batch in rows:
             for g, n, moved in zip(*(batch.column(k) for k in range(3))):
-                group, total = g.as_py() // _FAN_IN, total + n.as_py()
-                change += np.frombuffer(moved.as_buffer(), np.float32)
-        row = [[group], [total], [change.tobytes()]]
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(row, kinds)], names)
-
-    size = (len(model.weights) + 1) * (CLASSES + 1)
-    names, kinds = ["group", "n", "change"], [pa.int32(), pa.int64(), pa.binary()]
-    schema = "group int, n bigint, change binary"
+                group, number = g.as_py() // _FAN_IN, n.as_py()
+                total = total + np.frombuffer(moved.as_buffer(), np.float32)
+        yield row(group, number, total.tobytes())
+
+    def row(group: int, number: int, change: bytes) -> pa.RecordBatch:
+        columns = [pa.array([group], pa.int32()), pa.array([number], pa.int32()), pa.array([change], pa.binary())]
+        return pa.record_batch(columns, ["group", "part", "change"])
+
+    schema = "group int, part int, change binary"
     summed = map_batches(docs, learn, schema)
     for _ in range(_LEVELS):
-        summed = summed.groupBy((F.col("group") / _FAN_IN).cast("int")).applyInArrow(add, schema)
-    summed = summed.collect()
-    if not sum(row["n"] for row in summed):
+        by = (F.col("group") / _FAN_IN).cast("int"), F.col("part")
+        summed = summed.groupBy(*by).applyInArrow(add, schema)
+    parts: dict[int, np.ndarray] = {}
+    for found in summed.collect():
+        change = np.frombuffer(found["change"], np.float32).reshape(-1, CLASSES + 1)
+        parts[found["part"]] = parts.get(found["part"], 0) + change
+    if not parts:
         return model
-    change = sum(np.frombuffer(row["change"], np.float32) for row in summed).reshape(-1, CLASSES + 1)
+    change = np.concatenate([parts[number] for number in sorted(parts)])
     change = change[:, :CLASSES] / np.maximum(change[:, CLASSES:], 1)
     return replace(model, bias=model.bias + change[0], weights=model.weights + change[1:])
 
