@@ -97,3 +97,11 @@ def test_lines_meet_parts_first_and_orders_with_their_customers(spark, sf_folder
             if "Join LeftOuter" in line and key in line:
                 joins[key] = len(line) - len(line.lstrip(" :+-"))
     assert joins["o_orderkey#"] < min(joins["l_partkey#"], joins["c_custkey#"])
+
+
+def test_the_fact_broadcasts_written_dimensions(spark, sf_folder):
+    """What is small is known before the sales are shuffled."""
+    import __spark_entry__ as entry
+
+    fact = entry.queries()["fact_sales"](spark, sf_folder)
+    assert "SortMergeJoin" not in plan_of(fact)
