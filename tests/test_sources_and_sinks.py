@@ -82,6 +82,23 @@ def test_records_over_many_splits_equal_those_of_one_task(spark, tmp_path, tiny_
     assert "ReusedExchange" in plan and plan.count("FileScan text") == 1
 
 
+def test_lines_are_not_shuffled(spark, tmp_path, tiny_splits):
+    """Those of records that run on over the end of a split alone are, and they are few."""
+    rnd = random.Random(2)
+    lines = [csv_line(id=str(i), product_description=f'"{"x" * rnd.randrange(90)}\n""b{i}\n"') for i in range(300)]
+    csv_file(tmp_path, *lines)
+    found = read_csv_staging(spark, str(tmp_path), multi_line=True)
+    ids = [row["id"] for row in found.select("id", "product_description").collect()]
+    assert sorted(ids) == list(range(300))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    above_text = [line for line in plan.splitlines() if "Relation" in line and "value#" in line]
+    assert len(above_text) == 1  # what is shuffled comes from a written table
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    before_scan = final.split("FileScan text")[0].rsplit("MapInArrow", 1)[1]
+    assert "hashpartitioning" not in before_scan and "Sort" not in before_scan
+
+
 def test_carriage_returns_end_records_and_stay_in_fields(spark, tmp_path, tiny_splits):
     path = tmp_path / "a.csv"
     lines = [HEADER] + [csv_line(id=str(i), store_name=f'"a\r\nb{i}"') for i in range(40)]
