@@ -198,3 +198,10 @@ def test_leaving_out_joins_changes_nothing(spark, sf_folder):
         few = staging_from_orders(spark, sf_folder, columns)
         assert few.exceptAll(whole.select(*few.columns)).isEmpty()
         assert few.count() == whole.count()
+
+
+def test_the_csv_table_of_the_query_is_compressed(spark, sf_folder):
+    import __spark_entry__ as entry
+
+    files = entry.queries()["csv_staging"](spark, sf_folder).inputFiles()
+    assert files and all(name.endswith(".csv.gz") for name in files)
