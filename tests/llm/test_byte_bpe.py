@@ -1,6 +1,8 @@
 import hashlib
 import random
+from collections import Counter
 
+import numpy as np
 import public_tokenizers as P
 import pyarrow as pa
 import pytest
@@ -8,6 +10,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import byte_bpe
+from tallyhouse.llm.words import slices
 
 
 @pytest.fixture(scope="module", params=["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
@@ -83,3 +86,36 @@ def test_splitting_before_spaces(library):
 
 def test_empty(documents, ranks):
     assert byte_bpe.digests(documents((1, "a")).limit(0), ranks, P.PATTERN).isEmpty()
+
+
+@pytest.mark.parametrize("pattern", [P.PATTERN, r"[a-z]+| \d"])
+def test_words_of_texts(pattern):
+    """Texts split as arrays give the matches of the pattern, which may leave bytes out."""
+    splitter, rnd = byte_bpe.Splitter(pattern), random.Random(5)
+    for some in ([*"ab É日|#s1²½ \n\t\r.,!'\x1c\x85\xa0　_‿²İ", "  ", "'s", " a"], [*"abé É.,s\n", "b ", " a", "d.\nS"]):
+        rows = [None, "", *("".join(rnd.choice(some) for _ in range(rnd.randint(0, 20))) for _ in range(3000))]
+        for part in slices(pa.array(rows)):
+            words, ends = splitter.words(part)
+            found = words.to_pylist()
+            for i, text in enumerate(rows[part.first : part.last]):
+                assert found[ends[i] : ends[i + 1]] == splitter.matches((text or "").encode())
+
+
+def test_words_are_counted_in_one_shuffle(documents, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "_COUNTED_WORDS", 5)
+    rows = [t.replace("_", " ") for t in texts() if t]
+    counts = byte_bpe.count_words(documents(*enumerate(rows)).select("doc_id", "text"), P.PATTERN)
+    splitter = byte_bpe.Splitter(P.PATTERN)
+    expected = Counter(w for t in rows for w in splitter.matches(t.encode()) if len(w) <= byte_bpe.DICTIONARY_BYTES)
+    assert {bytes(r["word"]): r["n"] for r in counts.collect()} == expected
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_dictionary_compares_words_in_full(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "_hashes", lambda words: np.full(len(words), 7, np.uint64))
+    table = pa.table({"word": pa.array([b"ab", b"cd"], pa.binary()), "ids": pa.array([[1, 2], [3]], pa.list_(pa.int32()))})
+    found, _ = byte_bpe.Dictionary(table).find(pa.array([b"ab", b"xy", b"abc", b""], pa.large_binary()))
+    assert found.tolist() == [True, False, False, False]
+    none = byte_bpe.Dictionary(table.slice(0, 0))
+    assert not none.find(pa.array([b"ab"], pa.large_binary()))[0].any()
