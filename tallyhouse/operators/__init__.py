@@ -1,8 +1,12 @@
 from tallyhouse.operators.dedup import one_row_per_key, variants
 from tallyhouse.operators.numbering import number_rows, rank_rows
-from tallyhouse.operators.scratch import release, released, scratch_folder, stage, together
+from tallyhouse.operators.scratch import (
+    forget_shuffles, in_parts, release, released, scratch_folder, stage, together,
+)
 
 __all__ = [
+    "forget_shuffles",
+    "in_parts",
     "number_rows",
     "one_row_per_key",
     "rank_rows",

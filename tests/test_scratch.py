@@ -1,12 +1,15 @@
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
+from functools import reduce
 from pathlib import Path
 from threading import Event
 from urllib.parse import urlparse
 
 import pytest
+from pyspark.sql import DataFrame
 
-from tallyhouse.operators.scratch import release, released, scratch_folder, scratch_path, stage, together
+from conftest import rows_of
+from tallyhouse.operators.scratch import in_parts, release, released, scratch_folder, scratch_path, stage, together
 
 
 class Session:
@@ -132,3 +135,21 @@ def test_an_error_of_a_call_is_raised(spark):
     with pytest.raises(ZeroDivisionError):
         together({"a": lambda: 1 // 0, "b": lambda: 2})
     assert together({}) == {}
+
+
+@pytest.mark.parametrize("files, parts, found", [(7, 3, 3), (2, 3, 2), (1, 3, 1)])
+def test_parts_hold_every_row_once(spark, files, parts, found):
+    rows = spark.createDataFrame([(i % 5, None if i % 3 else "a b") for i in range(40)], "i int, t string")
+    dealt = in_parts(rows.repartition(files), parts)
+    assert len(dealt) == found and all(part.schema == rows.schema for part in dealt)
+    assert rows_of(reduce(DataFrame.unionAll, dealt)) == rows_of(rows)
+
+
+def test_parts_of_a_table_without_rows(spark):
+    (part,) = in_parts(spark.range(0), 4)
+    assert part.columns == ["id"] and part.isEmpty()
+
+
+def test_parts_in_a_folder_whose_name_has_a_blank(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyhouse.operators.scratch._run_folder", lambda _: f"{tmp_path}/a %20b")
+    assert sorted(row["id"] for part in in_parts(spark.range(9).repartition(3), 2) for row in part.collect()) == [*range(9)]

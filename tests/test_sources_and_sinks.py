@@ -1,10 +1,13 @@
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
 from tallyhouse import sinks
+from tallyhouse.operators import scratch_folder
 from tallyhouse.schema import MARTS, STAGING
 from tallyhouse.sources import hash_predicates, read_csv_staging
 from tallyhouse.sources.csv_files import _FORMAT
@@ -205,3 +208,28 @@ def test_the_csv_table_of_the_query_is_compressed(spark, sf_folder):
 
     files = entry.queries()["csv_staging"](spark, sf_folder).inputFiles()
     assert files and all(name.endswith(".csv.gz") for name in files)
+
+
+def test_the_csv_files_with_breaks_never_lie_on_disk_together(spark, sf_folder, monkeypatch):
+    """They are written, read and removed in parts, and the result is that of all rows."""
+    import __spark_entry__ as entry
+
+    def sizes():
+        folders = Path(urlparse(scratch_folder(spark)).path).glob("csv-*")
+        return {folder: sum(file.stat().st_size for file in folder.iterdir()) for folder in folders}
+
+    def read(spark, path, **options):
+        on_disk.append(sum(size for folder, size in sizes().items() if folder not in before))
+        return read_csv_staging(spark, path, **options)
+
+    on_disk, before = [], sizes()
+    rows = staging_from_orders(spark, sf_folder)
+    monkeypatch.setattr(entry, "staging_from_orders", lambda *args: rows.repartition(16))
+    monkeypatch.setattr(entry, "read_csv_staging", read)
+    found = entry.queries()["csv_quoted_breaks"](spark, sf_folder)
+    assert len(on_disk) == entry.CSV_PARTS and 0 < max(on_disk) < sum(on_disk) / 4
+    assert set(sizes()) == set(before)
+    broken = F.replace("product_description", F.lit(", "), F.lit(',\n"'))
+    wanted = rows.withColumn("product_description", broken)
+    assert found.schema == STAGING and found.count() == rows.count()
+    assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
