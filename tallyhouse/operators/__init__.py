@@ -1,11 +1,10 @@
 from tallyhouse.operators.dedup import one_row_per_key, variants
 from tallyhouse.operators.numbering import number_rows, rank_rows
 from tallyhouse.operators.scratch import (
-    forget_shuffles, in_parts, release, released, scratch_folder, stage, together,
+    in_parts, release, released, scratch_folder, shuffles_removed, stage, together,
 )
 
 __all__ = [
-    "forget_shuffles",
     "in_parts",
     "number_rows",
     "one_row_per_key",
@@ -13,6 +12,7 @@ __all__ = [
     "release",
     "released",
     "scratch_folder",
+    "shuffles_removed",
     "stage",
     "together",
     "variants",

@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import DataFrame
 
 from conftest import rows_of
-from tallyhouse.operators.scratch import in_parts, release, released, scratch_folder, scratch_path, stage, together
+from tallyhouse.operators.scratch import (
+    in_parts, release, released, scratch_folder, scratch_path, shuffles_removed, stage, together,
+)
 
 
 class Session:
@@ -140,16 +142,48 @@ def test_an_error_of_a_call_is_raised(spark):
 @pytest.mark.parametrize("files, parts, found", [(7, 3, 3), (2, 3, 2), (1, 3, 1)])
 def test_parts_hold_every_row_once(spark, files, parts, found):
     rows = spark.createDataFrame([(i % 5, None if i % 3 else "a b") for i in range(40)], "i int, t string")
-    dealt = in_parts(rows.repartition(files), parts)
+    dealt = [stage(part) for part in in_parts(rows.repartition(files), parts)]
     assert len(dealt) == found and all(part.schema == rows.schema for part in dealt)
     assert rows_of(reduce(DataFrame.unionAll, dealt)) == rows_of(rows)
 
 
 def test_parts_of_a_table_without_rows(spark):
-    (part,) = in_parts(spark.range(0), 4)
-    assert part.columns == ["id"] and part.isEmpty()
+    ((columns, empty),) = [(part.columns, part.isEmpty()) for part in in_parts(spark.range(0), 4)]
+    assert columns == ["id"] and empty
 
 
-def test_parts_in_a_folder_whose_name_has_a_blank(spark, tmp_path, monkeypatch):
+def test_parts_go_and_may_lie_in_a_folder_whose_name_has_a_blank(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("tallyhouse.operators.scratch._run_folder", lambda _: f"{tmp_path}/a %20b")
-    assert sorted(row["id"] for part in in_parts(spark.range(9).repartition(3), 2) for row in part.collect()) == [*range(9)]
+    left, found = [], []
+    for part in in_parts(spark.range(9).repartition(4), 2):
+        left.append(len([*tmp_path.glob("*/*/*.parquet")]))
+        found += [row["id"] for row in part.collect()]
+    assert left == [4, 2] and not [*tmp_path.glob("*/*/*.parquet")] and sorted(found) == [*range(9)]
+
+
+def test_a_staged_table_leaves_no_shuffle(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = found.keySet().mkString(",").split(",")
+    staged = stage(spark.range(100).repartition(3, "id").groupBy("id").count())
+    assert set(found.keySet().mkString(",").split(",")) <= {*before, ""}
+    assert staged.count() == 100
+
+
+@pytest.mark.parametrize("own", [None, "false", "true"])
+def test_the_setting_is_the_callers_after_the_last_write(spark, own):
+    """Also where one write ends while another is at work, or fails."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    if own:
+        spark.conf.set(name, own)
+    try:
+        first, second = shuffles_removed(spark), shuffles_removed(spark)
+        first.__enter__(), second.__enter__()
+        first.__exit__(None, None, None)
+        assert spark.conf.get(name) == "true"
+        second.__exit__(None, None, None)
+        assert spark.conf.get(name, None) == own
+        with pytest.raises(ZeroDivisionError), shuffles_removed(spark):
+            1 // 0
+        assert spark.conf.get(name, None) == own
+    finally:
+        spark.conf.unset(name)

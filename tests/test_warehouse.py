@@ -211,3 +211,24 @@ def test_replaced_versions_are_kept_once(spark, sf_folder, tmp_path):
         assert opened.count() == 50
         warehouse.build_star(spark, root)
     assert len([p for p in tmp_path.iterdir() if p.is_dir() and p.name.startswith("star-")]) == 2
+
+
+def test_the_jobs_leave_no_shuffles_on_disk(spark, sf_folder, tmp_path):
+    """Also not until the driver's next garbage collection. The rest are those of the checks of the
+    star, one per dimension, and of counts."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def shuffles():
+        return {n for n in files.shuffleStatuses().keySet().mkString(",").split(",") if n}
+
+    root, begun = str(tmp_path), shuffles()
+    lines = staging_from_orders(spark, sf_folder).repartition(7, "id")
+    warehouse.land_staging(lines, root)
+    assert not shuffles() - begun
+    warehouse.build_star(spark, root)
+    assert len(shuffles() - begun) <= 2 * len(STAR)
+    begun |= shuffles()
+    warehouse.build_marts(spark, root)
+    assert len(shuffles() - begun) <= len(MARTS)
+    assert spark.conf.get(setting, None) is None
